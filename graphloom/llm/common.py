@@ -127,3 +127,92 @@ def pack(docs: DataFrame, **columns: Column) -> DataFrame:
 def unpack(df: DataFrame, columns: list[str], **added: Column) -> DataFrame:
     """The columns of docs again, then the added ones; an added column replaces one of its name."""
     return df.select(*[F.col("_row").getField(c).alias(c) for c in columns if c not in added], *[c.alias(k) for k, c in added.items()])
+
+
+def worker_store(name: str) -> dict:
+    """A dict that lives as long as its Python worker, across tasks; holders bound its size themselves."""
+    import sys
+
+    return sys.__dict__.setdefault(f"_graphloom_{name}", {})
+
+
+def annotate(docs: DataFrame, make, added: dict) -> DataFrame:
+    """docs with columns added by make()(batch) -> dict of Arrow arrays, batch by batch; one of the same name is replaced.
+
+    added: DDL type by name. make is called once in each task.
+    """
+    from pyspark.sql import types as T
+
+    keep = [c for c in docs.columns if c not in added]
+    ddl = T._parse_datatype_string(", ".join(f"`{k}` {v}" for k, v in added.items()))
+    schema = T.StructType([docs.schema[c] for c in keep] + list(ddl.fields))
+    names = keep + list(added)
+
+    def run(batches):
+        fn = make()
+        for batch in batches:
+            new = fn(batch)
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [new[k] for k in added], names=names)
+
+    return docs.mapInArrow(run, schema)
+
+
+def labelled(docs: DataFrame, labels: DataFrame, column: str, rows: int, learn=None) -> tuple[list[str], np.ndarray]:
+    """(texts, labels 0/1) of at most rows labelled documents, on the driver: the bounded sample a model is fitted on.
+
+    Documents are taken in the order of a hash of their id, so the choice depends on nothing else. learn: predicate on
+    doc_id of rows that may be learned from. Null labels and null ids are left out; of a document labelled twice the least
+    label counts; of repeated rows the least text.
+    """
+    labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).cast("int").alias("y")).dropna()
+    if learn is not None:
+        labels = labels.where(learn)
+    labels = labels.groupBy("doc_id").agg(F.min("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    found = texts.join(F.broadcast(labels), "doc_id").toPandas()  # labels: at most rows
+    found = found.sort_values(["doc_id", "text"]).drop_duplicates("doc_id")
+    return list(found["text"]), (found["y"].to_numpy() > 0).astype(np.int64)
+
+
+def calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float, float]:
+    """Platt scaling: (a, b) of sigmoid(a * x + b) by Newton's method, with Platt's smoothed targets."""
+    n1, n0 = int(y.sum()), int((1 - y).sum())
+    target = np.where(y > 0, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+    design = np.stack([x, np.ones_like(x)], 1).astype(float)
+    w = np.zeros(2)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
+        grad = design.T @ (p - target) + ridge * w
+        hess = (design * (p * (1 - p))[:, None]).T @ design + ridge * np.eye(2)
+        step = np.linalg.solve(hess, grad)
+        w -= np.clip(step, -5, 5)
+        if np.abs(step).max() < 1e-8:
+            break
+    return float(w[0]), float(w[1])
+
+
+def sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
+
+
+def by_range(docs: DataFrame, key: Column, target: int = 16 << 20, most: int = 4096) -> tuple[DataFrame, list[int]]:
+    """(docs with _bucket, cut points): ascending ranges of the long key with about target bytes of text each.
+
+    Cut points are approximate quantiles of the key over all rows, at most `most` numbers. Each bucket is an array: see
+    fingerprints for rows that go to two. The lookup is an Arrow UDF on the key alone.
+    """
+    stats = docs.select(key.alias("k"), F.octet_length(text_of()).alias("b")).agg(F.sum("b").alias("bytes"), F.count("*").alias("rows")).first()
+    n = partitions_for(stats["bytes"] or 0, target, most)
+    points: list[int] = []
+    if n > 1:
+        quantiles = docs.select(key.alias("k")).agg(F.percentile_approx("k", [i / n for i in range(1, n)], 20 * n).alias("q")).first()["q"]
+        points = sorted(set(quantiles))
+    edges = np.array(points, np.int64)
+
+    @F.pandas_udf("int")
+    def bucket(keys):
+        import pandas as pd
+
+        return pd.Series(np.searchsorted(edges, keys.to_numpy(), "left").astype(np.int32))
+
+    return docs.withColumn("_bucket", bucket(key)), points

@@ -8,24 +8,61 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.llm.common import read
+from graphloom.llm.fingerprints import fingerprint_stability
 from graphloom.llm.line_dedup import line_dedup
 from graphloom.llm.mixing import temperature_mix
+from graphloom.llm.packing import pack_documents
+from graphloom.llm.quality_classifier import folds, quality_classifier
+from graphloom.llm.quality_rules import quality_rules
+from graphloom.llm.toxicity import toxicity
 
 MAX_REPEATS = 2.0
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_stability(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return temperature_mix(docs, max_repeats=MAX_REPEATS).select("doc_id", "source", "epoch", "block", "n_tokens", "mix_key")
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_classifier(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels"), learn=folds(5) != 0)
+    return out.select("doc_id", (folds(5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(read(spark, sf_dir, "documents").select("doc_id", "text"), min_chars=20, min_docs=3)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels"), learn=folds(4) != 2)
+    return out.select("doc_id", (folds(4) == 2).alias("held_out"), "score", "predicted")
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+
+
+QUERIES = (op1_fingerprints, op3_temperature_mix, op5_quality_rules, op6_quality_classifier, op8_line_dedup, op9_toxicity, op10_packing)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_temperature_mix": op3_temperature_mix, "op8_line_dedup": op8_line_dedup}
+    return {q.__name__: q for q in QUERIES}
 
 
 OP3_SQL = r"""
