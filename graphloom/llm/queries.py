@@ -11,6 +11,7 @@ from graphloom.llm.common import read
 from graphloom.llm.fingerprints import fingerprint_stability
 from graphloom.llm.line_dedup import line_dedup
 from graphloom.llm.mixing import temperature_mix
+from graphloom.llm.near_dedup import near_components
 from graphloom.llm.packing import pack_documents
 from graphloom.llm.quality_classifier import folds, quality_classifier
 from graphloom.llm.quality_rules import quality_rules
@@ -44,6 +45,10 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (folds(5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_components(read(spark, sf_dir, "documents").select("doc_id", "text"), words=2, percent=80)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(read(spark, sf_dir, "documents").select("doc_id", "text"), min_chars=20, min_docs=3)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -58,7 +63,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
 
 
-QUERIES = (op1_fingerprints, op3_temperature_mix, op5_quality_rules, op6_quality_classifier, op8_line_dedup, op9_toxicity, op10_packing)
+QUERIES = (op1_fingerprints, op3_temperature_mix, op5_quality_rules, op6_quality_classifier, op7_near_dedup, op8_line_dedup, op9_toxicity, op10_packing)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
