@@ -216,3 +216,15 @@ def by_range(docs: DataFrame, key: Column, target: int = 16 << 20, most: int = 4
         return pd.Series(np.searchsorted(edges, keys.to_numpy(), "left").astype(np.int32))
 
     return docs.withColumn("_bucket", bucket(key)), points
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df written as Parquet under the shared checkpoint folder and read again."""
+    import uuid
+
+    sc = df.sparkSession.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="graphloom-"))
+    path = f"{sc._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

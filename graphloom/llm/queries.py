@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from graphloom.llm.common import read
 from graphloom.llm.fingerprints import fingerprint_stability
+from graphloom.llm.html_wrappers import extract_main_text
 from graphloom.llm.line_dedup import line_dedup
 from graphloom.llm.mixing import temperature_mix
 from graphloom.llm.near_dedup import near_components
 from graphloom.llm.packing import pack_documents
+from graphloom.llm.pii import personal_spans
 from graphloom.llm.quality_classifier import folds, quality_classifier
 from graphloom.llm.quality_rules import quality_rules
 from graphloom.llm.toxicity import toxicity
@@ -30,11 +32,20 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_stability(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = personal_spans(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_term")
+
+
 def op3_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return temperature_mix(docs, max_repeats=MAX_REPEATS).select("doc_id", "source", "epoch", "block", "n_tokens", "mix_key")
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(read(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -63,7 +74,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
 
 
-QUERIES = (op1_fingerprints, op3_temperature_mix, op5_quality_rules, op6_quality_classifier, op7_near_dedup, op8_line_dedup, op9_toxicity, op10_packing)
+QUERIES = (op1_fingerprints, op2_personal_data, op3_temperature_mix, op4_html_extraction, op5_quality_rules, op6_quality_classifier, op7_near_dedup, op8_line_dedup, op9_toxicity, op10_packing)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
