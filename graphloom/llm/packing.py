@@ -3,21 +3,24 @@
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections import deque
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import WORD, by_range, id_of, text_of, worker_store
+from graphloom.llm.common import by_range, id_of, raw, slices, span_hashes, strings, text_of, word_spans, worker_store
 
-SPLIT = re.compile(WORD)
 #: Words of plain letters with punctuation behind, which need nothing of the tokenizer but its model.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-;=?@\[-`{}~]*)")
-SENTENCE = re.compile(r".*[.!?…]['\")\]]*$", re.S)
-CACHE_WORDS = 400_000
+#: Bytes that end a sentence, and closing marks that may follow them.
+STOPS, CLOSERS = np.zeros(256, bool), np.zeros(256, bool)
+STOPS[list(b".!?")], CLOSERS[list(b"'\")]")] = True, True
+CACHE_WORDS = 700_000
 #: Costs in tokens: of cutting at a sentence's end, and elsewhere. A document's end costs nothing, a token of padding 1.
 SENTENCE_COST, HARD_COST = 2, 8
 
@@ -31,7 +34,8 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.words: dict[str, bytes] = worker_store(f"ids {path}")
+        self.words: dict[bytes, bytes] = worker_store(f"ids {path}")
+        self.marks: dict[str, list[int]] = {}
         # The byte alphabet of byte-level BPE: printable bytes stand for themselves, others follow from 256 on.
         same = {*range(33, 127), *range(161, 173), *range(174, 256)}
         rest = iter(range(256, 512))
@@ -40,31 +44,50 @@ class WordIds:
     def encode(self, word: str) -> bytes:
         plain = PLAIN.fullmatch(word)
         if plain:
-            low = plain[1].lower()
+            low, marks = plain[1].lower(), plain[2]
             if not low.isascii():
-                low = "".join(self.letters[b] for b in low.encode())
+                low = "".join([self.letters[b] for b in low.encode()])
             ids = [t.id for t in self.model.tokenize(low)]
-            if plain[2]:
-                ids += [t.id for t in self.model.tokenize(plain[2])]
+            if marks:
+                ids += self.marks.get(marks) or self.marks.setdefault(marks, [t.id for t in self.model.tokenize(marks)])
         else:
             ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
-
-    def __call__(self, text: str) -> tuple[list[str], list[bytes]]:
-        words = SPLIT.findall(text)
-        known = self.words
-        out = list(map(known.get, words))
-        if None in out:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def __call__(self, texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text its ids (uint32), and how many of them precede each sentence's end.
+
+        Equal words of a slice of texts are found by their 64-bit hash, looked up once, and their ids gathered.
+        """
+        data, offsets = raw(texts)
+        out = []
+        for i, j in slices(offsets, 4 << 20):
+            part, own = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+            starts, ends, first = word_spans(part, own)
+            codes, _ = pd.factorize(span_hashes(part, starts, ends))
+            where = np.empty(codes.max() + 1 if len(codes) else 0, np.int64)
+            where[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)  # the first place of each
+            buffer, known = part.tobytes(), self.words
             if len(known) > CACHE_WORDS:
                 known.clear()
-            for i, ids in enumerate(out):
-                if ids is None:
-                    w = words[i]
-                    got = known.get(w)
-                    if got is None:
-                        got = known[w] = self.encode(w)
-                    out[i] = got
-        return words, out
+            found = []
+            for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True):
+                w = buffer[a:b]
+                found.append(known.get(w) or known.setdefault(w, self.encode(w.decode())))
+            flat = np.frombuffer(b"".join(found), "<u4")
+            sizes = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+            begin = np.cumsum(sizes) - sizes
+            length = sizes[codes]
+            upto = np.concatenate([[0], np.cumsum(length)])
+            ids = flat[np.repeat(begin[codes] - upto[:-1], length) + np.arange(upto[-1])]
+            last = ends - 1
+            for _ in range(3):
+                last = last - (CLOSERS[part[last]] & (last > starts))
+            stop = STOPS[part[last]] if len(last) else np.zeros(0, bool)
+            for k in range(i, j):
+                lo, hi = first[k - i], first[k - i + 1]
+                out.append((ids[upto[lo] : upto[hi]], np.unique(upto[lo + 1 : hi + 1][stop[lo:hi]] - upto[lo])))
+        return out
 
 
 def cuts(ends: np.ndarray, costs: np.ndarray, size: int) -> list[int]:
@@ -145,18 +168,17 @@ def pack_documents(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: in
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), id_of().alias("_d"), text_of().alias("text"))
     ranged, points = by_range(base, F.col("_d"), target_bytes)
     ranged = ranged.repartitionById(len(points) + 1, "_bucket").sortWithinPartitions("_bucket", "_d", "text")
-    end_bytes = int(end_id).to_bytes(4, "little")
 
     def run(batches):
         encoder = WordIds(tokenizer)
         schema = pa.schema([(field.split()[0], pa.int64()) for field in PIECES.split(", ")])
         ids: list[int | None] = []
-        streams: list[bytes] = []
+        streams: list[np.ndarray] = []
         inner: list[np.ndarray] = []
         bucket = None
 
         def flush():
-            lengths = [len(s) // 4 for s in streams]
+            lengths = [len(s) for s in streams]
             ends, costs = possible(lengths, inner, size)
             chosen = cuts(ends, costs, size)
             start = chosen[-2] if len(chosen) > 1 else 0
@@ -167,7 +189,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: in
                 begin = at
                 while at < end:
                     take = min(end - at, lengths[doc] - used)
-                    piece = streams[doc][4 * used : 4 * (used + take)]
+                    piece = streams[doc][used : used + take].tobytes()
                     rows.append((ids[doc], used, take, zlib.crc32(piece), lengths[doc], (bucket << 32) + number, at - begin))
                     at, used = at + take, used + take
                     if used == lengths[doc]:
@@ -175,17 +197,15 @@ def pack_documents(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: in
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=schema)
 
         for batch in batches:
-            for b, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("_bucket", "doc_id", "text")), strict=True):
+            encoded = encoder(strings(batch, "text"))
+            for b, doc_id, (stream, stops) in zip(batch.column("_bucket").to_pylist(), batch.column("doc_id").to_pylist(), encoded, strict=True):
                 if b != bucket and streams:
                     yield flush()
                     ids, streams, inner = [], [], []
                 bucket = b
-                words, parts = encoder(text)
-                stops = [i for i, w in enumerate(words) if w[-1] in ".!?…\"')]" and SENTENCE.match(w)]
-                counts = np.cumsum([len(p) // 4 for p in parts]) if parts else np.zeros(0, np.int64)
                 ids.append(doc_id)
-                streams.append(b"".join(parts) + end_bytes)
-                inner.append(np.unique(counts[stops]) if stops else np.zeros(0, np.int64))
+                streams.append(np.append(stream, np.uint32(end_id)).astype("<u4"))
+                inner.append(stops)
         if streams:
             yield flush()
 
