@@ -1,8 +1 @@
 """Operators for large training-data pipelines. Nothing else in the library imports this subpackage."""
-
-import sys
-
-from pyspark import cloudpickle
-
-# Executors may not have this repository on their path: ship these functions by value.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
