@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import id_of, pack, text_of, unpack
+from graphloom.llm.common import cut, id_of, pack, text_of, unpack
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -34,7 +34,7 @@ def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataF
     lines = base.select("_d", "_t", F.posexplode("_lines").alias("_pos", "_line")).select("_d", "_t", "_pos", line_key(F.col("_line")).alias("_key"))
     lines = lines.where(F.length("_key") >= min_chars).select("_d", "_t", "_pos", F.xxhash64("_key").alias("_h1"), F.xxhash64(F.lit("line"), "_key").alias("_h2"))
     common = lines.groupBy("_h1", "_h2", "_d").agg(F.lit(1).alias("_one")).groupBy("_h1", "_h2").agg(F.count("*").alias("_docs"), F.max("_d").alias("_last"))
-    common = common.where(F.col("_docs") >= min_docs).select("_h1", "_h2", "_last")
+    common = cut(common.where(F.col("_docs") >= min_docs).select("_h1", "_h2", "_last"))
     gone = lines.join(common, ["_h1", "_h2"]).where(F.col("_d") != F.col("_last")).groupBy("_d", "_t").agg(F.collect_set("_pos").alias("_gone"))
     stays = F.filter(F.col("_lines"), lambda _, i: ~F.array_contains(F.col("_gone"), i))
     return unpack(
