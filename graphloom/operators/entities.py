@@ -125,4 +125,8 @@ def shares_entity(entities: DataFrame, edges: DataFrame, chunks: DataFrame, min_
 def surface_entities(text: Column) -> Column:
     """A local stand-in for a model: e-mail addresses, phone numbers, dates and capitalised words of a text, as the payload type."""
     found = [("EMAIL", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"), ("PHONE", r"\+[0-9][0-9 ().-]{7,}[0-9]"), ("DATE", r"\b[0-9]{4}-[0-9]{2}-[0-9]{2}\b"), ("OTHER", r"\b[A-Z][a-z]{3,}\b")]
-    return F.concat(*[F.transform(F.regexp_extract_all(text, F.lit(p), 0), lambda x, k=k: F.struct(F.lit(k).alias("entity_type"), x.alias("text"))) for k, p in found])
+
+    def named(kind: str):
+        return lambda x: F.struct(F.lit(kind).alias("entity_type"), x.alias("text"))
+
+    return F.concat(*[F.transform(F.regexp_extract_all(text, F.lit(p), 0), named(k)) for k, p in found])

@@ -27,7 +27,7 @@ def _block(vectors: DataFrame, keys: list, matrix: np.ndarray, k: int) -> DataFr
         which = np.zeros((len(names), 0), object)
         for batch in batches:
             lists = batch.column("v")
-            if not len(lists):
+            if not len(lists) or not len(names):
                 continue
             rows = np.array(lists.to_pylist(), np.float64).reshape(len(lists), -1)
             norms = np.linalg.norm(rows, axis=1)
@@ -38,7 +38,8 @@ def _block(vectors: DataFrame, keys: list, matrix: np.ndarray, k: int) -> DataFr
                 order = np.stack([np.lexsort((w, -b))[:k] for b, w in zip(best.round(9), which, strict=True)])
                 best, which = np.take_along_axis(best, order, 1), np.take_along_axis(which, order, 1)
         width = best.shape[1]
-        yield pa.RecordBatch.from_arrays([pa.array([n for n in names for _ in range(width)]), pa.array(which.ravel().tolist(), pa.array(names).type), pa.array(best.ravel())], names=["src", "dst", "score"])
+        if width and len(names):
+            yield pa.RecordBatch.from_arrays([pa.array([n for n in names for _ in range(width)]), pa.array(which.ravel().tolist(), pa.array(names).type), pa.array(best.ravel())], names=["src", "dst", "score"])
 
     kind = vectors.schema["id"].dataType.simpleString()
     return vectors.mapInArrow(run, f"src {kind}, dst {kind}, score double")
@@ -52,13 +53,13 @@ def nearest(vectors: DataFrame, k: int, queries: DataFrame | None = None) -> Dat
     """
     vectors = vectors.where(F.col("v").isNotNull()).select("id", F.col("v").cast("array<double>").alias("v"))
     asked = vectors if queries is None else vectors.join(queries.select("id").distinct(), "id", "left_semi")
-    n = asked.count()
+    n = asked.count()  # an action: decides the number of passes
     blocks = max(1, -(-n // QUERY_BLOCK))
     found = None
     for b in range(blocks):
         part = asked if blocks == 1 else asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b)
         rows = part.collect()  # about QUERY_BLOCK rows
-        matrix = np.array([r["v"] for r in rows], np.float64).reshape(len(rows), -1)
+        matrix = np.array([r["v"] for r in rows], np.float64).reshape(len(rows), -1 if rows else 0)
         norms = np.linalg.norm(matrix, axis=1)
         got = _block(vectors, [r["id"] for r in rows], matrix / np.where(norms > 0, norms, 1)[:, None], k)
         found = got if found is None else found.union(got)

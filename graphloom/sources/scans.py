@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,7 +98,6 @@ def word_text(spark: SparkSession, path: str) -> DataFrame:
 
 def docx_text(spark: SparkSession, path: str) -> DataFrame:
     """(path, text) of .docx files: paragraphs joined by line feeds. A .docx is a zip of XML; broken files give null."""
-    import pandas as pd
 
     @F.pandas_udf("string")
     def paragraphs(contents: pd.Series) -> pd.Series:
