@@ -32,6 +32,8 @@ INVISIBLE = re.compile("[­​-‏⁠﻿]")
 WORDS = re.compile(r"\w+")
 #: A stem is a word's beginning of so many characters.
 STEMS = (3, 4, 5, 6, 7)
+#: A stem stands for words not seen, so more of the texts that have it must be toxic.
+STEM_PRECISION = 0.95
 
 
 def fold(text: str) -> str:
@@ -42,6 +44,9 @@ def fold(text: str) -> str:
     return text.replace("|", "#").translate(LOOKALIKES)
 
 
+SEEDS = {fold(term): w for term, w in SEED_TERMS.items()}
+
+
 class Lexicon:
     """weights: by folded term; a term that ends in * matches every word that begins so. exceptions: folded phrases."""
 
@@ -81,51 +86,48 @@ def learn_lexicon(texts: list[str], y: np.ndarray, min_share: float = 0.008, min
     """Terms and exceptions from labelled texts, beside the seeds.
 
     A word or stem enters if at least max(3, min_share of the toxic texts) and min_precision of the texts that have it are
-    toxic. Weights are smoothed log odds. Near copies count once: texts are counted by their word of the least hash. A stem
+    toxic, more than chance explains among all terms tried (half an accident among them is expected). Weights are smoothed log odds. Near copies count once: texts are counted by their word of the least hash. A stem
     must stand for three words; words under a stem are left to it. Seeds that the labels contradict are dropped.
     """
-    having: list[dict[str, set[int]]] = [defaultdict(set), defaultdict(set)]
-    kin: dict[str, set[str]] = defaultdict(set)
-    pairs: list[Counter] = [Counter(), Counter()]
-    kinds = [set(), set()]
-    for text, label in zip(texts, y, strict=True):
-        words = WORDS.findall(fold(text))
-        distinct = set(words)
-        group = min((zlib.crc32(w.encode()) for w in distinct), default=0)
-        kinds[label].add(group)
-        for w in distinct:
-            having[label][w].add(group)
-            if label:
-                for k in STEMS:
-                    if len(w) > k:
-                        having[1][w[:k] + "*"].add(group)
-                        kin[w[:k] + "*"].add(w)
-            else:
-                for k in STEMS:
-                    if len(w) > k and w[:k] + "*" not in having[0]:
-                        having[0][w[:k] + "*"].add(group)
-                    elif len(w) > k and len(having[0][w[:k] + "*"]) < 1000:
-                        having[0][w[:k] + "*"].add(group)
-        pairs[label].update(zip(words, words[1:], strict=False))
-    toxic, clean = max(len(kinds[1]), 1), max(len(kinds[0]), 1)
+    folded = [WORDS.findall(fold(text)) for text in texts]
+    groups: list[dict[int, set[str]]] = [defaultdict(set), defaultdict(set)]
+    for words, label in zip(folded, y, strict=True):
+        groups[label][min((zlib.crc32(w.encode()) for w in set(words)), default=0)].update(words)
+    toxic, clean = max(len(groups[1]), 1), max(len(groups[0]), 1)
     least = max(3, min_share * toxic)
-    odds = lambda term: float(np.log((len(having[1][term]) + 0.5) / (toxic + 1)) - np.log((len(having[0].get(term, ())) + 0.5) / (clean + 1)))
-    good = {t for t, g in having[1].items() if len(g) >= least and len(g) >= min_precision * (len(g) + len(having[0].get(t, ())))}
+    stems_of = lambda words: {w[:k] + "*" for w in words for k in STEMS if len(w) > k}
+    bad = Counter(t for words in groups[1].values() for t in words | stems_of(words))
+    bad = Counter({t: n for t, n in bad.items() if n >= least or t in SEEDS})
+    good_texts = Counter(t for words in groups[0].values() for t in (words | stems_of(words)) if t in bad or t in SEEDS)
+    kin: dict[str, set[str]] = defaultdict(set)
+    for words in groups[1].values():
+        for w in words:
+            for k in STEMS:
+                if len(w) > k and w[:k] + "*" in bad:
+                    kin[w[:k] + "*"].add(w)
+    odds = lambda t: float(np.log((bad[t] + 0.5) / (toxic + 1)) - np.log((good_texts[t] + 0.5) / (clean + 1)))
+    base = toxic / (toxic + clean)
+    tried = sum(n >= least for n in bad.values())
+
+    def chance(n: int, m: int) -> float:
+        """Chernoff's bound on the logarithm of the probability that n or more of n + m texts are toxic by chance."""
+        share = n / (n + m)
+        return -(n + m) * (share * np.log(share / base) + ((1 - share) * np.log((1 - share) / (1 - base)) if m else 0.0)) if share > base else 0.0
+
+    good = {t for t, n in bad.items() if n >= least and n >= min_precision * (n + good_texts[t]) and chance(n, good_texts[t]) <= np.log(0.5 / tried)}
     stems: set[str] = set()
-    for t in sorted((t for t in good if t.endswith("*") and len(kin[t]) >= 3), key=lambda t: (len(t), t)):
+    for t in sorted((t for t in good if t.endswith("*") and len(kin[t]) >= 3 and bad[t] >= STEM_PRECISION * (bad[t] + good_texts[t])), key=lambda t: (len(t), t)):
         if not any(t.startswith(s[:-1]) for s in stems):
             stems.add(t)
     chosen = stems | {t for t in good if not t.endswith("*") and not any(t.startswith(s[:-1]) for s in stems)}
     weights = {t: odds(t) for t in sorted(chosen, key=lambda t: (-odds(t), t))[:max_terms]}
-    for term, w in SEED_TERMS.items():
-        term = fold(term)
-        seen = len(having[1].get(term, ())), len(having[0].get(term, ()))
-        if seen[1] <= 1 + seen[0]:
+    for term, w in SEEDS.items():
+        if good_texts[term] <= 1 + bad[term]:
             weights.setdefault(term, w)
-    exceptions = {fold(x) for x in SEED_EXCEPTIONS}
-    for (a, b), n in pairs[0].items():
-        if n >= 3 and (a in weights or b in weights) and not pairs[1][a, b]:
-            exceptions.add(f"{a} {b}")
+    pairs = [Counter(), Counter()]
+    for words, label in zip(folded, y, strict=True):
+        pairs[label].update((a, b) for a, b in zip(words, words[1:], strict=False) if a in weights or b in weights)
+    exceptions = {fold(x) for x in SEED_EXCEPTIONS} | {f"{a} {b}" for (a, b), n in pairs[0].items() if n >= 3 and not pairs[1][a, b]}
     return weights, exceptions
 
 
