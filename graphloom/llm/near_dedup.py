@@ -9,16 +9,22 @@ from pyspark.sql import functions as F
 
 from graphloom.llm.common import LOWER, NO_ID, annotate, cut, id_of, mix, pack, raw, slices, span_hashes, strings, text_of, unpack, word_spans
 
-TREES = 12
-DEPTH = 7
+TREES = 16
 #: Depths at which nodes are looked at; a pair of Jaccard similarity s shares a node of depth d in one tree with probability s^d.
-LEVELS = (2, 4, 7)
-#: A node of so many sets is compared pair by pair; a larger one is linked through its least member and branched further.
+LEVELS = (2, 3)
+DEPTH = LEVELS[-1]
+#: Minwise tokens in all; those beyond the trees' only sharpen the sketch.
+TOKENS = 80
+#: A node of so many sets is compared pair by pair; a larger one is branched further, and at the last depth becomes one cluster.
 SMALL = 32
-#: Of the signature's tokens so large a share must agree before whole sets are compared: over four standard deviations below 0.8.
-SCREEN = 0.58
+#: Of the sketch so large a share must agree before whole sets are compared: over four standard deviations below 0.8.
+SCREEN = 0.6
+#: Sets of a block; a task compares the sets of two blocks of one cluster.
+BLOCK = 256
+#: Bits of the bitmap by which texts of no candidate are passed over: 2 MB, whatever the data.
+BITMAP = 24
 #: Odd multipliers of the minwise hash functions.
-FACTORS = mix(np.arange(1, TREES * DEPTH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+FACTORS = mix(np.arange(1, TOKENS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
 def shingle_words(text: str) -> list[bytes]:
@@ -35,7 +41,7 @@ def shingles(text: str, words: int) -> frozenset:
 
 
 def signatures(texts: pa.Array, words: int) -> dict[str, np.ndarray]:
-    """For each text: n_shingles, a 128-bit digest of the set (k1, k2) and the minwise tokens (TREES * DEPTH of 32 bits)."""
+    """For each text: n_shingles, a 128-bit digest of the set (k1, k2) and the minwise tokens (TOKENS of 32 bits)."""
     data, offsets = raw(texts)
     data = LOWER[data]
     n = len(texts)
@@ -84,51 +90,158 @@ def chunk(data: np.ndarray, offsets: np.ndarray, i: int, j: int, words: int, out
         out["sig"][rows, f] = np.minimum.reduceat((g * factor >> np.uint64(32)).astype(np.uint32), heads)
 
 
+def branches(sig: np.ndarray) -> np.ndarray:
+    """For each set and tree its nodes at LEVELS: 64-bit hashes of the tree and the tokens chosen on the way down."""
+    out = np.empty((len(sig), TREES, len(LEVELS)), np.uint64)
+    for t in range(TREES):
+        h = np.full(len(sig), t + 1, np.uint64)
+        for depth in range(1, DEPTH + 1):
+            h = mix(h * np.uint64(0x9E3779B97F4A7C15) + sig[:, t * DEPTH + depth - 1].astype(np.uint64) + np.uint64(1))
+            if depth in LEVELS:
+                out[:, t, LEVELS.index(depth)] = h
+    return out
+
+
+def lists(values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, values.size + 1, values.shape[1], dtype=np.int32)), pa.array(values.ravel()))
+
+
 def signed(docs: DataFrame, words: int) -> DataFrame:
-    """The columns of docs but _text, with _n, _k1, _k2 and _sig (array of int)."""
+    """The columns of docs but _text, with _n, _k1, _k2, _nodes (see branches()) and _sketch (a byte of each minwise token)."""
 
     def make():
         def run(batch):
             found = signatures(strings(batch, "_text"), words)
-            flat = pa.array(found["sig"].view(np.int32).ravel())
-            width = len(FACTORS)
-            sig = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, width, dtype=np.int32)), flat)
-            return {"_n": pa.array(found["n"]), "_k1": pa.array(found["k1"].view(np.int64)), "_k2": pa.array(found["k2"].view(np.int64)), "_sig": sig}
+            nodes = branches(found["sig"]).reshape(batch.num_rows, -1).view(np.int64)
+            sketch = (found["sig"] >> np.uint32(24)).astype(np.uint8).view(np.int8)
+            return {"_n": pa.array(found["n"]), "_k1": pa.array(found["k1"].view(np.int64)), "_k2": pa.array(found["k2"].view(np.int64)), "_nodes": lists(nodes), "_sketch": lists(sketch)}
 
         return run
 
-    return annotate(docs, make, {"_n": "long", "_k1": "long", "_k2": "long", "_sig": "array<int>"}).drop("_text")
+    return annotate(docs, make, {"_n": "long", "_k1": "long", "_k2": "long", "_nodes": "array<long>", "_sketch": "array<tinyint>"}).drop("_text")
+
+
+def texts_of(ends: DataFrame, docs: DataFrame) -> DataFrame:
+    """(_d, _text) of docs whose _d is among ends, and of a few more: a bitmap of fixed size decides without a shuffle."""
+    place = F.xxhash64("_d").bitwiseAND((1 << BITMAP) - 1)
+    parts = ends.select((place + 1).alias("x")).groupBy(F.bitmap_bucket_number("x").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("x")).alias("m")).collect()
+    bitmap = np.zeros(1 << BITMAP >> 3, np.uint8)
+    for r in parts:  # at most 2^BITMAP bits in all
+        at = (r["b"] - 1) * 4096
+        bitmap[at : at + 4096] = np.frombuffer(bytes(r["m"]), np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+
+    def run(batches):
+        for batch in batches:
+            x = batch.column("_x").to_numpy()
+            yield batch.filter(pa.array((shared.value[x >> 3] >> (x & 7) & 1).astype(bool))).select(["_d", "_text"])
+
+    return docs.select("_d", "_text", place.alias("_x")).mapInArrow(run, "_d long, _text string")
+
 
+def clusters(rows: DataFrame, sketches: DataFrame) -> DataFrame:
+    """(_d, _comp): sets that may be similar, in clusters, of rows(_d, _2, _3) with their nodes in every tree.
 
-def verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Of the candidate pairs(a, b) those that are similar, by their whole sets; screened by signature first."""
-    s = sets.select("_d", "_sig")
-    near = pairs.join(s.select(F.col("_d").alias("a"), F.col("_sig").alias("_sa")), "a").join(s.select(F.col("_d").alias("b"), F.col("_sig").alias("_sb")), "b")
+    Members of a small node are compared by sketch, pair by pair; large nodes branch once more, and those large still are one
+    cluster each, whatever the sketches say. Clusters are the components of these edges; only ids and sketches move.
+    """
+    found, here = None, rows
+    for depth in LEVELS:
+        node = F.col(f"_{depth}").alias("_node")
+        stats = cut(here.groupBy(node).agg(F.count("*").alias("_size"), F.min("_d").alias("_least")).where("_size > 1"))
+        members = here.select("_d", node).join(stats.where(F.col("_size") <= SMALL).select("_node"), "_node").groupBy("_node").agg(F.array_sort(F.collect_set("_d")).alias("_m"))
+        every = F.flatten(F.transform("_m", lambda x, i: F.transform(F.slice("_m", i + 2, SMALL), lambda y: F.struct(x.alias("a"), y.alias("b")))))
+        pairs = members.select(F.explode(every).alias("p")).select("p.a", "p.b").distinct()
+        found = pairs if found is None else found.union(pairs)
+        large = stats.where(F.col("_size") > SMALL)
+        if depth != DEPTH:
+            here = cut(here.join(large.select(F.col("_node").alias(f"_{depth}")), f"_{depth}", "left_semi"))
+        else:
+            stars = here.select("_d", node).join(large, "_node").where(F.col("_d") != F.col("_least")).select(F.col("_least").alias("a"), F.col("_d").alias("b")).distinct()
+    s = sketches.select("_d", "_sketch")
+    near = cut(found.distinct()).join(s.select(F.col("_d").alias("a"), F.col("_sketch").alias("_sa")), "a").join(s.select(F.col("_d").alias("b"), F.col("_sketch").alias("_sb")), "b")
     agree = F.size(F.filter(F.zip_with("_sa", "_sb", lambda x, y: x == y), lambda x: x))
-    near = cut(near.where(agree >= int(SCREEN * len(FACTORS))).select("a", "b").distinct())
-    both = near.join(texts.select(F.col("_d").alias("a"), F.col("_text").alias("ta")), "a").join(texts.select(F.col("_d").alias("b"), F.col("_text").alias("tb")), "b")
+    return components(cut(near.where(agree >= int(SCREEN * TOKENS)).select("a", "b").union(stars)))
+
+
+class Forest(dict):
+    """Union-find over the positions of a task's sets."""
+
+    def find(self, x: int) -> int:
+        while self.setdefault(x, x) != x:
+            self[x] = x = self[self[x]]
+        return x
+
+
+def compare(ids: list[int], texts: list[str], sketches: np.ndarray, low: int, words: int, percent: int) -> list[tuple[int, int]]:
+    """Links among a block's sets (low = len(ids)), or of the first low sets with the others. Pairs pass the sketches, then their whole
+    sets decide; of sets joined already no further pair is tried, so at most len(ids) - 1 links come out."""
+    sets = [None] * len(ids)
+    forest, links, n = Forest(), [], len(ids)
+
+    def of(k):
+        if sets[k] is None:
+            sets[k] = shingles(texts[k], words)
+        return sets[k]
+
+    for i in range(low):
+        start = i + 1 if low == n else low
+        agree = (sketches[start:] == sketches[i]).sum(1)
+        order = np.flatnonzero(agree >= int(SCREEN * TOKENS))
+        for j in (start + order[np.argsort(-agree[order], kind="stable")]).tolist():
+            x, y = forest.find(i), forest.find(j)
+            if x == y:
+                continue
+            a, b = of(i), of(j)
+            if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+                continue
+            common = len(a & b)
+            if a and b and 100 * common >= percent * (len(a) + len(b) - common):
+                forest[max(x, y)] = min(x, y)
+                links.append((ids[i], ids[j]))
+    return links
+
+
+def verified(groups: DataFrame, sketches: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) among the sets of each cluster of groups(_d, _comp), confirmed on whole sets.
+
+    A cluster is dealt by hash into blocks of about BLOCK sets; a task's unit of work is two blocks of one cluster (or one with itself),
+    so that no group of any size meets in one task, and every pair of a cluster meets once. A set is sent once for each block of its cluster.
+    """
+    sizes = groups.groupBy("_comp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
+    dealt = groups.join(cut(sizes), "_comp").withColumn("_b", F.pmod(F.xxhash64("_d"), F.col("_blocks")).cast("int"))
+    dealt = dealt.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    work = dealt.select("_d", "_comp", F.least("_b", "_o").alias("_i"), F.greatest("_b", "_o").alias("_j"), (F.col("_b") > F.col("_o")).alias("_second"))
+    ends = groups.select("_d")
+    full = texts_of(ends, docs).join(sketches.select("_d", "_sketch"), "_d")
+    full = work.join(full, "_d").repartition("_comp", "_i", "_j").sortWithinPartitions("_comp", "_i", "_j", "_second", "_d")
 
     def run(batches):
-        kept: dict[str, frozenset] = {}
+        key, ids, texts, sketches_, low = None, [], [], [], 0
 
-        def of(text):
-            got = kept.get(text)
-            if got is None:
-                if len(kept) >= 64:
-                    kept.clear()
-                got = kept[text] = shingles(text, words)
-            return got
+        def links():
+            first = low if key[1] != key[2] else len(ids)
+            return compare(ids, texts, np.array(sketches_, np.int8).reshape(len(ids), -1), first, words, percent)
 
         for batch in batches:
-            hits = []
-            for a, b, ta, tb in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "ta", "tb")), strict=True):
-                x, y = of(ta), of(tb)
-                common = len(x & y)
-                if x and y and 100 * common >= percent * (len(x) + len(y) - common):
-                    hits.append((a, b))
-            yield pa.RecordBatch.from_arrays([pa.array([h[k] for h in hits], pa.int64()) for k in (0, 1)], names=["a", "b"])
-
-    return cut(both.mapInArrow(run, "a long, b long").distinct())
+            out = []
+            columns = (batch.column(c).to_pylist() for c in ("_comp", "_i", "_j", "_second", "_d", "_text"))
+            sketch = batch.column("_sketch").flatten().to_numpy().reshape(batch.num_rows, -1)
+            for k, (comp, i, j, second, d, text) in enumerate(zip(*columns, strict=True)):
+                if (comp, i, j) != key:
+                    if key is not None:
+                        out += links()
+                    key, ids, texts, sketches_, low = (comp, i, j), [], [], [], 0
+                low += not second
+                ids.append(d)
+                texts.append(text)
+                sketches_.append(sketch[k])
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+        if key is not None:
+            out = links()
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return cut(full.select("_comp", "_i", "_j", "_second", "_d", "_text", "_sketch").mapInArrow(run, "a long, b long").where("a <> b").distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -147,35 +260,6 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def paths(sets: DataFrame, depth: int) -> DataFrame:
-    """A row for each set and tree: the node at that depth, by a 64-bit hash of the tree and the tokens chosen on the way."""
-    nodes = [F.xxhash64(F.lit(t), F.slice("_sig", t * DEPTH + 1, depth)) for t in range(TREES)]
-    return sets.select("_d", "_comp", F.explode(F.array(*nodes)).alias("_node"))
-
-
-def candidates(sets: DataFrame, depth: int, last: bool) -> tuple[DataFrame, DataFrame]:
-    """(pairs a < b that share a node, nodes too large for that) at one depth, of sets not in one component yet.
-
-    Large nodes give a pair of every member with the least one; at the last depth they give all pairs across components instead,
-    by a join that adaptive execution splits.
-    """
-    rows = paths(sets, depth)
-    stats = cut(rows.groupBy("_node").agg(F.count("*").alias("_size"), F.min("_d").alias("_least"), F.min("_comp").alias("_c0"), F.max("_comp").alias("_c1")).where("_size > 1 and _c0 <> _c1").drop("_c0", "_c1"))
-    joined = rows.join(stats, "_node")
-    lists = joined.where(F.col("_size") <= SMALL).groupBy("_node").agg(F.collect_list(F.struct(F.col("_d").alias("d"), F.col("_comp").alias("c"))).alias("_m"))
-    sorted_ = F.array_sort("_m")
-    every = F.flatten(F.transform(sorted_, lambda x, i: F.transform(F.filter(F.slice(sorted_, i + 2, SMALL), lambda y: y["c"] != x["c"]), lambda y: F.struct(x["d"].alias("a"), y["d"].alias("b")))))
-    pairs = lists.select(F.explode(every).alias("p")).select("p.a", "p.b").where("a <> b")
-    large = stats.where(F.col("_size") > SMALL)
-    if last:
-        left = joined.where(F.col("_size") > SMALL)
-        other = rows.join(large.select("_node"), "_node", "left_semi").select("_node", F.col("_d").alias("b"), F.col("_comp").alias("_cb"))
-        rest = left.join(other, "_node").where((F.col("_d") < F.col("b")) & (F.col("_comp") != F.col("_cb"))).select(F.col("_d").alias("a"), "b")
-    else:
-        rest = joined.where((F.col("_size") > SMALL) & (F.col("_d") != F.col("_least"))).select(F.col("_least").alias("a"), F.col("_d").alias("b"))
-    return pairs.union(rest).distinct(), large
-
-
 def near_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """A row for each row of docs: doc_id, n_shingles, component_id (long) and kept (boolean).
 
@@ -184,32 +268,19 @@ def near_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     words) are linked with nothing. Rows of one doc_id count as one document; a null doc_id is least of all; it is shown as null.
     An empty table gives an empty one.
 
-    Equal sets are one class first, by a 128-bit digest, and go on as its least doc_id. Each class descends TREES trees, at each
-    step choosing the branch by its next minwise token. Nodes of at most SMALL classes are compared pair by pair; larger ones
-    are linked through their least member, and those that still hold several components branch on; at the last depth all pairs across
-    components are compared, so no node is given up. Links are confirmed on whole sets. A similarity of 0.8 shares
-    a node of depth 2 in one of 12 trees with probability 0.999995, of depth 4 with 0.998. No group is gathered in one
-    task: copies are one class, groups of near copies are stars, and joins on a common node or member are split by adaptive execution.
+    Equal sets are one class first, by a 128-bit digest, and go on as its least doc_id. Each class descends TREES trees, at each step
+    choosing the branch by its next minwise token. Nodes of at most SMALL classes are compared pair by pair; larger ones branch on, and are
+    clusters whole at the last depth, so none is given up. Inside clusters every pair that sketches leave open is decided on whole
+    sets, block by block (see verified()). A similarity of 0.8 shares a node of depth 2 in one of 16 trees with probability 0.9999999, of
+    depth 3, if larger groups share the one above, with 0.99999. Copies are one class; no group of near copies meets in one task.
     """
     base = docs.select(id_of().alias("_d"), text_of().alias("_text"))
     narrow = cut(signed(base, words))
-    classes = narrow.where("_n > 0").groupBy("_k1", "_k2", "_n").agg(F.min("_d").alias("_rep"), F.count("*").alias("_rows"))
-    classes = cut(classes)
-    sets = narrow.join(classes.select(F.col("_rep").alias("_d"), "_k1", "_k2", "_n"), ["_d", "_k1", "_k2", "_n"], "left_semi").select("_d", "_sig").withColumn("_comp", F.col("_d"))
-    sets = sets.dropDuplicates(["_d", "_sig"])
-    edges = None
-    comps = None
-    for depth in LEVELS:
-        pairs, large = candidates(sets, depth, depth == LEVELS[-1])
-        involved = cut(pairs)
-        ends = involved.select(F.col("a").alias("_d")).union(involved.select("b")).distinct()
-        texts = base.join(ends, "_d", "left_semi")
-        found = verified(involved, sets, texts, words, percent)
-        edges = found if edges is None else edges.union(found)
-        comps = components(edges)
-        if large.isEmpty():
-            break
-        sets = sets.drop("_comp").join(comps, "_d", "left").withColumn("_comp", F.coalesce("_comp", "_d"))
+    classes = cut(narrow.where("_n > 0").groupBy("_k1", "_k2", "_n").agg(F.min("_d").alias("_rep"), F.count("*").alias("_rows")))
+    sets = narrow.join(classes.select(F.col("_rep").alias("_d"), "_k1", "_k2", "_n"), ["_d", "_k1", "_k2", "_n"], "left_semi").dropDuplicates(["_d", "_k1", "_k2"])
+    nodes = [F.struct(*[F.col("_nodes")[t * len(LEVELS) + i].alias(f"_{depth}") for i, depth in enumerate(LEVELS)]) for t in range(TREES)]
+    rows = sets.select("_d", F.inline(F.array(*nodes)))
+    comps = components(verified(clusters(rows, sets), sets, base, words, percent))
     named = classes.join(comps.withColumnRenamed("_d", "_rep"), "_rep", "left").where("_rows > 1 or _comp is not null")
     named = cut(named.select("_k1", "_k2", "_n", F.coalesce("_comp", "_rep").alias("_comp")))
     marked = narrow.select("_d", "_k1", "_k2", "_n").join(named, ["_k1", "_k2", "_n"], "left").withColumn("_comp", F.coalesce("_comp", "_d"))
