@@ -36,6 +36,8 @@ ARTICLES = frozenset("article post story entry content main body".split())
 #: A start tag of one closes an open element of the other kinds.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("ul ol dl table body article section div main aside nav td".split())
+#: Wrappers of so many bytes in all are broadcast.
+BROADCAST_BYTES = 8 << 20
 NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
@@ -182,8 +184,9 @@ def constant_paths(wrapper: list, prefix: str = "") -> set[str]:
 
 
 def has_slot(wrapper: list) -> bool:
-    """Whether pages of the host differ anywhere; a single page, or copies of one, show no template."""
-    return wrapper[3] == SLOT or any(has_slot(c) for c in wrapper[2])
+    """Whether pages of the host differ outside repeated groups, whose members differ on one page already; a single page, or
+    copies of one, show no template."""
+    return wrapper[1] in "1?" and (wrapper[3] == SLOT or any(has_slot(c) for c in wrapper[2]))
 
 
 def container_path(wrapper: list) -> str:
@@ -314,7 +317,8 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     text; a null or odd url belongs to the host ''. Repeated rows give equal texts. An empty table gives an empty one;
     columns text and n_chars of pages are replaced.
 
-    Wrappers meet pages in a join by host, whose hot partitions adaptive execution splits.
+    Wrappers are broadcast if they have at most BROADCAST_BYTES together; else they meet pages in a join by host, whose hot
+    partitions adaptive execution splits.
     """
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url").cast("string"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1))
     base = pack(pages, _host=host, _html=text_of("html"))
@@ -335,5 +339,6 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
 
         return run
 
-    out = annotate(base.join(wrappers, "_host", "left"), make, {"_text": "string"})
+    small = (wrappers.agg(F.sum(F.length("_host") + F.length("_wrapper"))).first()[0] or 0) <= BROADCAST_BYTES
+    out = annotate(base.join(F.broadcast(wrappers) if small else wrappers, "_host", "left"), make, {"_text": "string"})
     return unpack(out, pages.columns, text=F.col("_text"), n_chars=F.length("_text").cast("long"))
