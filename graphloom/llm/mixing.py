@@ -77,7 +77,7 @@ def temperature_mix(
 
     A null source is a source of its own, named ''. Repeated rows are dealt apart. An empty table gives an empty one.
     """
-    base = pack(docs, source=F.coalesce(F.col("source").cast("string"), F.lit("")), n_tokens=F.regexp_count(text_of(), F.lit(WORD)).cast("long"), _d=id_of())
+    base = pack(docs, source=F.coalesce(F.col("source").cast("string"), F.lit("")), n_tokens=F.regexp_count(text_of(), F.lit(WORD)).cast("long"), _d=id_of(), _x=F.xxhash64(text_of()))
     base = base.withColumn("_h", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("_d").cast("string"))))
     weights = source_weights(base.select("source", "n_tokens"), max_repeats, target_entropy, budget_tokens)
     weights = weights.withColumns({"n_blocks": F.least(F.lit(max_blocks), F.ceil(F.col("n_docs") / block_docs)), "full": F.when(F.col("tokens") > 0, F.floor(F.col("budget") / F.greatest("tokens", F.lit(1)))).otherwise(1)})
@@ -99,7 +99,7 @@ def temperature_mix(
     blocks = blocks.where(whole | (room > 0)).select("source", "block", "epoch", F.when(whole, F.lit(None)).otherwise(room).alias("room"), F.round(key, 9).alias("mix_key"))
 
     drawn = base.join(blocks, ["source", "block"])
-    edge = drawn.where(F.col("room").isNotNull()).withColumn("_n", F.sum("n_tokens").over(W.partitionBy("source", "block", "epoch").orderBy("_h", F.xxhash64("_row")).rowsBetween(W.unboundedPreceding, 0)))
+    edge = drawn.where(F.col("room").isNotNull()).withColumn("_n", F.sum("n_tokens").over(W.partitionBy("source", "block", "epoch").orderBy("_h", "_x").rowsBetween(W.unboundedPreceding, 0)))
     edge = edge.where((F.col("_n") <= F.col("room")) & (F.col("n_tokens") > 0)).drop("_n")
     out = drawn.where(F.col("room").isNull()).unionByName(edge)
     return unpack(out, docs.columns, epoch=F.col("epoch"), block=F.col("block"), n_tokens=F.col("n_tokens"), mix_key=F.col("mix_key"))
