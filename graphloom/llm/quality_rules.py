@@ -73,7 +73,7 @@ def fit(texts: list[str], y: np.ndarray, rounds: int = 60, rate: float = 1.0, ri
         return weights, 0.0, float(np.log((share + 1e-3) / (1 - share + 1e-3)))
     train = np.arange(len(y)) % 5 != 4
     ids, values, starts = sparse_rows(texts)
-    row = np.repeat(np.arange(len(y)), np.diff(starts))
+    row = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(starts))
     used = train[row]
     u_ids, u_values, u_row = ids[used], values[used], row[used]
     balance = np.where(y > 0, 0.5 / max(y[train].sum(), 1), 0.5 / max((1 - y[train]).sum(), 1))
@@ -90,7 +90,7 @@ def fit(texts: list[str], y: np.ndarray, rounds: int = 60, rate: float = 1.0, ri
     return weights, *calibrate(score[rest], y[rest])
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = 3000, min_words: int = 50, max_repeat_percent: int = 50, threshold: float = 0.5) -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = 2000, min_words: int = 50, max_repeat_percent: int = 50, threshold: float = 0.5) -> DataFrame:
     """docs with COUNTS (long), base_failed (boolean), quality_score (double) and kept (boolean).
 
     base_failed: fewer than min_words words, or more than max_repeat_percent of them in repeated 3-word windows. Others are
