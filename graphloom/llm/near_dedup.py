@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -9,18 +11,18 @@ from pyspark.sql import functions as F
 
 from graphloom.llm.common import LOWER, NO_ID, annotate, cut, id_of, mix, pack, raw, slices, span_hashes, strings, text_of, unpack, word_spans
 
-TREES = 16
+TREES = 12
 #: Depths at which nodes are looked at; a pair of Jaccard similarity s shares a node of depth d in one tree with probability s^d.
-LEVELS = (2, 3)
+LEVELS = (2, 4, 7)
 DEPTH = LEVELS[-1]
-#: Minwise tokens in all; those beyond the trees' only sharpen the sketch.
-TOKENS = 80
-#: A node of so many sets is compared pair by pair; a larger one is branched further, and at the last depth becomes one cluster.
+TOKENS = TREES * DEPTH
+#: A node of so many sets is compared pair by pair; a larger one is compared with its least member and branched further, and at the
+#: last depth becomes one cluster.
 SMALL = 32
 #: Of the sketch so large a share must agree before whole sets are compared: over four standard deviations below 0.8.
 SCREEN = 0.6
 #: Sets of a block; a task compares the sets of two blocks of one cluster.
-BLOCK = 256
+BLOCK = 384
 #: Bits of the bitmap by which texts of no candidate are passed over: 2 MB, whatever the data.
 BITMAP = 24
 #: Odd multipliers of the minwise hash functions.
@@ -52,14 +54,12 @@ def signatures(texts: pa.Array, words: int) -> dict[str, np.ndarray]:
     return out
 
 
-def chunk(data: np.ndarray, offsets: np.ndarray, i: int, j: int, words: int, out: dict) -> None:
-    part, own = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
-    starts, ends, first = word_spans(part, own)
-    h = span_hashes(part, starts, ends)
-    if not len(h):
-        return
+def hashed_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, texts): the distinct shingles of all texts as 64-bit hashes, by text, then hash. At most 65,536 texts."""
+    starts, ends, first = word_spans(data, offsets)
+    h = span_hashes(data, starts, ends)
     count = np.diff(first)
-    doc = np.repeat(np.arange(j - i), count)
+    doc = np.repeat(np.arange(len(count)), count)
     step = np.uint64(0x9E3779B97F4A7C15)
     m = max(0, len(h) - words + 1)
     rolled = h[:m].copy()
@@ -80,7 +80,13 @@ def chunk(data: np.ndarray, offsets: np.ndarray, i: int, j: int, words: int, out
     g, d = g[order], d[order]
     new = np.ones(len(g), bool)
     new[1:] = (g[1:] != g[:-1]) | (d[1:] != d[:-1])
-    g, d = g[new], d[new]
+    return g[new], d[new]
+
+
+def chunk(data: np.ndarray, offsets: np.ndarray, i: int, j: int, words: int, out: dict) -> None:
+    g, d = hashed_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], words)
+    if not len(g):
+        return
     heads = np.flatnonzero(np.diff(d, prepend=-1))
     rows = i + d[heads]
     out["n"][rows] = np.diff(np.append(heads, len(d)))
@@ -140,10 +146,10 @@ def texts_of(ends: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def clusters(rows: DataFrame, sketches: DataFrame) -> DataFrame:
-    """(_d, _comp): sets that may be similar, in clusters, of rows(_d, _2, _3) with their nodes in every tree.
+    """(_d, _comp): sets that may be similar, in clusters, of rows(_d, _2, _4, ..) with their nodes in every tree.
 
-    Members of a small node are compared by sketch, pair by pair; large nodes branch once more, and those large still are one
-    cluster each, whatever the sketches say. Clusters are the components of these edges; only ids and sketches move.
+    Members of a small node are compared by sketch, pair by pair; those of a large one with its least member, and it branches on;
+    those large still at the last depth are one cluster each, whatever the sketches say. Clusters are the components of these edges; only ids and sketches move.
     """
     found, here = None, rows
     for depth in LEVELS:
@@ -154,55 +160,66 @@ def clusters(rows: DataFrame, sketches: DataFrame) -> DataFrame:
         pairs = members.select(F.explode(every).alias("p")).select("p.a", "p.b").distinct()
         found = pairs if found is None else found.union(pairs)
         large = stats.where(F.col("_size") > SMALL)
-        if depth != DEPTH:
-            here = cut(here.join(large.select(F.col("_node").alias(f"_{depth}")), f"_{depth}", "left_semi"))
-        else:
-            stars = here.select("_d", node).join(large, "_node").where(F.col("_d") != F.col("_least")).select(F.col("_least").alias("a"), F.col("_d").alias("b")).distinct()
+        stars = here.select("_d", node).join(large, "_node").where(F.col("_d") != F.col("_least")).select(F.col("_least").alias("a"), F.col("_d").alias("b")).distinct()
+        if depth == DEPTH:
+            break
+        found = found.union(stars)
+        if large.isEmpty():
+            stars = stars.limit(0)
+            break
+        here = cut(here.join(large.select(F.col("_node").alias(f"_{depth}")), f"_{depth}", "left_semi"))
     s = sketches.select("_d", "_sketch")
     near = cut(found.distinct()).join(s.select(F.col("_d").alias("a"), F.col("_sketch").alias("_sa")), "a").join(s.select(F.col("_d").alias("b"), F.col("_sketch").alias("_sb")), "b")
     agree = F.size(F.filter(F.zip_with("_sa", "_sb", lambda x, y: x == y), lambda x: x))
     return components(cut(near.where(agree >= int(SCREEN * TOKENS)).select("a", "b").union(stars)))
 
 
-class Forest(dict):
-    """Union-find over the positions of a task's sets."""
-
-    def find(self, x: int) -> int:
-        while self.setdefault(x, x) != x:
-            self[x] = x = self[self[x]]
+def common_shingles(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sizes, intersections) of all texts' whole sets: products of a 0/1 matrix by slices of the shingles that several texts have."""
+    data = LOWER[np.frombuffer("".join(texts).encode(), np.uint8)]
+    offsets = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
+    g, d = hashed_sets(data, offsets, words)
+    n = len(texts)
+    sizes = np.bincount(d, minlength=n)
+    _, column, count = np.unique(g, return_inverse=True, return_counts=True)
+    shared = count[column] > 1
+    rank = np.cumsum(count > 1) - 1
+    column, d = rank[column[shared]], d[shared]
+    order = np.argsort(column, kind="stable")
+    column, d = column[order], d[order]
+    out = np.zeros((n, n), np.float32)
+    total = int(column[-1]) + 1 if len(column) else 0
+    for low in range(0, total, 4096):
+        a, b = np.searchsorted(column, [low, low + 4096])
+        part = np.zeros((n, min(4096, total - low)), np.float32)
+        part[d[a:b], column[a:b] - low] = 1
+        out += part @ part.T
+    return sizes, out.astype(np.int64)
+
+
+def compare(ids: list[int], texts: list[str], low: int, words: int, percent: int) -> list[tuple[int, int]]:
+    """Links among a block's sets (low = len(ids)), or of the first low sets with the others, decided on whole sets; of those that a spanning
+    forest doesn't need none, so at most len(ids) - 1."""
+    sizes, both = common_shingles(texts, words)
+    near = (100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)) & (both > 0)
+    rows, columns = np.nonzero(np.triu(near, 1) if low == len(ids) else near[:low, low:])
+    columns = columns if low == len(ids) else columns + low
+    parent, links = list(range(len(ids))), []
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
         return x
 
-
-def compare(ids: list[int], texts: list[str], sketches: np.ndarray, low: int, words: int, percent: int) -> list[tuple[int, int]]:
-    """Links among a block's sets (low = len(ids)), or of the first low sets with the others. Pairs pass the sketches, then their whole
-    sets decide; of sets joined already no further pair is tried, so at most len(ids) - 1 links come out."""
-    sets = [None] * len(ids)
-    forest, links, n = Forest(), [], len(ids)
-
-    def of(k):
-        if sets[k] is None:
-            sets[k] = shingles(texts[k], words)
-        return sets[k]
-
-    for i in range(low):
-        start = i + 1 if low == n else low
-        agree = (sketches[start:] == sketches[i]).sum(1)
-        order = np.flatnonzero(agree >= int(SCREEN * TOKENS))
-        for j in (start + order[np.argsort(-agree[order], kind="stable")]).tolist():
-            x, y = forest.find(i), forest.find(j)
-            if x == y:
-                continue
-            a, b = of(i), of(j)
-            if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
-                continue
-            common = len(a & b)
-            if a and b and 100 * common >= percent * (len(a) + len(b) - common):
-                forest[max(x, y)] = min(x, y)
-                links.append((ids[i], ids[j]))
+    for i, j in zip(rows.tolist(), columns.tolist(), strict=True):
+        x, y = find(i), find(j)
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            links.append((ids[i], ids[j]))
     return links
 
 
-def verified(groups: DataFrame, sketches: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+def verified(groups: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) among the sets of each cluster of groups(_d, _comp), confirmed on whole sets.
 
     A cluster is dealt by hash into blocks of about BLOCK sets; a task's unit of work is two blocks of one cluster (or one with itself),
@@ -212,36 +229,39 @@ def verified(groups: DataFrame, sketches: DataFrame, docs: DataFrame, words: int
     dealt = groups.join(cut(sizes), "_comp").withColumn("_b", F.pmod(F.xxhash64("_d"), F.col("_blocks")).cast("int"))
     dealt = dealt.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     work = dealt.select("_d", "_comp", F.least("_b", "_o").alias("_i"), F.greatest("_b", "_o").alias("_j"), (F.col("_b") > F.col("_o")).alias("_second"))
-    ends = groups.select("_d")
-    full = texts_of(ends, docs).join(sketches.select("_d", "_sketch"), "_d")
-    full = work.join(full, "_d").repartition("_comp", "_i", "_j").sortWithinPartitions("_comp", "_i", "_j", "_second", "_d")
+    full = work.join(texts_of(groups.select("_d"), docs), "_d").repartition("_comp", "_i", "_j").sortWithinPartitions("_comp", "_i", "_j", "_second", "_d")
 
     def run(batches):
-        key, ids, texts, sketches_, low = None, [], [], [], 0
+        key, ids, texts, low = None, [], [], 0
 
         def links():
             first = low if key[1] != key[2] else len(ids)
-            return compare(ids, texts, np.array(sketches_, np.int8).reshape(len(ids), -1), first, words, percent)
+            return compare(ids, texts, first, words, percent)
 
         for batch in batches:
             out = []
             columns = (batch.column(c).to_pylist() for c in ("_comp", "_i", "_j", "_second", "_d", "_text"))
-            sketch = batch.column("_sketch").flatten().to_numpy().reshape(batch.num_rows, -1)
-            for k, (comp, i, j, second, d, text) in enumerate(zip(*columns, strict=True)):
+            for comp, i, j, second, d, text in zip(*columns, strict=True):
                 if (comp, i, j) != key:
                     if key is not None:
                         out += links()
-                    key, ids, texts, sketches_, low = (comp, i, j), [], [], [], 0
+                    key, ids, texts, low = (comp, i, j), [], [], 0
                 low += not second
                 ids.append(d)
                 texts.append(text)
-                sketches_.append(sketch[k])
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
         if key is not None:
             out = links()
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    return cut(full.select("_comp", "_i", "_j", "_second", "_d", "_text", "_sketch").mapInArrow(run, "a long, b long").where("a <> b").distinct())
+    return cut(full.select("_comp", "_i", "_j", "_second", "_d", "_text").mapInArrow(run, "a long, b long").where("a <> b").distinct())
+
+
+def swept(df: DataFrame) -> DataFrame:
+    """df; shuffle files and checkpoints that nothing refers to any more are let go first, as the next step needs the disk."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return df
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -269,10 +289,10 @@ def near_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     An empty table gives an empty one.
 
     Equal sets are one class first, by a 128-bit digest, and go on as its least doc_id. Each class descends TREES trees, at each step
-    choosing the branch by its next minwise token. Nodes of at most SMALL classes are compared pair by pair; larger ones branch on, and are
-    clusters whole at the last depth, so none is given up. Inside clusters every pair that sketches leave open is decided on whole
-    sets, block by block (see verified()). A similarity of 0.8 shares a node of depth 2 in one of 16 trees with probability 0.9999999, of
-    depth 3, if larger groups share the one above, with 0.99999. Copies are one class; no group of near copies meets in one task.
+    choosing the branch by its next minwise token. Nodes of at most SMALL classes are compared pair by pair; larger ones are linked
+    through their least member and branch on, and at the last depth are clusters whole, so none is given up. Inside a cluster every pair
+    is decided on whole sets (of 64-bit shingle hashes), block by block (see verified()), whether it shared a node or not. A similarity
+    of 0.8 shares a node of depth 2 in one of 12 trees with probability 0.999995. Copies are one class; no group of near copies meets in one task.
     """
     base = docs.select(id_of().alias("_d"), text_of().alias("_text"))
     narrow = cut(signed(base, words))
@@ -280,7 +300,7 @@ def near_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     sets = narrow.join(classes.select(F.col("_rep").alias("_d"), "_k1", "_k2", "_n"), ["_d", "_k1", "_k2", "_n"], "left_semi").dropDuplicates(["_d", "_k1", "_k2"])
     nodes = [F.struct(*[F.col("_nodes")[t * len(LEVELS) + i].alias(f"_{depth}") for i, depth in enumerate(LEVELS)]) for t in range(TREES)]
     rows = sets.select("_d", F.inline(F.array(*nodes)))
-    comps = components(verified(clusters(rows, sets), sets, base, words, percent))
+    comps = components(verified(swept(clusters(rows, sets)), base, words, percent))
     named = classes.join(comps.withColumnRenamed("_d", "_rep"), "_rep", "left").where("_rows > 1 or _comp is not null")
     named = cut(named.select("_k1", "_k2", "_n", F.coalesce("_comp", "_rep").alias("_comp")))
     marked = narrow.select("_d", "_k1", "_k2", "_n").join(named, ["_k1", "_k2", "_n"], "left").withColumn("_comp", F.coalesce("_comp", "_d"))
