@@ -21,8 +21,8 @@ TOKENS = TREES * DEPTH
 SMALL = 32
 #: Of the sketch so large a share must agree before whole sets are compared: over four standard deviations below 0.8.
 SCREEN = 0.6
-#: Sets of a block; a task compares the sets of two blocks of one cluster.
-BLOCK = 384
+#: Sets of a block; a task compares the sets of two blocks of one cluster, some 10 MB of text and 200 MB of work arrays.
+BLOCK = 1024
 #: Bits of the bitmap by which texts of no candidate are passed over: 2 MB, whatever the data.
 BITMAP = 24
 #: Odd multipliers of the minwise hash functions.
