@@ -90,7 +90,7 @@ def fit(texts: list[str], y: np.ndarray, rounds: int = 60, rate: float = 1.0, ri
     return weights, *calibrate(score[rest], y[rest])
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = 2000, min_words: int = 50, max_repeat_percent: int = 50, threshold: float = 0.5) -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = 1200, min_words: int = 50, max_repeat_percent: int = 50, threshold: float = 0.5) -> DataFrame:
     """docs with COUNTS (long), base_failed (boolean), quality_score (double) and kept (boolean).
 
     base_failed: fewer than min_words words, or more than max_repeat_percent of them in repeated 3-word windows. Others are
