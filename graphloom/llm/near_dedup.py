@@ -11,15 +11,21 @@ from pyspark.sql import functions as F
 
 from graphloom.llm.common import LOWER, NO_ID, annotate, cut, id_of, mix, pack, raw, slices, span_hashes, strings, text_of, unpack, word_spans
 
-TREES = 12
-#: Depths at which nodes are looked at; a pair of Jaccard similarity s shares a node of depth d in one tree with probability s^d.
+#: A pair of Jaccard similarity s shares a node of depth d in one tree with probability s^d. Every pair that shares a node of the last
+#: depth is found, however large the nodes above it are, so TREES bounds the recall: 1 - (1 - 0.8^7)^50 = 0.99999 at 0.8.
+TREES = 50
+#: Trees whose nodes are looked at from the first level on; of the others only those of the last depth.
+FULL = 12
+#: Depths at which nodes are looked at.
 LEVELS = (2, 4, 7)
 DEPTH = LEVELS[-1]
 TOKENS = TREES * DEPTH
+#: Tokens a set is screened by, a byte of each.
+SKETCH = 96
 #: A node of so many sets is compared pair by pair; a larger one is compared with its least member and branched further, and at the
 #: last depth becomes one cluster.
 SMALL = 32
-#: Of the sketch so large a share must agree before whole sets are compared: over four standard deviations below 0.8.
+#: Of the sketch so large a share must agree before whole sets are compared: five standard deviations below 0.8.
 SCREEN = 0.6
 #: Sets of a block; a task compares the sets of two blocks of one cluster, some 10 MB of text and 200 MB of work arrays.
 BLOCK = 1024
@@ -97,15 +103,16 @@ def chunk(data: np.ndarray, offsets: np.ndarray, i: int, j: int, words: int, out
 
 
 def branches(sig: np.ndarray) -> np.ndarray:
-    """For each set and tree its nodes at LEVELS: 64-bit hashes of the tree and the tokens chosen on the way down."""
-    out = np.empty((len(sig), TREES, len(LEVELS)), np.uint64)
+    """For each set its nodes at LEVELS in the first FULL trees, then those of the last depth in the others: 64-bit hashes of the tree and
+    the tokens chosen on the way down."""
+    out = []
     for t in range(TREES):
         h = np.full(len(sig), t + 1, np.uint64)
         for depth in range(1, DEPTH + 1):
             h = mix(h * np.uint64(0x9E3779B97F4A7C15) + sig[:, t * DEPTH + depth - 1].astype(np.uint64) + np.uint64(1))
-            if depth in LEVELS:
-                out[:, t, LEVELS.index(depth)] = h
-    return out
+            if depth == DEPTH or (t < FULL and depth in LEVELS):
+                out.append(h)
+    return np.stack(out, 1)
 
 
 def lists(values: np.ndarray) -> pa.Array:
@@ -113,13 +120,13 @@ def lists(values: np.ndarray) -> pa.Array:
 
 
 def signed(docs: DataFrame, words: int) -> DataFrame:
-    """The columns of docs but _text, with _n, _k1, _k2, _nodes (see branches()) and _sketch (a byte of each minwise token)."""
+    """The columns of docs but _text, with _n, _k1, _k2, _nodes (see branches()) and _sketch (a byte of each of SKETCH minwise tokens)."""
 
     def make():
         def run(batch):
             found = signatures(strings(batch, "_text"), words)
-            nodes = branches(found["sig"]).reshape(batch.num_rows, -1).view(np.int64)
-            sketch = (found["sig"] >> np.uint32(24)).astype(np.uint8).view(np.int8)
+            nodes = branches(found["sig"]).view(np.int64)
+            sketch = (found["sig"][:, :SKETCH] >> np.uint32(24)).astype(np.uint8).view(np.int8)
             return {"_n": pa.array(found["n"]), "_k1": pa.array(found["k1"].view(np.int64)), "_k2": pa.array(found["k2"].view(np.int64)), "_nodes": lists(nodes), "_sketch": lists(sketch)}
 
         return run
@@ -145,14 +152,18 @@ def texts_of(ends: DataFrame, docs: DataFrame) -> DataFrame:
     return docs.select("_d", "_text", place.alias("_x")).mapInArrow(run, "_d long, _text string")
 
 
-def clusters(rows: DataFrame, sketches: DataFrame) -> DataFrame:
-    """(_d, _comp): sets that may be similar, in clusters, of rows(_d, _2, _4, ..) with their nodes in every tree.
+def clusters(rows: DataFrame, deep: DataFrame, sketches: DataFrame) -> DataFrame:
+    """(_d, _comp): sets that may be similar, in clusters, of rows(_d, _2, _4, ..) with their nodes in the first FULL trees and
+    deep(_d, _7) with those of the last depth in the others.
 
     Members of a small node are compared by sketch, pair by pair; those of a large one with its least member, and it branches on;
-    those large still at the last depth are one cluster each, whatever the sketches say. Clusters are the components of these edges; only ids and sketches move.
+    those large still at the last depth are one cluster each, whatever the sketches say. So a pair that shares a node of the last depth in
+    any tree is compared or in one cluster. Clusters are the components of these edges; only ids and sketches move.
     """
     found, here = None, rows
     for depth in LEVELS:
+        if depth == DEPTH:
+            here = here.select("_d", f"_{depth}").union(deep)
         node = F.col(f"_{depth}").alias("_node")
         stats = cut(here.groupBy(node).agg(F.count("*").alias("_size"), F.min("_d").alias("_least")).where("_size > 1"))
         members = here.select("_d", node).join(stats.where(F.col("_size") <= SMALL).select("_node"), "_node").groupBy("_node").agg(F.array_sort(F.collect_set("_d")).alias("_m"))
@@ -164,14 +175,11 @@ def clusters(rows: DataFrame, sketches: DataFrame) -> DataFrame:
         if depth == DEPTH:
             break
         found = found.union(stars)
-        if large.isEmpty():
-            stars = stars.limit(0)
-            break
         here = cut(here.join(large.select(F.col("_node").alias(f"_{depth}")), f"_{depth}", "left_semi"))
     s = sketches.select("_d", "_sketch")
     near = cut(found.distinct()).join(s.select(F.col("_d").alias("a"), F.col("_sketch").alias("_sa")), "a").join(s.select(F.col("_d").alias("b"), F.col("_sketch").alias("_sb")), "b")
     agree = F.size(F.filter(F.zip_with("_sa", "_sb", lambda x, y: x == y), lambda x: x))
-    return components(cut(near.where(agree >= int(SCREEN * TOKENS)).select("a", "b").union(stars)))
+    return components(cut(near.where(agree >= int(SCREEN * SKETCH)).select("a", "b").union(stars)))
 
 
 def common_shingles(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -291,16 +299,21 @@ def near_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     Equal sets are one class first, by a 128-bit digest, and go on as its least doc_id. Each class descends TREES trees, at each step
     choosing the branch by its next minwise token. Nodes of at most SMALL classes are compared pair by pair; larger ones are linked
     through their least member and branch on, and at the last depth are clusters whole, so none is given up. Inside a cluster every pair
-    is decided on whole sets (of 64-bit shingle hashes), block by block (see verified()), whether it shared a node or not. A similarity
-    of 0.8 shares a node of depth 2 in one of 12 trees with probability 0.999995. Copies are one class; no group of near copies meets in one task.
+    is decided on whole sets (of 64-bit shingle hashes), block by block (see verified()), whether it shared a node or not.
+
+    Recall for a pair of similarity s is at least 1 - (1 - s^7)^50, whatever the sizes of the nodes: 0.99999 at 0.8. That is the worst case, where
+    all nodes above the last depth are large; where those of depth 2 are small, 12 trees alone give 0.999995. The sketch of a small node's pair costs
+    about 0.000001 more. percent under 80 lowers these figures. Copies are one class; no group of near copies meets in one task.
     """
     base = docs.select(id_of().alias("_d"), text_of().alias("_text"))
     narrow = cut(signed(base, words))
     classes = cut(narrow.where("_n > 0").groupBy("_k1", "_k2", "_n").agg(F.min("_d").alias("_rep"), F.count("*").alias("_rows")))
     sets = narrow.join(classes.select(F.col("_rep").alias("_d"), "_k1", "_k2", "_n"), ["_d", "_k1", "_k2", "_n"], "left_semi").dropDuplicates(["_d", "_k1", "_k2"])
-    nodes = [F.struct(*[F.col("_nodes")[t * len(LEVELS) + i].alias(f"_{depth}") for i, depth in enumerate(LEVELS)]) for t in range(TREES)]
+    sets = cut(sets.select("_d", "_nodes", "_sketch"))
+    nodes = [F.struct(*[F.col("_nodes")[t * len(LEVELS) + i].alias(f"_{depth}") for i, depth in enumerate(LEVELS)]) for t in range(FULL)]
     rows = sets.select("_d", F.inline(F.array(*nodes)))
-    comps = components(verified(swept(clusters(rows, sets)), base, words, percent))
+    deep = sets.select("_d", F.explode(F.slice("_nodes", FULL * len(LEVELS) + 1, TREES - FULL)).alias(f"_{DEPTH}"))
+    comps = components(verified(swept(clusters(rows, deep, sets)), base, words, percent))
     named = classes.join(comps.withColumnRenamed("_d", "_rep"), "_rep", "left").where("_rows > 1 or _comp is not null")
     named = cut(named.select("_k1", "_k2", "_n", F.coalesce("_comp", "_rep").alias("_comp")))
     marked = narrow.select("_d", "_k1", "_k2", "_n").join(named, ["_k1", "_k2", "_n"], "left").withColumn("_comp", F.coalesce("_comp", "_d"))

@@ -55,6 +55,22 @@ def test_large_nodes_are_not_given_up(spark, monkeypatch):
     assert got == want
 
 
+def test_large_nodes_of_unrelated_sets_lose_no_pair(spark, monkeypatch):
+    """Sets of frequent words: every node above the last depth is large, and its least member resembles neither of a pair."""
+    monkeypatch.setattr(nd, "SMALL", 3)
+    random.seed(7)
+    words = [f"w{i}" for i in range(60)]
+    sets = [random.sample(words, 30) for _ in range(1000)]
+    pairs = []
+    for _ in range(500):
+        a = random.sample(words, 30)
+        pairs += [a, a[:27] + random.sample(sorted(set(words) - set(a)), 3)]
+    rows = [(i, " ".join(s)) for i, s in enumerate(sets + pairs)]
+    want = brute(rows, 1)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in nd.near_components(spark.createDataFrame(rows, "doc_id long, text string"), 1).collect()}
+    assert got == want
+
+
 def test_odd_rows(spark, odd):
     rows = nd.near_components(odd, 2).collect()
     assert len(rows) == 12
