@@ -18,6 +18,8 @@ ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s
 # Kinds of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea noscript template iframe svg math xmp noembed noframes".split())
+#: What stands in these is no markup up to the literal end tag, whatever '<' or quotes it holds.
+ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*>?", re.I) for tag in RAW | {"title"}}
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre "
     "section summary table tbody td tfoot th thead tr ul".split()
@@ -63,19 +65,16 @@ def parse(page: str) -> Node:
     """The element tree of a page, with unclosed and stray tags mended the way browsers do. Text nodes are strings."""
     root = Node("#root", "#root", False)
     stack = [root]
-    raw_until = None
-    for m in TOKEN.finditer(page):
+    at = 0
+    while m := TOKEN.match(page, at):
+        at = m.end()
         close, tag = m[1], m[2]
         if tag is None:
             piece = m[0]
-            if raw_until is None and not piece.startswith(("<!", "<?")):
+            if not piece.startswith(("<!", "<?")):
                 stack[-1].children.append(piece)
             continue
         tag = tag.lower()
-        if raw_until is not None:
-            if close and tag == raw_until:
-                raw_until = None
-            continue
         if close:
             if tag == "br":
                 stack[-1].children.append(" ")
@@ -104,8 +103,11 @@ def parse(page: str) -> Node:
         names = " ".join(sorted(set(attributes.get("class", "").split())))
         node = Node(tag, tag + ("." + re.sub(r"\d+", "0", names) if names else ""), is_notice(tag, attributes))
         stack[-1].children.append(node)
-        if tag in RAW and not m[3].rstrip().endswith("/"):
-            raw_until = tag
+        if tag in ENDS and not m[3].rstrip().endswith("/"):
+            end = ENDS[tag].search(page, at)
+            if tag == "title":
+                node.children.append(page[at : end.start() if end else len(page)])
+            at = end.end() if end else len(page)
         elif tag not in VOID and not m[3].rstrip().endswith("/"):
             stack.append(node)
     return root

@@ -47,6 +47,17 @@ def test_what_is_left_out_of_an_article():
     assert hw.main_text(page, None) == "T\nab <c> A\ni\nj\n1\n2\nx y\n1 < 2 and d"
 
 
+@pytest.mark.parametrize(
+    "head",
+    [
+        "<script>for(i=0;i<n;i++){f(i)}</script>", "<SCRIPT>if(a<b && c=='</p>'){}</Script >", "<style>/* a<b' */</style>", "<script>x = a<b + '\"';</script\n>",
+        "<textarea>i<n</textarea>", "<title>i<n it's</title>", "<script>'<script>' + 1<n</script>", "<script>var s='<!--'</script>",
+    ],
+)
+def test_content_of_raw_elements_is_no_markup(head):
+    assert hw.main_text(f"<html>{head}<body><article><p>a</p>{head}<p>b's</p></article></body>", None) == "a\nb's"
+
+
 @pytest.mark.parametrize("page", ["", "<", "<p", "</p></p>", "<article>", "<p>a<p>b</div>c", "<script>never closed", "<!-- open", "<a href='x>y'>k</a> <"])
 def test_broken_markup(page):
     hw.main_text(page, infer([page, "<p>x"]))
