@@ -40,6 +40,8 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 SCOPE = frozenset("ul ol dl table body article section div main aside nav td".split())
 #: Wrappers of so many bytes in all are broadcast.
 BROADCAST_BYTES = 8 << 20
+#: So many different articles of a host must agree on a part of <article> or <main> before it counts as the template's.
+WITNESSES = 3
 NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
@@ -115,6 +117,7 @@ def parse(page: str) -> Node:
 
 # A wrapper is a union-free regular expression over tags: [label, quantifier, children, text]. quantifier: "1", "?" (optional),
 # "+" (repeated) or "*" (both). text: None without text, a digest of the constant text all pages have there, or SLOT where it varies.
+# The root has a fifth part: digests of up to WITNESSES different texts of the host's <article> or <main> elements.
 SLOT = 0
 
 
@@ -136,7 +139,12 @@ def expression(node: Node) -> list:
                 children[-1][1] = together(children[-1][1], "+")
             else:
                 children.append(e)
-    return [node.label, "1", children, xxhash.xxh3_64_hexdigest(text) if text else None]
+    out = [node.label, "1", children, xxhash.xxh3_64_hexdigest(text) if text else None]
+    return [*out, [xxhash.xxh3_64_hexdigest("\n".join(all_text(x) for x, _ in articles(node)))] if articles(node) else []] if node.label == "#root" else out
+
+
+def all_text(node: Node) -> str:
+    return "".join(c if isinstance(c, str) else all_text(c) for c in node.children)
 
 
 def align(a: list, b: list) -> list:
@@ -171,18 +179,29 @@ def align(a: list, b: list) -> list:
             add(y[j], True)
             j += 1
     text = a[3] if a[3] == b[3] else SLOT
-    return [a[0], together(a[1], b[1]), out, text]
+    return [a[0], together(a[1], b[1]), out, text, *([sorted({*a[4], *b[4]})[:WITNESSES]] if len(a) > 4 else [])]
+
+
+def constant_paths(wrapper: list) -> set[str]:
+    """Paths of elements whose whole content is the same on every page of the host: the template, not data.
 
+    Only elements that every page has once count, up to the root: what one page alone shows is equal to itself. A path that also leads to an element that
+    varies is left out.
+    """
+    same, other = set(), set()
+
+    def walk(e: list, prefix: str, sure: bool) -> bool:
+        path, sure = f"{prefix}/{e[0]}", sure and e[1] == "1"
+        inner = [walk(c, path, sure) for c in e[2]]
+        constant = sure and e[3] != SLOT and all(inner)
+        if not constant:
+            other.add(path)
+        elif e[3] or e[2]:
+            same.add(path)
+        return constant
 
-def constant_paths(wrapper: list, prefix: str = "") -> set[str]:
-    """Paths of elements whose whole content is the same on every page of the host: the template, not data."""
-    path = f"{prefix}/{wrapper[0]}"
-    out = set()
-    if wrapper[3] != SLOT and wrapper[1] == "1" and (wrapper[3] or wrapper[2]) and all(c[1] == "1" and f"{path}/{c[0]}" in sub for c in wrapper[2] for sub in [constant_paths(c, path)]):
-        out.add(path)
-    for c in wrapper[2]:
-        out |= constant_paths(c, path)
-    return out
+    walk(wrapper, "", True)
+    return same - other
 
 
 def has_slot(wrapper: list) -> bool:
@@ -234,6 +253,8 @@ def blocks(node: Node, path: str, template: frozenset, out: list[str], run: list
                 blocks(c, here, template, out, run, inside)
             elif c.tag == "header" and inside:  # an article's own header: its headings are the article's
                 for heading, at in find(c, ("h1", "h2", "h3", "h4", "h5", "h6"), here):
+                    if at in template:
+                        continue
                     blocks(heading, at, template, out, run, inside)
                     end()
             if block:
@@ -256,17 +277,20 @@ def at_path(node: Node, path: str, here: str = "/#root") -> list[tuple[Node, str
     return [x for c in node.children if isinstance(c, Node) and path.startswith(f"{here}/{c.label}") for x in at_path(c, path, f"{here}/{c.label}")]
 
 
+def articles(root: Node) -> list[tuple[Node, str]]:
+    return find(root, ("article",)) or find(root, ("main",))
+
+
 def main_text(page: str, wrapper: list | None) -> str:
-    """The article of a page. Inside <article> or <main> nothing but notices goes; elsewhere the host's wrapper says which element
-    holds the data and which parts are the template's."""
+    """The article of a page. The host's wrapper says which parts are the template's, and without <article> or <main> also which
+    element holds the data. Inside <article> or <main> it does so once WITNESSES different articles agree."""
     root = parse(page)
-    found = find(root, ("article",)) or find(root, ("main",))
+    found = articles(root)
     inside, template = bool(found), frozenset()
-    if not found:
-        if wrapper is not None and has_slot(wrapper):
-            template = frozenset(constant_paths(wrapper))
-            found = at_path(root, container_path(wrapper))
-        found = found or [(root, "/#root")]
+    if wrapper is not None and (len(wrapper[4]) >= WITNESSES if inside else has_slot(wrapper)):
+        template = frozenset(constant_paths(wrapper))
+        found = found or at_path(root, container_path(wrapper))
+    found = found or [(root, "/#root")]
     out: list[str] = []
     for node, path in found:
         run: list[str] = []
@@ -314,8 +338,9 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
 
     A wrapper is inferred over all pages of each host, then every page is parsed and its article taken: blocks in page
     order, white space inside a block one space, character references decoded, joined by a line feed. Menus, headers, footers,
-    sidebars, notices, adverts, forms, scripts, styles and reader comments go. On a page without <article> or <main> the wrapper
-    says which element holds the data, and parts equal on all pages of the host go as its template. Null html counts as empty and gives an empty
+    sidebars, notices, adverts, forms, scripts, styles and reader comments go. Parts equal on all pages of the host go as its
+    template; within <article> and <main> too, if the host has at least WITNESSES different ones, and without these elements the wrapper also says
+    which element holds the data. Equal members of a repeated group (a <p> among others without a class of its own) stay. Null html counts as empty and gives an empty
     text; a null or odd url belongs to the host ''. Repeated rows give equal texts. An empty table gives an empty one;
     columns text and n_chars of pages are replaced.
 

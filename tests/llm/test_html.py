@@ -47,6 +47,24 @@ def test_what_is_left_out_of_an_article():
     assert hw.main_text(page, None) == "T\nab <c> A\ni\nj\n1\n2\nx y\n1 < 2 and d"
 
 
+def test_template_parts_go_inside_an_article_element(spark):
+    page = "<body><article><header><h1>Head {0}</h1></header><div class=x1><p>Brought to you by us</p></div><p>text {0}</p><p>more {1}</p>{2}<div class=x2>Pass it on</div></article></body>"
+    rows = [(i, "http://a.org/x", page.format(i, i * i, "<blockquote>quoted</blockquote>" if i == 1 else "")) for i in range(5)]
+    got = {r.page_id: r.text for r in hw.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"Head {i}\ntext {i}\nmore {i * i}" + "\nquoted" * (i == 1) for i in range(5)}
+    w = infer([r[2] for r in rows[:2]])  # two articles are too few witnesses
+    assert hw.main_text(rows[1][2], w) == "Head 1\nBrought to you by us\ntext 1\nmore 1\nquoted\nPass it on"
+    assert "Pass it on" in hw.main_text(rows[1][2], infer([rows[1][2]] * 5))
+
+
+def test_what_one_page_alone_shows_is_no_template():
+    page = "<body><main><h1>Head {0}</h1>{1}<h2>Same</h2><p>a{0}</p><h2>Part {0}</h2></main></body>"
+    pages = [page.format(i, "<section><p>only here</p></section>" if i == 2 else "") for i in range(4)]
+    assert hw.main_text(pages[2], infer(pages)) == "Head 2\nonly here\nSame\na2\nPart 2"
+    plain = [p.replace("main>", "div>") for p in pages]
+    assert hw.main_text(plain[2], infer(plain)) == "Head 2\nonly here\nSame\na2\nPart 2"
+
+
 @pytest.mark.parametrize(
     "head",
     [
