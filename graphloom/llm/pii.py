@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import LOWER, NO_ID, annotate, cut, id_of, pack, raw, slices, span_hashes, strings, text_of, unpack, word_spans
+from graphloom.llm.common import LOWER, NO_ID, annotate, cut, id_of, mix, pack, raw, slices, span_hashes, strings, text_of, unpack, word_spans
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -24,6 +24,8 @@ DIGIT = re.compile("[0-9]")
 WINDOW = 8
 #: Bits of the bitmap of candidate terms that a scan looks for: 2 MB, whatever the data.
 BITMAP = 24
+#: Odd multipliers of the minwise hashes of a text's words: texts that agree in all of them are copies.
+FACTORS = mix(np.arange(1, 5, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 MARKS = np.zeros(256, bool)
 MARKS[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 
@@ -86,22 +88,35 @@ def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, span_hashes(LOWER[data], starts, ends).view(np.int64), first
 
 
+def copy_keys(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A 64-bit key of each text's set of words, of four minwise tokens: equal for copies, mostly equal for near copies (of word similarity
+    s with probability s^4), different for texts that only share frequent words. Without words 0."""
+    out = np.zeros(len(first) - 1, np.uint64)
+    some = np.flatnonzero(np.diff(first))
+    if len(some):
+        for factor in FACTORS:
+            low = np.minimum.reduceat(mix(hashes.view(np.uint64) * factor), first[some])
+            out[some] = mix(out[some] * np.uint64(0x9E3779B97F4A7C15) + low + np.uint64(1))
+    return out.view(np.int64)
+
+
 def scan(texts: pa.Array):
-    """For each text: its base spans, the (entity, term, group) of words near them, and its number of words.
+    """For each text: its base spans, the (entity, term, group) of words near them, its number of words and its group.
 
-    group stands for a document and its near copies: the least term hash of the text.
+    group stands for a document and its copies (see copy_keys()).
     """
     data, offsets = raw(texts)
     values = texts.to_pylist()
     for i, j in slices(offsets):
         part, own = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         starts, ends, hashes, first = terms(part, own)
+        groups = copy_keys(hashes, first)
         for k in range(i, j):
             text = values[k]
             spans, near = base_spans(text), []
             lo, hi = first[k - i], first[k - i + 1]
             if spans:
-                group = int(hashes[lo:hi].min())
+                group = int(groups[k - i])
                 taken = [(len(text[:a].encode()) + own[k - i], len(text[:b].encode()) + own[k - i]) for _, a, b in spans]
                 covered = np.zeros(hi - lo, bool)
                 for a, b in taken:
@@ -111,27 +126,28 @@ def scan(texts: pa.Array):
                     who = entity(kind, text[a:b])
                     at = int(np.searchsorted(starts[free], x))
                     near += [(who, int(hashes[w]), group) for w in free[max(0, at - WINDOW) : at + WINDOW]]
-            yield spans, near, int(hi - lo)
+            yield spans, near, int(hi - lo), int(groups[k - i])
 
 
 def found_spans(docs: DataFrame) -> DataFrame:
-    """The columns of docs but _text, with _t, _n (array of long by kind), _spans (k: kind, s, e), _near and _words."""
+    """The columns of docs but _text, with _t, _n (array of long by kind), _spans (k: kind, s, e), _near, _words and _g (group)."""
     span_type = pa.list_(pa.struct([("k", pa.int64()), ("s", pa.int64()), ("e", pa.int64())]))
     near_type = pa.list_(pa.struct([("e", pa.int64()), ("t", pa.int64()), ("g", pa.int64())]))
 
     def make():
         def run(batch):
-            spans, near, words = zip(*scan(strings(batch, "_text")), strict=True) if batch.num_rows else ((), (), ())
+            spans, near, words, groups = zip(*scan(strings(batch, "_text")), strict=True) if batch.num_rows else ((), (), (), ())
             return {
                 "_n": pa.array([[sum(s[0] == k for s in x) for k in range(4)] for x in spans], pa.list_(pa.int64())),
                 "_spans": pa.array([[dict(zip("kse", y, strict=True)) for y in x] for x in spans], span_type),
                 "_near": pa.array([[dict(zip("etg", x, strict=True)) for x in rows] for rows in near], near_type),
                 "_words": pa.array(words, pa.int64()),
+                "_g": pa.array(groups, pa.int64()),
             }
 
         return run
 
-    added = {"_n": "array<long>", "_spans": "array<struct<k:long,s:long,e:long>>", "_near": "array<struct<e:long,t:long,g:long>>", "_words": "long"}
+    added = {"_n": "array<long>", "_spans": "array<struct<k:long,s:long,e:long>>", "_near": "array<struct<e:long,t:long,g:long>>", "_words": "long", "_g": "long"}
     return annotate(docs.withColumn("_t", F.xxhash64("_text")), make, added).drop("_text")
 
 
@@ -179,27 +195,38 @@ def looked_for(docs: DataFrame, wanted: np.ndarray, positions: bool) -> DataFram
     return docs.mapInArrow(run, "_d long, _t long, t long, start long, end long" if positions else "t long, n long")
 
 
-def disclosing_terms(found: DataFrame, docs: DataFrame, alpha: float, min_support: int) -> DataFrame | None:
+def disclosing_terms(found: DataFrame, docs: DataFrame, alpha: float, level: float) -> DataFrame | None:
     """(t, disclosure) of terms that disclose an entity: pointwise mutual information of at least 1 / alpha of the entity's information.
 
     An entity e has information -log2 P(e); a term t tells log2(P(e, t) / (P(e) P(t))) of it: all, if it occurs with e alone.
-    Occurrences are counted over all documents; a pair needs min_support groups of documents, so that copies are no evidence.
+    Occurrences are counted over all documents. Besides, chance must not explain the pair: were t spread over the groups of
+    documents at random, it would meet e as often with a probability of at most level, divided by the number of terms found near e
+    (Chernoff's bound). Copies are one group, so they are no evidence; an entity of one document can disclose terms if the corpus is large enough.
     """
     near = found.select(F.explode("_near").alias("x")).select("x.e", "x.t", "x.g")
     pairs = near.groupBy("e", "t", "g").count().groupBy("e", "t").agg(F.sum("count").alias("n_et"), F.count("*").alias("groups"))
-    pairs = cut(pairs.where(F.col("groups") >= min_support))
-    if pairs.isEmpty():
+    every = found.agg(F.countDistinct("_g").alias("groups"), F.sum("_words").alias("words")).first()
+    seen = found.select(F.explode(F.array_distinct(F.transform("_near", lambda x: x["e"]))).alias("e"), "_g").groupBy("e").agg(F.count("*").alias("n_e"), F.countDistinct("_g").alias("g_e"))
+    pairs = cut(pairs)
+    known = pairs.join(seen, "e").join(pairs.groupBy("e").agg(F.count("*").alias("tried")), "e")
+    chance, limit = F.col("g_e") / F.lit(max(every["groups"], 1)), F.log(F.lit(level) / F.col("tried"))
+    known = cut(known.withColumn("q", chance).withColumn("limit", limit).where(F.col("groups") * F.log("q") <= F.col("limit")))
+    if known.isEmpty():
         return None
-    counts = looked_for(docs, bitmap_of(pairs, "t"), False).groupBy("t").agg(F.sum("n").alias("n_t"))
-    seen = found.select(F.explode(F.array_distinct(F.transform("_near", lambda x: x["e"]))).alias("e"), "_d", "_t").groupBy("e").agg(F.count("*").alias("n_e"))
-    total = found.agg(F.sum("_words")).first()[0]
-    known = pairs.join(counts, "t").join(seen, "e")
+    counts = looked_for(docs, bitmap_of(known, "t"), False).groupBy("t").agg(F.sum("n").alias("n_t"))
+    known = known.join(counts, "t")
+    total = every["words"]
     information = -F.log2(F.col("n_e") / total)
     told = F.log2(F.least(F.col("n_et"), F.col("n_t")) * total / (F.col("n_t") * F.col("n_e")))
+    apart = F.greatest(F.col("n_t") - F.col("n_et"), F.lit(0))  # each occurrence elsewhere counts as a group of its own
+    tries = F.col("groups") + apart
+    share = F.col("groups") / tries
+    likely = -(F.col("groups") * F.log(share / F.col("q")) + F.when(apart > 0, apart * F.log((1 - share) / (1 - F.col("q")))).otherwise(0.0))
+    known = known.where((share > F.col("q")) & (likely <= F.col("limit")))
     return cut(known.withColumn("disclosure", told / information).where(F.col("disclosure") >= 1 / alpha).groupBy("t").agg(F.max("disclosure").alias("disclosure")))
 
 
-def personal_spans(docs: DataFrame, alpha: float = 1.25, min_support: int = 5) -> DataFrame:
+def personal_spans(docs: DataFrame, alpha: float = 1.25, level: float = 0.01) -> DataFrame:
     """A row for each row of docs: doc_id, n_email, n_ip, n_card, n_phone, n_term (long), base_spans and spans (string), and
     entities and terms (arrays) for sanitise().
 
@@ -213,7 +240,7 @@ def personal_spans(docs: DataFrame, alpha: float = 1.25, min_support: int = 5) -
     texts = docs.select(id_of().alias("_d"), text_of().alias("_text"))
     found = cut(found_spans(texts))
     texts = texts.withColumn("_t", F.xxhash64("_text"))
-    flagged = disclosing_terms(found, texts, alpha, min_support)
+    flagged = disclosing_terms(found, texts, alpha, level)
     if flagged is None:
         found = found.withColumn("_terms", F.expr("cast(array() as array<struct<start:long,end:long,disclosure:double>>)"))
     else:
@@ -240,13 +267,13 @@ def kind_of(word: str) -> str:
     return "[CODE]" if any(c.isdigit() for c in word) else "[NAME]" if word[:1].isupper() else "[WORD]"
 
 
-def sanitise(docs: DataFrame, alpha: float = 1.25, min_support: int = 5, remove_at: float = 0.95) -> DataFrame:
+def sanitise(docs: DataFrame, alpha: float = 1.25, level: float = 0.01, remove_at: float = 0.95) -> DataFrame:
     """docs with sanitised_text (string): entities replaced by their kind, terms whose disclosure reaches remove_at removed, other
     disclosing terms generalised to the class of their characters. Texts are shuffled once, to meet their spans.
 
     Overlapping entities are replaced together by the first one's kind. Null texts give ''. See personal_spans().
     """
-    spans = personal_spans(docs, alpha, min_support).withColumn("_d", F.coalesce("doc_id", F.lit(NO_ID))).select("_d", "_t", "entities", "terms").dropDuplicates(["_d", "_t"])
+    spans = personal_spans(docs, alpha, level).withColumn("_d", F.coalesce("doc_id", F.lit(NO_ID))).select("_d", "_t", "entities", "terms").dropDuplicates(["_d", "_t"])
     base = pack(docs, _d=id_of(), _text=text_of()).withColumn("_t", F.xxhash64("_text")).join(spans, ["_d", "_t"], "left")
 
     def make():

@@ -52,6 +52,28 @@ def test_copies_are_no_evidence(spark):
     assert got.agg({"n_term": "sum"}).first()[0] == 0
 
 
+def test_entities_of_few_documents_disclose_terms(spark):
+    """Of one document, of two; a word that others use as well tells nothing. All texts hold the same frequent words."""
+    rows = [(i, f"the of and to note{i % 700} about weather{i % 900} today rain{i} sun{i % 1100} wind{i % 1300} fog{i % 1700}") for i in range(6000)]
+    rows += [(9000, "the of and to by quagmire of one@zebra.org today"), (9001, "and to the heronfly of two@zebra.org of note1"), (9002, "of and the heronfly to two@zebra.org and note2 about")]
+    rows += [(9003, "a hint to the of and quagmire")]
+    got = {r.doc_id: r.terms for r in pii.personal_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    text = dict(rows)
+    words = {i: {text[i][t["start"] : t["end"]] for t in terms} for i, terms in got.items() if terms}
+    assert "heronfly" in words[9001] & words[9002]
+    assert "quagmire" in words[9000] & words[9003]
+    assert all(not w & {"the", "of", "and", "to", "today", "about"} for w in words.values())
+
+
+def test_frequent_words_do_not_make_copies():
+    import pyarrow as pa
+
+    texts = [f"the of and to note{i} about weather{i * 7} and sun{i * 3} or rain{i * 5}" for i in range(300)]
+    keys = [g for *_, g in pii.scan(pa.array([*texts, *texts, ""], pa.large_string()))]
+    assert keys[:300] == keys[300:600]
+    assert len(set(keys[:300])) > 270
+
+
 def test_odd_rows(odd):
     assert pii.personal_spans(odd).count() == 12
     out = pii.sanitise(odd)
