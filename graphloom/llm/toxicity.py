@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 
-from graphloom.llm.common import annotate, calibrate, labelled, sigmoid, strings
+from graphloom.llm.common import annotate, calibrate, labelled, mix, sigmoid, strings
 
 # Insults with weights, the starting lexicon.
 SEED_TERMS = {
@@ -82,17 +82,23 @@ class Lexicon:
         return run
 
 
+def copy_key(words: list[str]) -> tuple:
+    """Four minwise tokens of the set of words: equal for copies, different for texts that only share frequent words."""
+    hashes = np.array([zlib.crc32(w.encode()) for w in set(words)], np.uint64)
+    return tuple(int(mix(hashes + np.uint64(k << 32)).min()) for k in range(4)) if len(hashes) else ()
+
+
 def learn_lexicon(texts: list[str], y: np.ndarray, min_share: float = 0.008, min_precision: float = 0.7, max_terms: int = 5000) -> tuple[dict[str, float], set[str]]:
     """Terms and exceptions from labelled texts, beside the seeds.
 
     A word or stem enters if at least max(3, min_share of the toxic texts) and min_precision of the texts that have it are
-    toxic, more than chance explains among all terms tried (half an accident among them is expected). Weights are smoothed log odds. Near copies count once: texts are counted by their word of the least hash. A stem
+    toxic, more than chance explains among all terms tried (half an accident among them is expected). Weights are smoothed log odds. Near copies count once: texts are counted by the least hashes of their words under four functions (see copy_key()). A stem
     must stand for three words; words under a stem are left to it. Seeds that the labels contradict are dropped.
     """
     folded = [WORDS.findall(fold(text)) for text in texts]
-    groups: list[dict[int, set[str]]] = [defaultdict(set), defaultdict(set)]
+    groups: list[dict[tuple, set[str]]] = [defaultdict(set), defaultdict(set)]
     for words, label in zip(folded, y, strict=True):
-        groups[label][min((zlib.crc32(w.encode()) for w in set(words)), default=0)].update(words)
+        groups[label][copy_key(words)].update(words)
     toxic, clean = max(len(groups[1]), 1), max(len(groups[0]), 1)
     least = max(3, min_share * toxic)
     stems_of = lambda words: {w[:k] + "*" for w in words for k in STEMS if len(w) > k}

@@ -30,3 +30,17 @@ def test_odd_rows(odd, labels):
     assert out.count() == 12
     assert dict(out.dtypes)["score"] == "double"
     assert tx.toxicity(odd.limit(0), labels.limit(0)).count() == 0
+
+
+def test_texts_that_share_frequent_words_are_no_copies():
+    import itertools
+    import zlib
+
+    import numpy as np
+
+    common = min(("".join(w) for w in itertools.product("bcdfghkmnp", repeat=5)), key=lambda w: zlib.crc32(w.encode()))  # the least hash of all
+    texts = [f"{common} gronpish " + " ".join(f"a{i}x{j}" for j in range(60)) for i in range(40)] + [f"{common} " + " ".join(f"b{i}x{j}" for j in range(60)) for i in range(200)]
+    weights, _ = tx.learn_lexicon(texts, np.array([1] * 40 + [0] * 200))
+    assert weights.get("gronpish", 0) > 0 or any("gronpish".startswith(w[:-1]) for w in weights if w.endswith("*"))
+    copies = [texts[0]] * 40 + texts[40:]
+    assert "gronpish" not in tx.learn_lexicon(copies, np.array([1] * 40 + [0] * 200))[0]
