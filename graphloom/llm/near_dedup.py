@@ -126,7 +126,7 @@ def signed(docs: DataFrame, words: int) -> DataFrame:
         def run(batch):
             found = signatures(strings(batch, "_text"), words)
             nodes = branches(found["sig"]).view(np.int64)
-            sketch = (found["sig"][:, :SKETCH] >> np.uint32(24)).astype(np.uint8).view(np.int8)
+            sketch = found["sig"][:, :SKETCH].astype(np.uint8).view(np.int8)  # the low byte: the high ones of a minimum are mostly 0
             return {"_n": pa.array(found["n"]), "_k1": pa.array(found["k1"].view(np.int64)), "_k2": pa.array(found["k2"].view(np.int64)), "_nodes": lists(nodes), "_sketch": lists(sketch)}
 
         return run
