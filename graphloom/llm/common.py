@@ -73,17 +73,36 @@ LOWER[65:91] += 32
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INV = pow(BASE, -1, 1 << 64)
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_POWERS: dict[str, np.ndarray] = {}
+#: The tables of powers hold 2^TABLE entries, whatever the text; longer ones are gone through in pieces.
+TABLE = 16
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if "p" not in _POWERS or len(_POWERS["p"]) < n:
-        n = max(n, (1 << 20) + 4096)
-        for key, base in (("p", BASE), ("i", BASE_INV)):
-            x = np.full(n, base, np.uint64)
-            x[0] = 1
-            _POWERS[key] = np.cumprod(x, dtype=np.uint64)
-    return _POWERS["p"], _POWERS["i"]
+def table(base: int) -> np.ndarray:
+    """The first 2^TABLE powers of base. Kept for the life of the process, but not in this module, with which it would be pickled into every function."""
+    known = worker_store("powers")
+    if base not in known:
+        x = np.full(1 << TABLE, base, np.uint64)
+        x[0] = 1
+        known[base] = np.cumprod(x, dtype=np.uint64)
+    return known[base]
+
+
+def scaled(values: np.ndarray, base: int) -> np.ndarray:
+    """values[i] * base^i, in place."""
+    powers = table(base)
+    for at in range(0, len(values), 1 << TABLE):
+        part = values[at : at + (1 << TABLE)]
+        part *= powers[: len(part)] * np.uint64(pow(base, at, 1 << 64))
+    return values
+
+
+def byte_sums(data: np.ndarray) -> np.ndarray:
+    """Sums over the first i bytes of (byte + 1) * BASE^i."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    sums[1:] = data
+    sums[1:] += np.uint64(1)
+    np.cumsum(scaled(sums[1:], BASE), out=sums[1:])
+    return sums
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -109,10 +128,10 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of each byte span: a polynomial by prefix sums, then a finaliser."""
-    p, inverse = powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * p[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts])
+    sums = byte_sums(data)
+    low, high = table(BASE_INV)[starts & ((1 << TABLE) - 1)], starts >> TABLE
+    above = np.array([pow(BASE_INV, k << TABLE, 1 << 64) for k in range((len(data) >> TABLE) + 1)], np.uint64)
+    return mix((sums[ends] - sums[starts]) * low * above[high])
 
 
 def partitions_for(total_bytes: int, target: int = 16 << 20, most: int = 4096) -> int:
@@ -169,9 +188,9 @@ def labelled(docs: DataFrame, labels: DataFrame, column: str, rows: int, learn=N
         labels = labels.where(learn)
     labels = labels.groupBy("doc_id").agg(F.min("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    found = texts.join(F.broadcast(labels), "doc_id").toPandas()  # labels: at most rows
-    found = found.sort_values(["doc_id", "text"]).drop_duplicates("doc_id")
-    return list(found["text"]), (found["y"].to_numpy() > 0).astype(np.int64)
+    found = texts.join(F.broadcast(labels), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))  # labels: at most rows
+    got = found.sort("doc_id").select("text", "y").toArrow()
+    return got.column("text").to_pylist(), (got.column("y").to_numpy() > 0).astype(np.int64)
 
 
 def calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float, float]:

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from graphloom.llm.common import mix, powers, raw, slices, span_hashes, word_spans
+from graphloom.llm.common import BASE_INV, byte_sums, mix, raw, scaled, slices, span_hashes, word_spans
 
 BITS = 18
 #: Lengths in bytes of the character n-grams; then come words, word pairs and pairs of word shapes (first and last
@@ -24,13 +24,11 @@ SALTS = [np.uint64(0xD6E8FEB86659FD93 + 2 * 0x1000193 * g) for g in range(GROUPS
 def grams(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For each group: the bucket of each n-gram of all texts in order, and where each text's begin and end there."""
     n = len(data)
-    p, inverse = powers(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * p[:n], out=sums[1:])
+    sums = byte_sums(data)
     shift = np.uint64(64 - BITS)
     for group, size in enumerate(CHARS):
         m = max(0, n - size + 1)
-        h = (sums[size : size + m] - sums[:m]) * inverse[:m]
+        h = scaled(sums[size : size + m] - sums[:m], BASE_INV)
         h = (h ^ (h >> np.uint64(29))) * SALTS[group] >> shift
         low = np.minimum(offsets[:-1], m)
         yield h.astype(np.int32), low, np.maximum(low, np.minimum(offsets[1:] - size + 1, m))

@@ -20,7 +20,8 @@ PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-;=?@\[-`{}~]*)")
 #: Bytes that end a sentence, and closing marks that may follow them.
 STOPS, CLOSERS = np.zeros(256, bool), np.zeros(256, bool)
 STOPS[list(b".!?")], CLOSERS[list(b"'\")]")] = True, True
-CACHE_WORDS = 700_000
+#: Words and ids that a Python worker remembers, counted with what a dict takes for them.
+CACHE_BYTES = 48 << 20
 #: Costs in tokens: of cutting at a sentence's end, and elsewhere. A document's end costs nothing, a token of padding 1.
 SENTENCE_COST, HARD_COST = 2, 8
 
@@ -35,6 +36,7 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.words: dict[bytes, bytes] = worker_store(f"ids {path}")
+        self.held: dict[str, int] = worker_store(f"size of ids {path}")
         self.marks: dict[str, list[int]] = {}
         # The byte alphabet of byte-level BPE: printable bytes stand for themselves, others follow from 256 on.
         same = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -68,12 +70,19 @@ class WordIds:
             where = np.empty(codes.max() + 1 if len(codes) else 0, np.int64)
             where[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)  # the first place of each
             buffer, known = part.tobytes(), self.words
-            if len(known) > CACHE_WORDS:
-                known.clear()
-            found = []
+            found, size = [], self.held.get("bytes", 0)
             for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True):
                 w = buffer[a:b]
-                found.append(known.get(w) or known.setdefault(w, self.encode(w.decode())))
+                ids = known.get(w)
+                if ids is None:
+                    ids = self.encode(w.decode())
+                    size += len(w) + len(ids) + 170
+                    if size > CACHE_BYTES:
+                        known.clear()
+                        size = 0
+                    known[w] = ids
+                found.append(ids)
+            self.held["bytes"] = size
             flat = np.frombuffer(b"".join(found), "<u4")
             sizes = np.fromiter(map(len, found), np.int64, len(found)) >> 2
             begin = np.cumsum(sizes) - sizes
