@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import gc
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.llm.common import LOWER, NO_ID, annotate, cut, id_of, mix, pack, raw, slices, span_hashes, strings, text_of, unpack, word_spans
@@ -27,8 +25,8 @@ SKETCH = 96
 SMALL = 32
 #: Of the sketch so large a share must agree before whole sets are compared: five standard deviations below 0.8.
 SCREEN = 0.6
-#: Sets of a block; a task compares the sets of two blocks of one cluster, some 10 MB of text and 200 MB of work arrays.
-BLOCK = 1024
+#: Sets of a block, and bytes of their texts, unless one text alone has more; a task compares the sets of two blocks of one cluster.
+BLOCK, BLOCK_BYTES = 1024, 4 << 20
 #: Bits of the bitmap by which texts of no candidate are passed over: 2 MB, whatever the data.
 BITMAP = 24
 #: Odd multipliers of the minwise hash functions.
@@ -89,6 +87,18 @@ def hashed_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.n
     return g[new], d[new]
 
 
+def hashed_sets_of(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """hashed_sets() of any number of texts, by slices."""
+    g, d = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for i, j in slices(offsets):
+        for low in range(i, j, 60_000):  # texts are numbered in 16 bits there
+            high = min(j, low + 60_000)
+            x, y = hashed_sets(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], words)
+            g.append(x)
+            d.append(y + low)
+    return np.concatenate(g), np.concatenate(d)
+
+
 def chunk(data: np.ndarray, offsets: np.ndarray, i: int, j: int, words: int, out: dict) -> None:
     g, d = hashed_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], words)
     if not len(g):
@@ -126,7 +136,7 @@ def signed(docs: DataFrame, words: int) -> DataFrame:
         def run(batch):
             found = signatures(strings(batch, "_text"), words)
             nodes = branches(found["sig"]).view(np.int64)
-            sketch = found["sig"][:, :SKETCH].astype(np.uint8).view(np.int8)  # the low byte: the high ones of a minimum are mostly 0
+            sketch = found["sig"][:, :SKETCH].astype(np.uint8).view(np.int8)  # the low byte: a minimum's high ones are mostly 0
             return {"_n": pa.array(found["n"]), "_k1": pa.array(found["k1"].view(np.int64)), "_k2": pa.array(found["k2"].view(np.int64)), "_nodes": lists(nodes), "_sketch": lists(sketch)}
 
         return run
@@ -184,9 +194,8 @@ def clusters(rows: DataFrame, deep: DataFrame, sketches: DataFrame) -> DataFrame
 
 def common_shingles(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray]:
     """(sizes, intersections) of all texts' whole sets: products of a 0/1 matrix by slices of the shingles that several texts have."""
-    data = LOWER[np.frombuffer("".join(texts).encode(), np.uint8)]
-    offsets = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
-    g, d = hashed_sets(data, offsets, words)
+    data, offsets = raw(pa.array(texts, pa.large_string()))
+    g, d = hashed_sets_of(LOWER[data], offsets, words)
     n = len(texts)
     sizes = np.bincount(d, minlength=n)
     _, column, count = np.unique(g, return_inverse=True, return_counts=True)
@@ -227,33 +236,80 @@ def compare(ids: list[int], texts: list[str], low: int, words: int, percent: int
     return links
 
 
+def beside_first(groups: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(_d, _comp, _bytes, _linked) of groups(_d, _comp): whether a set is linked with its cluster's least one, decided on whole sets.
+
+    The least set's text travels to the others in a join by cluster, whose hot partitions adaptive execution splits, so the time is linear in
+    a cluster's size.
+    """
+    full = cut(groups.join(texts_of(groups.select("_d"), docs), "_d"))
+    first = full.where("_d = _comp").select("_comp", F.col("_text").alias("_first"))
+
+    def run(batches):
+        for batch in batches:
+            texts, firsts = strings(batch, "_text"), batch.column("_first").cast(pa.large_string()).dictionary_encode()
+            which, n = firsts.indices.to_numpy(), len(batch)
+            linked = np.zeros(n, bool)
+            every = pa.concat_arrays([firsts.dictionary, texts])
+            data, offsets = raw(every)
+            g, d = hashed_sets_of(LOWER[data], offsets, words)
+            at = np.searchsorted(d, np.arange(len(every) + 1))
+            k = len(firsts.dictionary)
+            for i in range(n):
+                x, y = g[at[which[i]] : at[which[i] + 1]], g[at[k + i] : at[k + i + 1]]
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                linked[i] = both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
+            bytes_ = np.diff(offsets[k:])
+            yield pa.RecordBatch.from_arrays([batch.column("_d"), batch.column("_comp"), pa.array(bytes_), pa.array(linked)], names=["_d", "_comp", "_bytes", "_linked"])
+
+    paired = full.join(first.hint("shuffle_merge"), "_comp").select("_d", "_comp", "_text", "_first")
+    return cut(paired.mapInArrow(run, "_d long, _comp long, _bytes long, _linked boolean"))
+
+
+def blocks(side: Column) -> Column:
+    """In how many blocks a cluster's sets are dealt: by their number and by their bytes."""
+    return F.ceil(F.greatest(F.sum(side.cast("long")) / BLOCK, F.sum(F.when(side, F.col("_bytes")).otherwise(0)) / BLOCK_BYTES)).cast("int")
+
+
 def verified(groups: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links (a, b) among the sets of each cluster of groups(_d, _comp), confirmed on whole sets.
+    """Links (a, b) that join the sets of each cluster of groups(_d, _comp), confirmed on whole sets.
 
-    A cluster is dealt by hash into blocks of about BLOCK sets; a task's unit of work is two blocks of one cluster (or one with itself),
-    so that no group of any size meets in one task, and every pair of a cluster meets once. A set is sent once for each block of its cluster.
+    Every set is compared with the least of its cluster first; those linked with it are joined then, and need no comparison among
+    themselves. The others, the open ones, are compared with each other and with the joined ones: both are dealt by hash into blocks of about
+    BLOCK sets or BLOCK_BYTES, and a task's unit of work is two blocks of one cluster (or one with itself), so that no group of any size
+    meets in one task, and every pair that matters meets once. A set is sent once for each block it is compared with.
     """
-    sizes = groups.groupBy("_comp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
-    dealt = groups.join(cut(sizes), "_comp").withColumn("_b", F.pmod(F.xxhash64("_d"), F.col("_blocks")).cast("int"))
-    dealt = dealt.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    work = dealt.select("_d", "_comp", F.least("_b", "_o").alias("_i"), F.greatest("_b", "_o").alias("_j"), (F.col("_b") > F.col("_o")).alias("_second"))
-    full = work.join(texts_of(groups.select("_d"), docs), "_d").repartition("_comp", "_i", "_j").sortWithinPartitions("_comp", "_i", "_j", "_second", "_d")
+    seen = beside_first(groups, docs, words, percent)
+    stars = seen.where(F.col("_linked") & (F.col("_d") != F.col("_comp"))).select(F.col("_comp").alias("a"), F.col("_d").alias("b"))
+    rest = seen.where("_d <> _comp").withColumn("_open", ~F.col("_linked"))
+    sizes = rest.groupBy("_comp").agg(blocks(F.col("_open")).alias("_open_blocks"), blocks(F.col("_linked")).alias("_linked_blocks"), F.count("*").alias("_sets"))
+    sizes = cut(sizes.where("_open_blocks > 0 and _sets > 1").drop("_sets"))
+    dealt = rest.join(sizes, "_comp").withColumn("_b", F.pmod(F.xxhash64("_d"), F.when(F.col("_open"), F.col("_open_blocks")).otherwise(F.col("_linked_blocks"))).cast("int"))
+    span = lambda n: F.when(n > 0, F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1)).otherwise(F.array().cast("array<int>"))
+    unit = lambda i, j, second, joined: F.struct(i.alias("_i"), j.alias("_j"), second.alias("_second"), F.lit(joined).alias("_joined"))
+    b = F.col("_b")
+    among = F.transform(span(F.col("_open_blocks")), lambda o: unit(F.least(b, o), F.greatest(b, o), b > o, False))
+    across = F.transform(span(F.col("_linked_blocks")), lambda o: unit(b, o, F.lit(False), True))
+    joined = F.transform(span(F.col("_open_blocks")), lambda o: unit(o, b, F.lit(True), True))
+    work = cut(dealt.select("_d", "_comp", F.inline(F.when(F.col("_open"), F.concat(among, across)).otherwise(joined))))
+    keys = ["_comp", "_joined", "_i", "_j"]
+    full = work.join(texts_of(work.select("_d"), docs), "_d").repartition(*keys).sortWithinPartitions(*keys, "_second", "_d")
 
     def run(batches):
         key, ids, texts, low = None, [], [], 0
 
         def links():
-            first = low if key[1] != key[2] else len(ids)
+            first = low if key[1] or key[2] != key[3] else len(ids)
             return compare(ids, texts, first, words, percent)
 
         for batch in batches:
             out = []
-            columns = (batch.column(c).to_pylist() for c in ("_comp", "_i", "_j", "_second", "_d", "_text"))
-            for comp, i, j, second, d, text in zip(*columns, strict=True):
-                if (comp, i, j) != key:
+            columns = (batch.column(c).to_pylist() for c in (*keys, "_second", "_d", "_text"))
+            for comp, joined_, i, j, second, d, text in zip(*columns, strict=True):
+                if (comp, joined_, i, j) != key:
                     if key is not None:
                         out += links()
-                    key, ids, texts, low = (comp, i, j), [], [], 0
+                    key, ids, texts, low = (comp, joined_, i, j), [], [], 0
                 low += not second
                 ids.append(d)
                 texts.append(text)
@@ -262,30 +318,33 @@ def verified(groups: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
             out = links()
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    return cut(full.select("_comp", "_i", "_j", "_second", "_d", "_text").mapInArrow(run, "a long, b long").where("a <> b").distinct())
-
-
-def swept(df: DataFrame) -> DataFrame:
-    """df; shuffle files and checkpoints that nothing refers to any more are let go first, as the next step needs the disk."""
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return df
+    return cut(stars.union(full.select(*keys, "_second", "_d", "_text").mapInArrow(run, "a long, b long")).where("a <> b").distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(_d, _comp) of every end of edges(a, b): the least id reachable. Least labels spread along edges and jump over themselves
-    until none changes; every round is materialised, labels combine on the map side."""
-    both = cut(edges.select(F.col("a").alias("src"), F.col("b").alias("dst")).union(edges.select("b", "a")))
-    labels = cut(both.groupBy(F.col("src").alias("_d")).agg(F.least(F.min("dst"), F.first("src")).alias("_comp")))
-    while True:
-        told = both.join(labels.select(F.col("_d").alias("dst"), "_comp"), "dst").groupBy(F.col("src").alias("_d")).agg(F.min("_comp").alias("_told"))
-        up = labels.select(F.col("_d").alias("_comp"), F.col("_comp").alias("_up"))
-        step = labels.join(told, "_d").join(up, "_comp", "left")
-        new = cut(step.select("_d", F.least("_comp", "_told", F.coalesce("_up", "_comp")).alias("_next"), "_comp"))
-        changed = new.where("_next <> _comp").limit(1).count()
-        labels = new.select("_d", F.col("_next").alias("_comp"))
-        if not changed:
-            return labels
+    """(_d, _comp) of every end of edges(a, b): the least id reachable.
+
+    Round by round: every vertex points to the least of its neighbours and itself, pointers jump over themselves until they rest, and
+    the graph is contracted to what they point to. Dense groups become one vertex in the first round, chains halve; every round is materialised.
+    """
+    left, rounds = cut(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()), []
+    while not rounds or not left.isEmpty():
+        ends = left.select(F.col("a").alias("_d"), F.col("a").alias("_to")).union(left.select(F.col("b"), F.col("a"))).union(left.select(F.col("a"), F.col("b")))
+        up = cut(ends.groupBy("_d").agg(F.least(F.min("_to"), F.col("_d")).alias("_up")))
+        while True:
+            above = up.select(F.col("_d").alias("_up"), F.col("_up").alias("_top"))
+            jumped = cut(up.join(above, "_up").select("_d", F.col("_top").alias("_up"), (F.col("_top") != F.col("_up")).alias("_moved")))
+            rest = jumped.where("_moved").isEmpty()
+            up = jumped.select("_d", "_up")
+            if rest:
+                break
+        rounds.append(up)
+        moved = left.join(up.select(F.col("_d").alias("a"), F.col("_up").alias("_a")), "a").join(up.select(F.col("_d").alias("b"), F.col("_up").alias("_b")), "b")
+        left = cut(moved.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).where("a <> b").distinct())
+    labels = rounds.pop().select("_d", F.col("_up").alias("_comp"))
+    for up in reversed(rounds):
+        labels = up.join(labels.withColumnRenamed("_d", "_up"), "_up", "left").select("_d", F.coalesce("_comp", "_up").alias("_comp"))
+    return cut(labels) if rounds else labels
 
 
 def near_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -313,7 +372,7 @@ def near_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     nodes = [F.struct(*[F.col("_nodes")[t * len(LEVELS) + i].alias(f"_{depth}") for i, depth in enumerate(LEVELS)]) for t in range(FULL)]
     rows = sets.select("_d", F.inline(F.array(*nodes)))
     deep = sets.select("_d", F.explode(F.slice("_nodes", FULL * len(LEVELS) + 1, TREES - FULL)).alias(f"_{DEPTH}"))
-    comps = components(verified(swept(clusters(rows, deep, sets)), base, words, percent))
+    comps = components(verified(clusters(rows, deep, sets), base, words, percent))
     named = classes.join(comps.withColumnRenamed("_d", "_rep"), "_rep", "left").where("_rows > 1 or _comp is not null")
     named = cut(named.select("_k1", "_k2", "_n", F.coalesce("_comp", "_rep").alias("_comp")))
     marked = narrow.select("_d", "_k1", "_k2", "_n").join(named, ["_k1", "_k2", "_n"], "left").withColumn("_comp", F.coalesce("_comp", "_d"))

@@ -79,3 +79,41 @@ def test_odd_rows(spark, odd):
     assert nd.near_components(odd.limit(0)).count() == 0
     out = nd.near_dedup(odd, 2)
     assert out.columns == odd.columns
+
+
+def test_components(spark):
+    random.seed(5)
+    edges = [(i, i + 1) for i in range(300, 340)] + [(i, 500) for i in range(400, 480)]  # a chain, a star around its greatest member
+    edges += [(random.randrange(200), random.randrange(200)) for _ in range(150)] + [(7, 7), (450, 500), (500, 450)]
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        x, y = find(a), find(b)
+        parent[max(x, y)] = min(x, y)
+    want = {x: find(x) for e in edges if e[0] != e[1] for x in e}
+    got = {r._d: r._comp for r in nd.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == want
+
+
+def test_clusters_of_many_blocks(spark, monkeypatch):
+    """Open sets, sets joined with the first one, and both kinds in several blocks."""
+    monkeypatch.setattr(nd, "BLOCK", 4)
+    monkeypatch.setattr(nd, "SMALL", 3)
+    rows = noisy(2, 2, 40, 14)
+    want = brute(rows, 2)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in nd.near_components(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()}
+    assert got == want
+
+
+def test_sketches_tell_unrelated_long_texts_apart():
+    import pyarrow as pa
+
+    texts = [" ".join(f"{k}w{i}" for i in range(3000)) for k in range(20)]
+    sketch = nd.signatures(pa.array(texts, pa.large_string()), 2)["sig"][:, : nd.SKETCH].astype("uint8")
+    agree = [(sketch[a] == sketch[b]).sum() for a in range(20) for b in range(a)]
+    assert max(agree) < 10
