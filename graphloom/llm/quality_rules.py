@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from graphloom.llm.common import SPACE, annotate, calibrate, labelled, mix, raw, sigmoid, slices, span_hashes, strings, word_spans
-from graphloom.llm.ngrams import BITS, mean_scores, sparse_rows
+from graphloom.llm.ngrams import BITS, grams, mean_scores
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -62,35 +62,65 @@ def counts(texts: pa.Array) -> dict[str, np.ndarray]:
     return out
 
 
-def fit(texts: list[str], y: np.ndarray, rounds: int = 60, rate: float = 1.0, ridge: float = 1e-5) -> tuple[np.ndarray, float, float]:
+class Batch:
+    """The n-grams of some texts, for scores and gradients of a linear model over their mean features."""
+
+    def __init__(self, texts: list[str]):
+        data, offsets = raw(pa.array(texts, pa.large_string()))
+        self.rows, self.groups = len(texts), list(grams(data, offsets))
+
+    def scores(self, weights: np.ndarray) -> np.ndarray:
+        out = np.zeros(self.rows)
+        for buckets, low, high in self.groups:
+            sums = np.zeros(len(buckets) + 1)
+            np.cumsum(weights[buckets], dtype=np.float64, out=sums[1:])
+            out += (sums[high] - sums[low]) / np.maximum(high - low, 1)
+        return out
+
+    def gradient(self, errors: np.ndarray) -> np.ndarray:
+        out = np.zeros(1 << BITS)
+        for buckets, low, high in self.groups:
+            each = errors / np.maximum(high - low, 1)
+            change = np.zeros(len(buckets) + 1)
+            np.add.at(change, low, each)
+            np.subtract.at(change, high, each)
+            out += np.bincount(buckets, np.cumsum(change)[:-1], 1 << BITS)
+        return out
+
+
+def fit(texts: list[str], y: np.ndarray, epochs: int = 4, rate: float = 0.5, ridge: float = 1e-6, batch_bytes: int = 128 << 10, seed: int = 7) -> tuple[np.ndarray, float, float]:
     """(weights by bucket, a, b): the probability of label 1 is sigmoid(a * mean score + b).
 
-    Full-batch Adam on four fifths of the rows; the rest calibrate. With one class only, a constant: its smoothed share.
+    AdaGrad over minibatches of about batch_bytes of text on four fifths of the rows; the rest calibrate. Features are made anew for each batch, so
+    memory is the model's and a batch's. With one class only, a constant: its smoothed share.
     """
     weights = np.zeros(1 << BITS, np.float32)
     if len(y) < 10 or y.min() == y.max():
         share = (y.sum() + 1) / (len(y) + 1) if len(y) else 1.0
         return weights, 0.0, float(np.log((share + 1e-3) / (1 - share + 1e-3)))
     train = np.arange(len(y)) % 5 != 4
-    ids, values, starts = sparse_rows(texts)
-    row = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(starts))
-    used = train[row]
-    u_ids, u_values, u_row = ids[used], values[used], row[used]
-    balance = np.where(y > 0, 0.5 / max(y[train].sum(), 1), 0.5 / max((1 - y[train]).sum(), 1))
-    first, second, bias = np.zeros_like(weights), np.zeros_like(weights), 0.0
-    for t in range(1, rounds + 1):
-        score = np.bincount(u_row, u_values * weights[u_ids], len(y)) + bias
-        error = np.where(train, (sigmoid(score) - y) * balance, 0)
-        grad = np.bincount(u_ids, u_values * error[u_row], 1 << BITS).astype(np.float32) + ridge * weights
-        first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad * grad
-        weights -= (rate * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.99**t)) + 1e-7)).astype(np.float32)
-        bias -= rate * error.sum()
-    score = np.bincount(row, values * weights[ids], len(y))
+    sizes = np.array([len(t) for t in texts])
+    balance = np.where(y > 0, 0.5 / max(y[train].mean(), 1e-9), 0.5 / max(1 - y[train].mean(), 1e-9))
+    rng, squares, bias = np.random.default_rng(seed), np.full_like(weights, 1e-8), 0.0
+
+    def parts(rows: np.ndarray):
+        at = np.concatenate([[0], np.cumsum(sizes[rows])])
+        return [rows[i:j] for i, j in slices(at, batch_bytes)]
+
+    for _ in range(epochs):
+        for rows in parts(rng.permutation(np.flatnonzero(train))):
+            batch = Batch([texts[k] for k in rows])
+            errors = (sigmoid(batch.scores(weights) + bias) - y[rows]) * balance[rows] / len(rows)
+            slope = batch.gradient(errors).astype(np.float32) + ridge * weights
+            squares += slope * slope
+            weights -= rate * slope / np.sqrt(squares)
+            bias -= rate * errors.sum()
+    every = np.concatenate([Batch([texts[k] for k in rows]).scores(weights) for rows in parts(np.arange(len(y)))])
     rest = ~train if len(set(y[~train])) == 2 else np.ones(len(y), bool)
-    return weights, *calibrate(score[rest], y[rest])
+    return weights, *calibrate(every[rest], y[rest])
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = 1200, min_words: int = 50, max_repeat_percent: int = 50, threshold: float = 0.5) -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = 3000, min_words: int = 50, max_repeat_percent: int = 50, threshold: float = 0.5) -> DataFrame:
     """docs with COUNTS (long), base_failed (boolean), quality_score (double) and kept (boolean).
 
     base_failed: fewer than min_words words, or more than max_repeat_percent of them in repeated 3-word windows. Others are
