@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import tempfile
 from collections.abc import Iterator
 
@@ -134,10 +133,6 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * low * above[high])
 
 
-def partitions_for(total_bytes: int, target: int = 16 << 20, most: int = 4096) -> int:
-    return max(1, min(most, math.ceil(total_bytes / target)))
-
-
 def pack(docs: DataFrame, **columns: Column) -> DataFrame:
     """All columns of docs as one struct _row, so that their names can't clash with an operator's own."""
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *[c.alias(k) for k, c in columns.items()])
@@ -214,18 +209,39 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def by_range(docs: DataFrame, key: Column, target: int = 16 << 20, most: int = 4096) -> tuple[DataFrame, list[int]]:
-    """(docs with _bucket, cut points): ascending ranges of the long key with about target bytes of text each.
+def by_range(docs: DataFrame, key: Column, target: int = 16 << 20, most: int = 50_000) -> tuple[DataFrame, list[int]]:
+    """(docs with _bucket, cut points): ascending ranges of the long key with about target bytes of text each, or total / most if that is more.
 
-    Cut points are approximate quantiles of the key over all rows, at most `most` numbers. Each bucket is an array: see
-    fingerprints for rows that go to two. The lookup is an Arrow UDF on the key alone.
+    Bytes are summed by the key's high bits, and by more of them where one sum is above target, until they are below or the key is whole;
+    so the cut points depend on the rows alone, and the sums at the driver are some for each range. All rows of one key are in one range.
+    The lookup is an Arrow UDF on the key alone.
     """
-    stats = docs.select(key.alias("k"), F.octet_length(text_of()).alias("b")).agg(F.sum("b").alias("bytes"), F.count("*").alias("rows")).first()
-    n = partitions_for(stats["bytes"] or 0, target, most)
+    sized = docs.select(key.alias("k"), F.octet_length(text_of()).alias("b"))
+    stats = sized.agg(F.sum("b").alias("bytes"), F.min("k").alias("low"), F.max("k").alias("high")).first()
+    target = max(target, (stats["bytes"] or 0) // most)
     points: list[int] = []
-    if n > 1:
-        quantiles = docs.select(key.alias("k")).agg(F.percentile_approx("k", [i / n for i in range(1, n)], 20 * n).alias("q")).first()["q"]
-        points = sorted(set(quantiles))
+    if (stats["bytes"] or 0) > target:
+        shift = max(0, ((stats["high"] >> 12) - (stats["low"] >> 12)).bit_length())
+        found: dict[int, int] = {}  # bytes by the last key of a span of keys
+        heavy: list[int] | None = None  # the high bits that are looked at again with more of them
+        while heavy is None or heavy:
+            here = sized.withColumn("x", F.shiftright("k", shift))
+            if heavy is not None:
+                coarse = docs.sparkSession.createDataFrame([(x,) for x in heavy], "c long")
+                here = here.join(F.broadcast(coarse), F.shiftright("k", above) == F.col("c"))  # at most one for each range
+            heavy, above = [], shift
+            for r in here.groupBy("x").agg(F.sum("b").alias("b")).collect():
+                if r["b"] > target and shift > 0:
+                    heavy.append(r["x"])
+                else:
+                    found[((r["x"] + 1) << shift) - 1] = r["b"]
+            shift = max(0, shift - 8)
+        held = 0
+        for last in sorted(found):
+            if held and held + found[last] > target:
+                points.append(before)
+                held = 0
+            held, before = held + found[last], last
     edges = np.array(points, np.int64)
 
     @F.pandas_udf("int")
