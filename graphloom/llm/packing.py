@@ -23,7 +23,7 @@ STOPS[list(b".!?")], CLOSERS[list(b"'\")]")] = True, True
 #: Words and ids that a Python worker remembers, counted with what a dict takes for them.
 CACHE_BYTES = 48 << 20
 #: Costs in tokens: of cutting at a sentence's end, and elsewhere. A document's end costs nothing, a token of padding 1.
-SENTENCE_COST, HARD_COST = 2, 8
+SENTENCE_COST, HARD_COST = 2, 96
 
 
 class WordIds:
@@ -162,6 +162,49 @@ def tail(start: int, end: int, size: int) -> list[int]:
 
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+#: Tokens of a range that are held before their windows are chosen.
+HELD_TOKENS = 1 << 20
+
+
+class Packer:
+    """Takes the documents of one range in order and gives rows of PIECES; holds about `held` tokens, besides one document."""
+
+    def __init__(self, first_id: int, size: int, held: int):
+        self.sequence, self.size, self.held = first_id, size, held
+        self.docs: deque[tuple[int | None, np.ndarray, np.ndarray]] = deque()
+        self.used = self.tokens = 0  # ids of the first document that are packed already; ids that are not packed yet
+
+    def add(self, doc_id: int | None, ids: np.ndarray, stops: np.ndarray) -> list[tuple]:
+        self.docs.append((doc_id, ids, stops))
+        self.tokens += len(ids)
+        return self.take(False) if self.tokens >= self.held else []
+
+    def take(self, last: bool) -> list[tuple]:
+        """The rows of all windows but the last one, whose end depends on what follows; with last, of all."""
+        if not self.docs:
+            return []
+        skip = [self.used, *[0] * (len(self.docs) - 1)]
+        ends, costs = possible([len(ids) - k for (_, ids, _), k in zip(self.docs, skip, strict=True)], [stops[stops > k] - k for (*_, stops), k in zip(self.docs, skip, strict=True)], self.size)
+        chosen = cuts(ends, costs, self.size)
+        if last:
+            start = chosen[-2] if len(chosen) > 1 else 0
+            chosen[-1:] = tail(start, chosen[-1], self.size)
+        else:
+            chosen.pop()
+        rows, at = [], 0
+        for end in chosen:
+            begin = at
+            while at < end:
+                doc_id, ids, _ = self.docs[0]
+                take = min(end - at, len(ids) - self.used)
+                rows.append((doc_id, self.used, take, zlib.crc32(ids[self.used : self.used + take].tobytes()), len(ids), self.sequence, at - begin))
+                at, self.used = at + take, self.used + take
+                if self.used == len(ids):
+                    self.docs.popleft()
+                    self.used = 0
+            self.sequence += 1
+        self.tokens -= at
+        return rows
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 1, target_bytes: int = 12 << 20) -> DataFrame:
@@ -169,53 +212,33 @@ def pack_documents(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: in
 
     Returns PIECES: start counts the document's ids before the piece, offset the sequence's before it. Documents stand in the order
     of doc_id (null first; repeated ids in the order of their texts; each row is a document). The order is dealt into
-    ranges of about target_bytes of text, one task each, which holds the ids of a range at once; sequences don't
-    cross ranges. In each, cuts() chooses the windows; the last, shorter one is split into powers of two, which need no padding.
-    sequence_id is the range's number times 2^32 plus the number in it. A null text is empty: its end_id alone.
-    An empty table gives an empty one. tokenizer is the path of a vocabulary file that every executor has.
+    ranges of about target_bytes of text, one task each; sequences don't cross ranges. Documents stream through a task, which holds about
+    HELD_TOKENS ids, besides one document: cuts() chooses the windows of these, and the last of them, whose end depends on what follows,
+    is chosen again with the next. At the end of a range the last, shorter one is split into powers of two, which need no padding.
+    sequence_id is the range's number times 2^32 plus the number in it; ranges depend on the rows alone, so it is the same in every run.
+    A null text is empty: its end_id alone. An empty table gives an empty one. tokenizer is the path of a vocabulary file that every
+    executor has.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), id_of().alias("_d"), text_of().alias("text"))
     ranged, points = by_range(base, F.col("_d"), target_bytes)
     ranged = ranged.repartitionById(len(points) + 1, "_bucket").sortWithinPartitions("_bucket", "_d", "text")
+    held = HELD_TOKENS
 
     def run(batches):
         encoder = WordIds(tokenizer)
         schema = pa.schema([(field.split()[0], pa.int64()) for field in PIECES.split(", ")])
-        ids: list[int | None] = []
-        streams: list[np.ndarray] = []
-        inner: list[np.ndarray] = []
-        bucket = None
-
-        def flush():
-            lengths = [len(s) for s in streams]
-            ends, costs = possible(lengths, inner, size)
-            chosen = cuts(ends, costs, size)
-            start = chosen[-2] if len(chosen) > 1 else 0
-            chosen[-1:] = tail(start, chosen[-1], size)
-            rows, doc, used = [], 0, 0
-            at = 0
-            for number, end in enumerate(chosen):
-                begin = at
-                while at < end:
-                    take = min(end - at, lengths[doc] - used)
-                    piece = streams[doc][used : used + take].tobytes()
-                    rows.append((ids[doc], used, take, zlib.crc32(piece), lengths[doc], (bucket << 32) + number, at - begin))
-                    at, used = at + take, used + take
-                    if used == lengths[doc]:
-                        doc, used = doc + 1, 0
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=schema)
-
+        packer, bucket = None, None
         for batch in batches:
+            rows = []
             encoded = encoder(strings(batch, "text"))
-            for b, doc_id, (stream, stops) in zip(batch.column("_bucket").to_pylist(), batch.column("doc_id").to_pylist(), encoded, strict=True):
-                if b != bucket and streams:
-                    yield flush()
-                    ids, streams, inner = [], [], []
-                bucket = b
-                ids.append(doc_id)
-                streams.append(np.append(stream, np.uint32(end_id)).astype("<u4"))
-                inner.append(stops)
-        if streams:
-            yield flush()
+            for b, doc_id, (ids, stops) in zip(batch.column("_bucket").to_pylist(), batch.column("doc_id").to_pylist(), encoded, strict=True):
+                if b != bucket:
+                    rows += packer.take(True) if packer else []
+                    packer, bucket = Packer(b << 32, size, held), b
+                rows += packer.add(doc_id, np.append(ids, np.uint32(end_id)).astype("<u4"), stops)
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=schema)
+        if packer and (rows := packer.take(True)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=schema)
 
     return ranged.mapInArrow(run, PIECES)
