@@ -13,9 +13,9 @@ from graphloom.llm.common import LOWER, NO_ID, annotate, cut, id_of, mix, pack,
 #: depth is found, however large the nodes above it are, so TREES bounds the recall: 1 - (1 - 0.8^7)^50 = 0.99999 at 0.8.
 TREES = 50
 #: Trees whose nodes are looked at from the first level on; of the others only those of the last depth.
-FULL = 12
+FULL = 16
 #: Depths at which nodes are looked at.
-LEVELS = (2, 4, 7)
+LEVELS = (3, 7)
 DEPTH = LEVELS[-1]
 TOKENS = TREES * DEPTH
 #: Tokens a set is screened by, a byte of each.
@@ -163,7 +163,7 @@ def texts_of(ends: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def clusters(rows: DataFrame, deep: DataFrame, sketches: DataFrame) -> DataFrame:
-    """(_d, _comp): sets that may be similar, in clusters, of rows(_d, _2, _4, ..) with their nodes in the first FULL trees and
+    """(_d, _comp): sets that may be similar, in clusters, of rows(_d, _3, _7) with their nodes in the first FULL trees and
     deep(_d, _7) with those of the last depth in the others.
 
     Members of a small node are compared by sketch, pair by pair; those of a large one with its least member, and it branches on;
@@ -187,9 +187,9 @@ def clusters(rows: DataFrame, deep: DataFrame, sketches: DataFrame) -> DataFrame
         found = found.union(stars)
         here = cut(here.join(large.select(F.col("_node").alias(f"_{depth}")), f"_{depth}", "left_semi"))
     s = sketches.select("_d", "_sketch")
-    near = cut(found.distinct()).join(s.select(F.col("_d").alias("a"), F.col("_sketch").alias("_sa")), "a").join(s.select(F.col("_d").alias("b"), F.col("_sketch").alias("_sb")), "b")
+    near = found.distinct().join(s.select(F.col("_d").alias("a"), F.col("_sketch").alias("_sa")), "a").join(s.select(F.col("_d").alias("b"), F.col("_sketch").alias("_sb")), "b")
     agree = F.size(F.filter(F.zip_with("_sa", "_sb", lambda x, y: x == y), lambda x: x))
-    return components(cut(near.where(agree >= int(SCREEN * SKETCH)).select("a", "b").union(stars)))
+    return components(near.where(agree >= int(SCREEN * SKETCH)).select("a", "b").union(stars))
 
 
 def common_shingles(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -283,7 +283,7 @@ def verified(groups: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     stars = seen.where(F.col("_linked") & (F.col("_d") != F.col("_comp"))).select(F.col("_comp").alias("a"), F.col("_d").alias("b"))
     rest = seen.where("_d <> _comp").withColumn("_open", ~F.col("_linked"))
     sizes = rest.groupBy("_comp").agg(blocks(F.col("_open")).alias("_open_blocks"), blocks(F.col("_linked")).alias("_linked_blocks"), F.count("*").alias("_sets"))
-    sizes = cut(sizes.where("_open_blocks > 0 and _sets > 1").drop("_sets"))
+    sizes = sizes.where("_open_blocks > 0 and _sets > 1").drop("_sets")
     dealt = rest.join(sizes, "_comp").withColumn("_b", F.pmod(F.xxhash64("_d"), F.when(F.col("_open"), F.col("_open_blocks")).otherwise(F.col("_linked_blocks"))).cast("int"))
     span = lambda n: F.when(n > 0, F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1)).otherwise(F.array().cast("array<int>"))
     unit = lambda i, j, second, joined: F.struct(i.alias("_i"), j.alias("_j"), second.alias("_second"), F.lit(joined).alias("_joined"))
@@ -329,21 +329,19 @@ def components(edges: DataFrame) -> DataFrame:
     """
     left, rounds = cut(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()), []
     while not rounds or not left.isEmpty():
-        ends = left.select(F.col("a").alias("_d"), F.col("a").alias("_to")).union(left.select(F.col("b"), F.col("a"))).union(left.select(F.col("a"), F.col("b")))
-        up = cut(ends.groupBy("_d").agg(F.least(F.min("_to"), F.col("_d")).alias("_up")))
+        ends = left.select(F.col("a").alias("_d"), F.col("a").alias("_up")).union(left.select(F.col("b"), F.col("a"))).union(left.select(F.col("a"), F.col("b")))
+        up = ends.groupBy("_d").agg(F.min("_up").alias("_up"))
         while True:
             above = up.select(F.col("_d").alias("_up"), F.col("_up").alias("_top"))
-            jumped = cut(up.join(above, "_up").select("_d", F.col("_top").alias("_up"), (F.col("_top") != F.col("_up")).alias("_moved")))
-            rest = jumped.where("_moved").isEmpty()
-            up = jumped.select("_d", "_up")
-            if rest:
+            up = cut(up.join(above, "_up").select("_d", F.col("_top").alias("_up"), (F.col("_top") != F.col("_up")).alias("_moved")))
+            if up.where("_moved").isEmpty():
                 break
         rounds.append(up)
         moved = left.join(up.select(F.col("_d").alias("a"), F.col("_up").alias("_a")), "a").join(up.select(F.col("_d").alias("b"), F.col("_up").alias("_b")), "b")
         left = cut(moved.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).where("a <> b").distinct())
     labels = rounds.pop().select("_d", F.col("_up").alias("_comp"))
     for up in reversed(rounds):
-        labels = up.join(labels.withColumnRenamed("_d", "_up"), "_up", "left").select("_d", F.coalesce("_comp", "_up").alias("_comp"))
+        labels = up.select("_d", "_up").join(labels.withColumnRenamed("_d", "_up"), "_up", "left").select("_d", F.coalesce("_comp", "_up").alias("_comp"))
     return cut(labels) if rounds else labels
 
 
@@ -360,9 +358,9 @@ def near_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     through their least member and branch on, and at the last depth are clusters whole, so none is given up. Inside a cluster every pair
     is decided on whole sets (of 64-bit shingle hashes), block by block (see verified()), whether it shared a node or not.
 
-    Recall for a pair of similarity s is at least 1 - (1 - s^7)^50, whatever the sizes of the nodes: 0.99999 at 0.8. That is the worst case, where
-    all nodes above the last depth are large; where those of depth 2 are small, 12 trees alone give 0.999995. The sketch of a small node's pair costs
-    about 0.000001 more. percent under 80 lowers these figures. Copies are one class; no group of near copies meets in one task.
+    Recall for a pair of similarity s is at least 1 - (1 - s^7)^50, whatever the sizes of the nodes: 0.99999 at 0.8. That is the worst case,
+    where all nodes above the last depth are large; where those of depth 3 are small, 16 trees alone give 0.99999. The sketch of a small
+    node's pair costs about 0.000001 more. percent under 80 lowers these figures. Copies are one class; no group of near copies meets in one task.
     """
     base = docs.select(id_of().alias("_d"), text_of().alias("_text"))
     narrow = cut(signed(base, words))
