@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import json
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 import xxhash
@@ -38,6 +39,10 @@ ARTICLES = frozenset("article post story entry content main body".split())
 #: A start tag of one closes an open element of the other kinds.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("ul ol dl table body article section div main aside nav td".split())
+#: An element deeper than this stands beside its parent, as in browsers; no text is lost.
+MAX_DEPTH = 150
+#: Lists of children whose lengths multiply to more are aligned by first matches, not by the longest common subsequence.
+ALIGN_CELLS = 40_000
 #: Wrappers of so many bytes in all are broadcast.
 BROADCAST_BYTES = 8 << 20
 #: So many different articles of a host must agree on a part of <article> or <main> before it counts as the template's.
@@ -110,7 +115,7 @@ def parse(page: str) -> Node:
             if tag == "title":
                 node.children.append(page[at : end.start() if end else len(page)])
             at = end.end() if end else len(page)
-        elif tag not in VOID and not m[3].rstrip().endswith("/"):
+        elif tag not in VOID and not m[3].rstrip().endswith("/") and len(stack) < MAX_DEPTH:
             stack.append(node)
     return root
 
@@ -147,14 +152,50 @@ def all_text(node: Node) -> str:
     return "".join(c if isinstance(c, str) else all_text(c) for c in node.children)
 
 
+def matches(x: list[str], y: list[str]) -> list[tuple[int, int]]:
+    """Places of equal labels in x and y, ascending in both: equal ends first, then a longest common subsequence of the rest; where that would
+    take more than ALIGN_CELLS steps, each label's next place in y, if it is no farther than x is behind."""
+    head = 0
+    while head < min(len(x), len(y)) and x[head] == y[head]:
+        head += 1
+    tail = 0
+    while tail < min(len(x), len(y)) - head and x[-1 - tail] == y[-1 - tail]:
+        tail += 1
+    n, m = len(x) - head - tail, len(y) - head - tail
+    out = [(k, k) for k in range(head)]
+    if n * m > ALIGN_CELLS:
+        places: dict[str, list[int]] = {}
+        for k in range(m):
+            places.setdefault(y[head + k], []).append(k)
+        at, width = 0, abs(n - m) + 64
+        for k in range(n):
+            where = places.get(x[head + k], [])
+            j = bisect_left(where, at)
+            if j < len(where) and where[j] <= k + width:
+                out.append((head + k, head + where[j]))
+                at = where[j] + 1
+    else:
+        best = [[0] * (m + 1) for _ in range(n + 1)]
+        for i in range(n - 1, -1, -1):
+            for j in range(m - 1, -1, -1):
+                best[i][j] = best[i + 1][j + 1] + 1 if x[head + i] == y[head + j] else max(best[i + 1][j], best[i][j + 1])
+        i = j = 0
+        while i < n and j < m:
+            if x[head + i] == y[head + j]:
+                out.append((head + i, head + j))
+                i, j = i + 1, j + 1
+            elif best[i + 1][j] >= best[i][j + 1]:
+                i += 1
+            else:
+                j += 1
+    return out + [(len(x) - k, len(y) - k) for k in range(tail, 0, -1)]
+
+
 def align(a: list, b: list) -> list:
     """The expression that generalises two of one label: children are aligned by a longest common subsequence of labels; the
     unmatched become optional, differing texts a slot, and equal labels left side by side one repeated group."""
     x, y = a[2], b[2]
-    best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-    for i in range(len(x) - 1, -1, -1):
-        for j in range(len(y) - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if x[i][0] == y[j][0] else max(best[i + 1][j], best[i][j + 1])
+    pairs = matches([e[0] for e in x], [e[0] for e in y])
     out: list = []
 
     def add(e: list, optional: bool) -> None:
@@ -168,16 +209,12 @@ def align(a: list, b: list) -> list:
             out.append(e)
 
     i = j = 0
-    while i < len(x) or j < len(y):
-        if i < len(x) and j < len(y) and x[i][0] == y[j][0]:
-            add(align(x[i], y[j]), False)
-            i, j = i + 1, j + 1
-        elif j == len(y) or (i < len(x) and best[i + 1][j] >= best[i][j + 1]):
-            add(x[i], True)
-            i += 1
-        else:
-            add(y[j], True)
-            j += 1
+    for p, q in [*pairs, (len(x), len(y))]:
+        for e in (*x[i:p], *y[j:q]):
+            add(e, True)
+        if p < len(x):
+            add(align(x[p], y[q]), False)
+        i, j = p + 1, q + 1
     text = a[3] if a[3] == b[3] else SLOT
     return [a[0], together(a[1], b[1]), out, text, *([sorted({*a[4], *b[4]})[:WITNESSES]] if len(a) > 4 else [])]
 

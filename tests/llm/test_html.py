@@ -94,3 +94,36 @@ def test_odd_rows(spark):
     got = sorted((str(r.page_id), r.text[:6], r.n_chars) for r in hw.extract_main_text(df).collect())
     assert got == [("1", "", 0), ("2", "", 0), ("3", "x", 1), ("3", "x", 1), ("None", "plain ", 299999)]
     assert hw.extract_main_text(df.limit(0)).count() == 0
+
+
+def test_deep_and_wide_markup():
+    deep = "<body>" + "<div>" * 100_000 + "x" + "</div>" * 100_000 + "<p>y</p></body>"
+    assert hw.main_text(deep, infer([deep, "<p>x"])) == "x\ny"
+    wide = "<body>" + "".join(f"<h2>a{i}</h2><p>b{i}</p>" for i in range(10_000)) + "</body>"
+    other = wide.replace("<h2>a5000</h2>", "<hr>")
+    text = "\n".join(f"a{i}\nb{i}" for i in range(10_000))
+    assert hw.main_text(wide, infer([wide, other])) == text
+
+
+def test_matches_are_a_longest_common_subsequence(monkeypatch):
+    import random
+    from itertools import combinations
+
+    random.seed(4)
+    for _ in range(200):
+        x, y = ([random.choice("abc") for _ in range(random.randrange(7))] for _ in range(2))
+        longest = max(k for k in range(len(x) + 1) for c in combinations(x, k) if any(list(c) == list(d) for d in combinations(y, k)))
+        for cells in (40_000, -1):
+            monkeypatch.setattr(hw, "ALIGN_CELLS", cells)
+            got = hw.matches(x, y)
+            assert all(x[i] == y[j] for i, j in got)
+            assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(got, got[1:], strict=False))
+            assert len(got) == longest or cells < 0
+
+
+def test_the_wrapper_decides_by_the_hosts_other_pages():
+    page = "<body><article><h1>Head {0}</h1><div class=x1>Pass it on</div><p>text {0}</p></article></body>"
+    same = [page.format(i) for i in range(4)]
+    assert hw.main_text(same[0], infer(same)) == "Head 0\ntext 0"
+    other = [same[0], *[page.format(i).replace("Pass it on", f"Note {i}") for i in range(1, 4)]]
+    assert hw.main_text(same[0], infer(other)) == "Head 0\nPass it on\ntext 0"
