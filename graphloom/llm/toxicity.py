@@ -141,7 +141,7 @@ def fit(texts: list[str], y: np.ndarray) -> Lexicon:
     lexicon = Lexicon(*learn_lexicon(texts, y), 2.0, -2.5)
     if len(y) and y.min() < y.max():
         run = lexicon.matcher()
-        lexicon.slope, lexicon.bias = calibrate(np.minimum([run(t)[0] for t in texts], 3.0), y)
+        lexicon.slope, lexicon.bias = calibrate(np.log1p([run(t)[0] for t in texts]), y)
     return lexicon
 
 
@@ -150,19 +150,19 @@ def toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None, sa
 
     The lexicon is fitted on at most sample_rows labelled rows (see labelled()) for which learn holds, and has a bounded
     number of terms; every whole text is then scanned once, without a shuffle. score: the sum of the matched terms' weights
-    over the logarithm of the length, through a calibrated logistic. Null texts count as empty and score lowest.
+    over the logarithm of the length, the logarithm of one more than that through a calibrated logistic. Null texts count as empty and score lowest.
     Without labels the seed lexicon and a fixed scale serve. Repeated rows score alike.
     """
     lexicon = fit(*labelled(docs, labels, "toxic", sample_rows, learn))
-    shared = docs.sparkSession.sparkContext.broadcast(lexicon)
+    shared = docs.sparkSession.sparkContext.broadcast((lexicon.weights, lexicon.exceptions))  # plain values: executors may lack this module
+    slope, bias = lexicon.slope, lexicon.bias
 
     def make():
-        run, model = shared.value.matcher(), shared.value
+        run = Lexicon(*shared.value, slope, bias).matcher()
 
         def batches(batch):
             found = [run(t) for t in strings(batch, "text").to_pylist()]
-            raw = np.minimum(np.array([x[0] for x in found], float), 3.0)
-            score = sigmoid(model.slope * raw + model.bias)
+            score = sigmoid(slope * np.log1p(np.array([x[0] for x in found], float)) + bias)
             return {"score": pa.array(score), "n_hits": pa.array([x[1] for x in found], pa.int64()), "predicted": pa.array((score >= threshold).astype(np.int32))}
 
         return batches
