@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 
@@ -26,6 +27,10 @@ WINDOW = 8
 BITMAP = 24
 #: Odd multipliers of the minwise hashes of a text's words: texts that agree in all of them are copies.
 FACTORS = mix(np.arange(1, 5, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+#: A word of so many bytes that mixes letters and digits is a code: it may be a key, a token or a password.
+CODE_BYTES = 12
+DIGITS, LOWERS, UPPERS = (np.zeros(256, bool) for _ in range(3))
+DIGITS[48:58], LOWERS[97:123], UPPERS[65:91] = True, True, True
 MARKS = np.zeros(256, bool)
 MARKS[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 
@@ -100,8 +105,17 @@ def copy_keys(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which words are codes, their shapes): a shape is the kinds of letters a code has and its length's power of two."""
+    within = lambda flags: (lambda sums: sums[ends] > sums[starts])(np.concatenate([[0], np.cumsum(flags[data], dtype=np.int32)]))
+    lower, upper = within(LOWERS), within(UPPERS)
+    which = np.flatnonzero(within(DIGITS) & (lower | upper) & (ends - starts >= CODE_BYTES))
+    return which, lower[which] + 2 * upper[which] + 4 * np.log2(np.maximum(ends - starts, 1)[which]).astype(np.int64)
+
+
 def scan(texts: pa.Array):
-    """For each text: its base spans, the (entity, term, group) of words near them, its number of words and its group.
+    """For each text: its base spans, the (entity, term, group) of words near them, its number of words, its codes as (hash, shape,
+    start, end) in code points, and its group.
 
     group stands for a document and its copies (see copy_keys()).
     """
@@ -111,6 +125,9 @@ def scan(texts: pa.Array):
         part, own = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         starts, ends, hashes, first = terms(part, own)
         groups = copy_keys(hashes, first)
+        coded, shapes = codes(part, starts, ends)
+        points = np.concatenate([[0], np.cumsum((part & 0xC0) != 0x80)]) if len(coded) else None
+        upto = np.searchsorted(coded, first)
         for k in range(i, j):
             text = values[k]
             spans, near = base_spans(text), []
@@ -126,28 +143,32 @@ def scan(texts: pa.Array):
                     who = entity(kind, text[a:b])
                     at = int(np.searchsorted(starts[free], x))
                     near += [(who, int(hashes[w]), group) for w in free[max(0, at - WINDOW) : at + WINDOW]]
-            yield spans, near, int(hi - lo), int(groups[k - i])
+            own_codes = slice(upto[k - i], upto[k - i + 1])
+            found = [(int(hashes[w]), int(shape), *(int(points[x[w]] - points[own[k - i]]) for x in (starts, ends))) for w, shape in zip(coded[own_codes], shapes[own_codes], strict=True)]
+            yield spans, near, int(hi - lo), found, int(groups[k - i])
 
 
 def found_spans(docs: DataFrame) -> DataFrame:
-    """The columns of docs but _text, with _t, _n (array of long by kind), _spans (k: kind, s, e), _near, _words and _g (group)."""
+    """The columns of docs but _text, with _t, _n (array of long by kind), _spans (k: kind, s, e), _near, _words, _g (group) and _codes."""
     span_type = pa.list_(pa.struct([("k", pa.int64()), ("s", pa.int64()), ("e", pa.int64())]))
+    code_type = pa.list_(pa.struct([("t", pa.int64()), ("c", pa.int64()), ("s", pa.int64()), ("e", pa.int64())]))
     near_type = pa.list_(pa.struct([("e", pa.int64()), ("t", pa.int64()), ("g", pa.int64())]))
 
     def make():
         def run(batch):
-            spans, near, words, groups = zip(*scan(strings(batch, "_text")), strict=True) if batch.num_rows else ((), (), (), ())
+            spans, near, words, coded, groups = zip(*scan(strings(batch, "_text")), strict=True) if batch.num_rows else ((),) * 5
             return {
                 "_n": pa.array([[sum(s[0] == k for s in x) for k in range(4)] for x in spans], pa.list_(pa.int64())),
                 "_spans": pa.array([[dict(zip("kse", y, strict=True)) for y in x] for x in spans], span_type),
                 "_near": pa.array([[dict(zip("etg", x, strict=True)) for x in rows] for rows in near], near_type),
                 "_words": pa.array(words, pa.int64()),
                 "_g": pa.array(groups, pa.int64()),
+                "_codes": pa.array([[dict(zip("tcse", x, strict=True)) for x in rows] for rows in coded], code_type),
             }
 
         return run
 
-    added = {"_n": "array<long>", "_spans": "array<struct<k:long,s:long,e:long>>", "_near": "array<struct<e:long,t:long,g:long>>", "_words": "long", "_g": "long"}
+    added = {"_n": "array<long>", "_spans": "array<struct<k:long,s:long,e:long>>", "_near": "array<struct<e:long,t:long,g:long>>", "_words": "long", "_g": "long", "_codes": "array<struct<t:long,c:long,s:long,e:long>>"}
     return annotate(docs.withColumn("_t", F.xxhash64("_text")), make, added).drop("_text")
 
 
@@ -200,16 +221,16 @@ def disclosing_terms(found: DataFrame, docs: DataFrame, alpha: float, level: flo
 
     An entity e has information -log2 P(e); a term t tells log2(P(e, t) / (P(e) P(t))) of it: all, if it occurs with e alone.
     Occurrences are counted over all documents. Besides, chance must not explain the pair: were t spread over the groups of
-    documents at random, it would meet e as often with a probability of at most level, divided by the number of terms found near e
-    (Chernoff's bound). Copies are one group, so they are no evidence; an entity of one document can disclose terms if the corpus is large enough.
+    documents at random, it would meet e as often with a probability of at most level, divided by the number of pairs found in the corpus
+    (Chernoff's bound). Copies are one group, so they are no evidence; an entity of one document can disclose terms only where few pairs are tried.
     """
     near = found.select(F.explode("_near").alias("x")).select("x.e", "x.t", "x.g")
     pairs = near.groupBy("e", "t", "g").count().groupBy("e", "t").agg(F.sum("count").alias("n_et"), F.count("*").alias("groups"))
     every = found.agg(F.countDistinct("_g").alias("groups"), F.sum("_words").alias("words")).first()
     seen = found.select(F.explode(F.array_distinct(F.transform("_near", lambda x: x["e"]))).alias("e"), "_g").groupBy("e").agg(F.count("*").alias("n_e"), F.countDistinct("_g").alias("g_e"))
     pairs = cut(pairs)
-    known = pairs.join(seen, "e").join(pairs.groupBy("e").agg(F.count("*").alias("tried")), "e")
-    chance, limit = F.col("g_e") / F.lit(max(every["groups"], 1)), F.log(F.lit(level) / F.col("tried"))
+    known = pairs.join(seen, "e")
+    chance, limit = F.col("g_e") / F.lit(max(every["groups"], 1)), F.lit(math.log(level / max(pairs.count(), 1)))
     known = cut(known.withColumn("q", chance).withColumn("limit", limit).where(F.col("groups") * F.log("q") <= F.col("limit")))
     if known.isEmpty():
         return None
@@ -226,13 +247,28 @@ def disclosing_terms(found: DataFrame, docs: DataFrame, alpha: float, level: flo
     return cut(known.withColumn("disclosure", told / information).where(F.col("disclosure") >= 1 / alpha).groupBy("t").agg(F.max("disclosure").alias("disclosure")))
 
 
-def personal_spans(docs: DataFrame, alpha: float = 1.25, level: float = 0.01) -> DataFrame:
-    """A row for each row of docs: doc_id, n_email, n_ip, n_card, n_phone, n_term (long), base_spans and spans (string), and
-    entities and terms (arrays) for sanitise().
+def disclosing_shapes(found: DataFrame, alpha: float, level: float) -> DataFrame:
+    """(c, disclosure) of the shapes whose codes disclose the document they stand in, as keys, tokens and passwords do.
+
+    A code that g of N groups of documents hold tells log2(N / g) of the log2(N) bits that a document's identity takes. The values of one
+    shape seldom recur, so the shape is judged: by the mean share of its values, less what chance may add to a mean of so many (Hoeffding's
+    bound at level). It must reach 1 / alpha. Names of standards and versions, which many documents share, tell little.
+    """
+    every = found.agg(F.countDistinct("_g").alias("groups"))
+    each = found.select("_g", F.explode("_codes").alias("x")).groupBy("x.c", "x.t").agg(F.countDistinct("_g").alias("g"))
+    share = 1 - F.log2("g") / F.log2(F.greatest("groups", F.lit(2)))
+    shapes = each.crossJoin(F.broadcast(every)).groupBy("c").agg(F.avg(share).alias("disclosure"), F.count("*").alias("values"))  # one row
+    return shapes.where(F.col("disclosure") - F.sqrt(-F.log(F.lit(level)) / (2 * F.col("values"))) >= 1 / alpha).select("c", "disclosure")
+
+
+def personal_spans(docs: DataFrame, alpha: float = 1.25, level: float = 0.05) -> DataFrame:
+    """A row for each row of docs: doc_id, n_email, n_ip, n_card, n_phone, n_term, n_spans (long), base_spans and spans
+    (string), entities and terms (arrays) and _t (hash of the text) for sanitise().
 
     The four kinds are found by pattern in every whole text. The method adds kind term: words that, by co-occurrence over the whole
-    corpus, disclose an entity (see disclosing_terms()), wherever they stand outside base spans. A span string lists kind:start:end
-    in code points, end exclusive, by kind and start, joined by commas.
+    corpus, disclose an entity (see disclosing_terms()) or, as codes of a disclosing shape do, the document itself (see
+    disclosing_shapes()), wherever they stand outside base spans. A span string lists kind:start:end in code points, end exclusive, by
+    kind and start, joined by commas. n_spans counts all spans.
 
     Null texts count as empty. Repeated rows get the same spans. An empty table gives an empty one. Texts are scanned in place
     and never shuffled; only words near entities, counts, and positions of disclosing terms move.
@@ -246,7 +282,11 @@ def personal_spans(docs: DataFrame, alpha: float = 1.25, level: float = 0.01) ->
     else:
         places = looked_for(texts, bitmap_of(flagged, "t"), True).join(flagged, "t").select("_d", "_t", F.struct("start", "end", "disclosure").alias("p"))
         found = found.join(cut(places.groupBy("_d", "_t").agg(F.array_sort(F.collect_set("p")).alias("_terms"))), ["_d", "_t"], "left")
-    own = F.filter(F.coalesce("_terms", F.array()), lambda t: ~F.exists("_spans", lambda s: (t["start"] < s["e"]) & (t["end"] > s["s"])))
+    shapes = {r["c"]: r["disclosure"] for r in disclosing_shapes(found, alpha, level).collect()}  # at most 4 kinds times 31 lengths
+    table = F.create_map(*[F.lit(x) for pair in shapes.items() for x in pair]) if shapes else F.expr("cast(map() as map<bigint,double>)")
+    coded = F.transform(F.filter("_codes", lambda x: F.map_contains_key(table, x["c"])), lambda x: F.struct(x["s"].alias("start"), x["e"].alias("end"), table[x["c"]].alias("disclosure")))
+    known = F.filter(F.coalesce("_terms", F.array()), lambda t: ~F.exists(coded, lambda x: (t["start"] < x["end"]) & (t["end"] > x["start"])))
+    own = F.filter(F.array_sort(F.concat(known, coded)), lambda t: ~F.exists("_spans", lambda s: (t["start"] < s["e"]) & (t["end"] > s["s"])))
     found = found.withColumn("_own", own)
     names = F.array(*[F.lit(k) for k in KINDS])
     base = F.concat_ws(",", F.transform("_spans", lambda s: F.concat_ws(":", F.element_at(names, (s["k"] + 1).cast("int")), s["s"].cast("string"), s["e"].cast("string"))))
@@ -255,6 +295,7 @@ def personal_spans(docs: DataFrame, alpha: float = 1.25, level: float = 0.01) ->
         F.when(F.col("_d") != NO_ID, F.col("_d")).alias("doc_id"),
         *[F.element_at("_n", k + 1).alias(f"n_{kind}") for k, kind in enumerate(KINDS)],
         F.size("_own").cast("long").alias("n_term"),
+        (F.size("_own") + F.size("_spans")).cast("long").alias("n_spans"),
         base.alias("base_spans"),
         F.concat_ws(",", F.nullif(base, F.lit("")), F.nullif(more, F.lit(""))).alias("spans"),
         F.col("_spans").alias("entities"),
@@ -267,7 +308,7 @@ def kind_of(word: str) -> str:
     return "[CODE]" if any(c.isdigit() for c in word) else "[NAME]" if word[:1].isupper() else "[WORD]"
 
 
-def sanitise(docs: DataFrame, alpha: float = 1.25, level: float = 0.01, remove_at: float = 0.95) -> DataFrame:
+def sanitise(docs: DataFrame, alpha: float = 1.25, level: float = 0.05, remove_at: float = 0.95) -> DataFrame:
     """docs with sanitised_text (string): entities replaced by their kind, terms whose disclosure reaches remove_at removed, other
     disclosing terms generalised to the class of their characters. Texts are shuffled once, to meet their spans.
 

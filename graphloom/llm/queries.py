@@ -34,7 +34,7 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = personal_spans(read(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_term")
+    return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_term", "n_spans")
 
 
 def op3_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

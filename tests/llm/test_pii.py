@@ -80,3 +80,23 @@ def test_odd_rows(odd):
     assert out.count() == 12
     assert set(out.columns) == {*odd.columns, "sanitised_text"}
     assert pii.personal_spans(odd.limit(0)).count() == 0
+
+
+def test_codes_of_a_shape_that_tells_documents_apart(spark):
+    """Keys that each stand in one document; a standard's name that many share is of another shape and tells little."""
+    import random
+
+    random.seed(3)
+    key = lambda: "AKIA" + "".join(random.choice("ABCDEFGHIJ23456789") for _ in range(16))
+    rows = [(i, f"note{i} about weather{i * 7} rain{i * 3} by iso8859latin1text" + (f" key ({key()}), kept" if i % 3 == 0 else "")) for i in range(600)]
+    rows += [(1000 + i, rows[0][1]) for i in range(20)]  # copies count once
+    got = {r.doc_id: r for r in pii.personal_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    text = dict(rows)
+    for i, r in got.items():
+        assert [text[i][t["start"] : t["end"]][:4] for t in r.terms] == ["AKIA"] * ("AKIA" in text[i])
+        assert r.n_spans == r.n_term == len(r.terms)
+
+
+def test_few_codes_are_no_evidence(spark):
+    rows = [(i, f"note{i} about weather{i * 7} rain{i * 3} zq{i * i}x88812345yz") for i in range(12)]
+    assert pii.personal_spans(spark.createDataFrame(rows, "doc_id long, text string")).agg({"n_term": "sum"}).first()[0] == 0
