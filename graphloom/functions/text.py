@@ -71,6 +71,21 @@ def utf8(content: Column) -> Column:
 
 
 def printable_runs(content: Column, least: int = 4) -> Column:
-    """Runs of at least so many printable ASCII characters of binary content, one a line; a run at the very end is dropped."""
-    latin = F.decode(content, "ISO-8859-1")
-    return F.array_join(F.regexp_extract_all(latin, F.lit(rf"([\x20-\x7e]{{{least},}})(?=[^\x20-\x7e])"), 1), "\n")
+    """Runs of at least so many printable Latin-1 characters of binary content, one a line; a run at the very end is dropped."""
+    latin, shown = F.decode(content, "ISO-8859-1"), r"\x20-\x7e\xa1-\xac\xae-\xff"
+    return F.array_join(F.regexp_extract_all(latin, F.lit(rf"([{shown}]{{{least},}})(?=[^{shown}])"), 1), "\n")
+
+
+def relevance(status: Column, explanation: Column) -> Column:
+    """'status: explanation', the status Unknown where there is none."""
+    return F.concat(F.coalesce(status, F.lit("Unknown")), F.lit(": "), F.coalesce(explanation, F.lit("")))
+
+
+def utc_text(moment: Column) -> Column:
+    """A moment as ISO text that ends in Z, with microseconds; the session's zone must be UTC."""
+    return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+
+
+def stamp(moment: Column) -> Column:
+    """A moment for file names: 20240131_235959."""
+    return F.date_format(moment, "yyyyMMdd_HHmmss")

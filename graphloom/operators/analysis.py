@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from graphloom.functions.text import doc_prefix, strip, title_key
 
 
+def unwrapped(answer: Column) -> Column:
+    """A reviewer's JSON answer as struct(relevance_status, relevance_explanation): an object, or the first of a list; else null."""
+    return F.get(F.from_json(answer, "array<struct<relevance_status:string,relevance_explanation:string>>"), F.lit(0))
+
+
 def with_keys(documents: DataFrame) -> DataFrame:
     """documents with doc_prefix and normalized_title_key filled: the stored value, else from title, else from source_file; and
     keys_changed, whether a stored value differs and must be written back."""

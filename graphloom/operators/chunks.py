@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -72,7 +73,7 @@ def locate(page: str, chunks: list[str], slack: int = 50) -> list[tuple[int, int
         end = start + len(chunk)
         if start < 0:
             wanted = _squeeze(chunk)[0].strip()
-            low = sum(p < at for p in places)
+            low = bisect_left(places, at)
             hit = squeezed.find(wanted, max(0, low - slack))
             if hit < 0:
                 return f"chunk {k} is not in the page"

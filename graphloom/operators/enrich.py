@@ -13,10 +13,13 @@ VERSION = "1.0"
 
 
 def chunk_entities(entities: DataFrame, edges: DataFrame, most: int = MOST_ENTITIES) -> DataFrame:
-    """(chunk_uuid, ents): of each chunk's entities the most mentioned ones, ties by id. Only the best leave the map side."""
+    """(chunk_uuid, ents): of each chunk's entities the most mentioned ones, ties by id. The rank's limit is applied
+    before the shuffle as well, so no row ever holds all entities of a chunk."""
     known = edges.join(entities.select("canonical_id", "canonical_text", "mention_count"), "canonical_id")
+    rank = F.row_number().over(W.partitionBy("chunk_uuid").orderBy(F.col("mention_count").desc(), "canonical_id"))
+    known = known.withColumn("_n", rank).where(F.col("_n") <= most)
     row = F.struct((-F.col("mention_count")).alias("k"), F.col("canonical_id").alias("id"), F.coalesce("canonical_text", F.lit("")).alias("text"))
-    return known.groupBy("chunk_uuid").agg(F.slice(F.array_sort(F.collect_set(row)), 1, most).alias("ents"))
+    return known.groupBy("chunk_uuid").agg(F.array_sort(F.collect_set(row)).alias("ents"))
 
 
 def neighbourhoods(chunks: DataFrame, documents: DataFrame, entities: DataFrame, edges: DataFrame) -> DataFrame:

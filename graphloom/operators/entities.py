@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from graphloom.functions.ids import entity_id
@@ -105,19 +106,42 @@ def mentions(raw: DataFrame, project: Column) -> DataFrame:
     return raw.select(entity_id(project, F.col("entity_type"), entity_text(F.col("text"))).alias("canonical_id"), "chunk_uuid").distinct()
 
 
+def existing_mentions(edges: DataFrame, entities: DataFrame, chunks: DataFrame) -> DataFrame:
+    """MENTIONED_IN edges both ends of which exist."""
+    return edges.join(entities.select("canonical_id").distinct(), "canonical_id", "left_semi").join(chunks.select("chunk_uuid").distinct(), "chunk_uuid", "left_semi")
+
+
+def chunk_lists(edges: DataFrame) -> DataFrame:
+    """(canonical_id, chunk_ids): an entity's chunks, each once, sorted. An entity of very many chunks is a long row, as defined; the edge table says the same."""
+    return edges.groupBy("canonical_id").agg(F.array_sort(F.collect_set("chunk_uuid")).alias("chunk_ids"))
+
+
+def flat_entities(payload: Column) -> Column:
+    """'TYPE::text' of each entity of a payload; OTHER and '' where one is missing, null for a malformed payload."""
+    return F.transform(F.from_json(payload, PAYLOAD), lambda e: F.concat(F.coalesce(e["entity_type"], F.lit("OTHER")), F.lit("::"), F.coalesce(e["text"], F.lit(""))))
+
+
 def co_occurrence(edges: DataFrame) -> DataFrame:
-    """CO_OCCURS_WITH (src, dst, count), src < dst: in how many chunks both stand. A chunk's entities are one array, so pairs need no self-join."""
+    """CO_OCCURS_WITH (src, dst, count), src < dst: in how many chunks both stand. A chunk's entities are one array, so pairs need no
+    self-join; each member is a row with those after it, so no row holds all pairs."""
     per = edges.groupBy("chunk_uuid").agg(F.array_sort(F.collect_set("canonical_id")).alias("e")).where(F.size("e") > 1)
-    pairs = F.flatten(F.transform("e", lambda a, i: F.transform(F.slice("e", i + 2, F.size("e")), lambda b: F.struct(a.alias("src"), b.alias("dst")))))
-    return per.select(F.explode(pairs).alias("p")).groupBy("p.src", "p.dst").agg(F.count("*").alias("count"))
+    each = per.select(F.posexplode("e").alias("i", "src"), "e")
+    return each.select("src", F.explode(F.slice("e", F.col("i") + 2, F.size("e"))).alias("dst")).groupBy("src", "dst").agg(F.count("*").alias("count"))
+
+
+#: Above so many entities their ids meet the mentions in a shuffle join.
+BROADCAST_ENTITIES = 100_000
 
 
 def shares_entity(entities: DataFrame, edges: DataFrame, chunks: DataFrame, min_mentions: int = 3, limit_entities: int = 5000, max_docs: int = 50, min_shared: int = 2) -> DataFrame:
     """SHARES_ENTITY (src, dst, count), src < dst: documents with at least min_shared common entities, of the limit_entities most mentioned
     ones with min_mentions; of each the first max_docs documents by id count. The three limits are the operator's own parameters."""
     top = entities.where(F.col("mention_count") >= min_mentions).orderBy(F.col("mention_count").desc(), "canonical_id").limit(limit_entities).select("canonical_id")
-    docs = edges.join(F.broadcast(top), "canonical_id").join(chunks.select("chunk_uuid", "document_uuid"), "chunk_uuid").select("canonical_id", "document_uuid").distinct()
-    per = docs.groupBy("canonical_id").agg(F.slice(F.array_sort(F.collect_set("document_uuid")), 1, max_docs).alias("d")).where(F.size("d") > 1)
+    top = F.broadcast(top) if limit_entities <= BROADCAST_ENTITIES else top
+    docs = edges.join(top, "canonical_id").join(chunks.select("chunk_uuid", "document_uuid"), "chunk_uuid").select("canonical_id", "document_uuid").distinct()
+    first = F.row_number().over(W.partitionBy("canonical_id").orderBy("document_uuid"))  # the limit is applied before the shuffle as well
+    docs = docs.withColumn("_n", first).where(F.col("_n") <= max_docs)
+    per = docs.groupBy("canonical_id").agg(F.array_sort(F.collect_list("document_uuid")).alias("d")).where(F.size("d") > 1)
     pairs = F.flatten(F.transform("d", lambda a, i: F.transform(F.slice("d", i + 2, max_docs), lambda b: F.struct(a.alias("src"), b.alias("dst")))))
     return per.select(F.explode(pairs).alias("p")).groupBy("p.src", "p.dst").agg(F.count("*").alias("count")).where(F.col("count") >= min_shared)
 

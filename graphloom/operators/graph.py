@@ -6,9 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Keys of the node tables.
-NODE_KEYS = {"case": "project_uuid", "document": "document_uuid", "chunk": "chunk_uuid", "canonical_entity": "canonical_id"}
-
 
 def next_edges(chunks: DataFrame, document: str = "document_uuid", key: str = "chunk_uuid", order: tuple[str, ...] = ("chunk_index",)) -> DataFrame:
     """NEXT_CHUNK (src, dst): each chunk to the one after it in its document; a single chunk has none."""
@@ -62,6 +59,21 @@ def duplicate_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("rows")).where("rows > 1")
 
 
+def document_maxima(documents: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Per document its greatest page number and its number of chunks, 0 without any."""
+    per = chunks.groupBy("document_uuid").agg(F.max("page_number").alias("page_count_detected"), F.count("*").alias("chunk_count"))
+    out = documents.select("document_uuid").join(per, "document_uuid", "left")
+    return out.select("document_uuid", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("page_count_detected", "chunk_count")])
+
+
+def load_stats(documents: DataFrame, chunks: DataFrame) -> DataFrame:
+    """One row: documents and chunks loaded, and edges from cases to documents, from documents to chunks and from chunk to chunk."""
+    per = document_maxima(documents, chunks.withColumn("page_number", F.lit(0)))
+    following = F.coalesce(F.sum(F.greatest(F.col("chunk_count") - 1, F.lit(0))), F.lit(0)).alias("next_chunk")
+    n, c = F.count("*"), F.coalesce(F.sum("chunk_count"), F.lit(0))
+    return per.agg(n.alias("documents"), c.alias("chunks"), n.alias("has_document"), c.alias("has_chunk"), following)
+
+
 def integrity(documents: DataFrame, chunks: DataFrame) -> DataFrame:
     """Per document: chunks, distinct chunk indexes, expected next edges, chunks without an exhibit name, the first 20 indexes, max page."""
     per = chunks.groupBy("document_uuid").agg(

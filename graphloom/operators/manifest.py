@@ -50,10 +50,14 @@ def to_ingest(files: DataFrame, manifest: DataFrame, staged: DataFrame, resume:
 
 
 def to_load(manifest: DataFrame, resume: bool = True, prefix: str = "", start: int = 0, limit: int | None = None) -> DataFrame:
-    """Manifest rows to be loaded: of the wanted prefix, a slice in the order of title or uuid, without loaded ones on resume."""
+    """Manifest rows to be loaded: of the wanted prefix, a slice in the order of title or uuid, without loaded ones on resume. A negative
+    start counts from the end."""
     from graphloom.functions.text import doc_prefix
 
     rows = manifest.where(doc_prefix(F.col("title")) == prefix.upper()) if prefix else manifest
-    rows = rows.orderBy(F.coalesce(filled(F.col("title")), F.col("document_uuid")), "document_uuid").offset(max(start, 0))
+    order = [F.coalesce(filled(F.col("title")), F.col("document_uuid")), F.col("document_uuid")]
+    if start < 0:
+        rows = rows.orderBy(*[c.desc() for c in order]).limit(-start)
+    rows = rows.orderBy(*order).offset(max(start, 0))
     rows = rows if limit is None else rows.limit(limit)
     return rows.where(F.col("status") != "loaded") if resume else rows

@@ -17,6 +17,21 @@ def assemble_markdown(pages: DataFrame) -> DataFrame:
     return whole.select("title", F.concat(strip(F.concat_ws("\n", head, F.array_join(listed, "\n"))), F.lit("\n")).alias("content"))
 
 
+def assemble_plain(pages: DataFrame) -> DataFrame:
+    """(title, content) of pages(title, page_number, text) without markers: every page with an empty line behind it."""
+    whole = pages.groupBy("title").agg(F.array_sort(F.collect_list(F.struct("page_number", "text"))).alias("p"))
+    return whole.select("title", F.array_join(F.transform("p", lambda x: F.concat(F.coalesce(x["text"], F.lit("")), F.lit("\n\n"))), "").alias("content"))
+
+
+def assemble_ranges(ranges: DataFrame) -> DataFrame:
+    """(title, content) of ranges(title, first_page, last_page, text): a heading, then each range with a rule behind it; one without text
+    leaves a note of its pages."""
+    whole = ranges.groupBy("title").agg(F.array_sort(F.collect_list(F.struct("first_page", "last_page", "text"))).alias("p"))
+    note = lambda x: F.concat(F.lit("\n[OCR Failed for Pages "), x["first_page"].cast("string"), F.lit("-"), x["last_page"].cast("string"), F.lit("]\n\n"))
+    parts = F.transform("p", lambda x: F.when(F.coalesce(x["text"], F.lit("")) == "", note(x)).otherwise(F.concat(x["text"], F.lit("\n\n---\n\n"))))
+    return whole.select("title", F.concat(F.lit("# OCR Output for "), F.col("title"), F.lit("\n\n"), F.array_join(parts, "")).alias("content"))
+
+
 def split_pages(docs: DataFrame) -> DataFrame:
     """(title, page_ord, page_number, total_pages, text) from docs(title, content).
 

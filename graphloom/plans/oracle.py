@@ -70,18 +70,18 @@ shares AS (
   FROM capped a JOIN capped b ON a.canonical_id = b.canonical_id AND a.document_uuid < b.document_uuid GROUP BY ALL HAVING count(*) >= {least})"""
 
 
-def manifest_rows(name: str, where: str, title: str, source: str, statuses: list[str], modulus: int, error: str, count: int, staged: str) -> str:
+def manifest_rows(name: str, hand: str, title: str, source: str, statuses: list[str], modulus: int, error: str, count: int, staged: str) -> str:
     status = f"[{', '.join(repr(s) for s in statuses)}][doc_id % {modulus} + 1]"
     return f"""{name} AS (
   SELECT document_uuid, title, source_file, '' AS ocr_markdown_path, '' AS source_file_path,
     CASE WHEN status <> '' THEN status WHEN staged_at <> '' OR chunk_count > 0 THEN 'staged' ELSE 'pending' END AS status, error, chunk_count, 0 AS page_count_detected,
     '' AS started_at, '' AS completed_at, staged_at, '' AS loaded_at
   FROM (SELECT document_uuid, {title} AS title, '{source}' AS source_file, {status} AS status, CASE WHEN {error} ELSE '' END AS error, (doc_id % {count})::INT AS chunk_count, CASE WHEN {staged} ELSE '' END AS staged_at
-    FROM titled WHERE {where}))"""
+    FROM titled UNION ALL VALUES {hand}))"""
 
 
-OLD = manifest_rows("old_m", "doc_id % 3 <> 0", "title", "a", ["", "pending", "staged", "loaded", "failed"], 5, "doc_id % 5 = 4 THEN 'broken'", 11, "doc_id % 4 = 0 THEN '2024-01-01T00:00:00Z'")
-NEW = manifest_rows("new_m", "doc_id % 7 <> 0", "CASE WHEN doc_id % 2 = 0 THEN title ELSE '' END", "b", ["pending", "staged", "failed", "loaded"], 4, "doc_id % 4 = 2 THEN 'again'", 13, "doc_id % 4 = 1 THEN '2024-02-02T00:00:00Z'")
+OLD = manifest_rows("old_m", "('old1', 'old one', 'a', 'failed', 'gone', 3, '')", "title", "a", ["", "pending", "staged", "loaded", "failed"], 5, "doc_id % 5 = 4 THEN 'broken'", 11, "doc_id % 4 = 0 THEN '2024-01-01T00:00:00Z'")
+NEW = manifest_rows("new_m", "('new1', 'new one', 'b', 'staged', '', 4, '')", "CASE WHEN doc_id % 2 = 0 THEN title ELSE '' END", "b", ["pending", "staged", "failed", "loaded"], 4, "doc_id % 4 = 2 THEN 'again'", 13, "doc_id % 4 = 1 THEN '2024-02-02T00:00:00Z'")
 
 
 def newer(c: str) -> str:
@@ -167,6 +167,21 @@ def oracle_sql() -> dict[str, str]:
     w = "WITH "
     selection = lambda where, tail: f"(SELECT document_uuid, title, status FROM (SELECT * FROM old_m {where} ORDER BY coalesce(nullif(title, ''), document_uuid), document_uuid {tail}) WHERE status <> 'loaded')"
     return {
+        "document_maxima": w + GRAPH + """ SELECT c_custkey AS document_uuid, coalesce(max(page_number), 0)::INT AS page_count_detected, count(chunk_uuid) AS chunk_count
+            FROM customer LEFT JOIN chunks ON document_uuid = c_custkey GROUP BY c_custkey""",
+        "load_stats": w + GRAPH + """, per AS (SELECT c_custkey, count(chunk_uuid) AS n FROM customer LEFT JOIN chunks ON document_uuid = c_custkey GROUP BY c_custkey)
+            SELECT count(*) AS documents, sum(n)::BIGINT AS chunks, count(*) AS has_document, sum(n)::BIGINT AS has_chunk, sum(greatest(n - 1, 0))::BIGINT AS next_chunk FROM per""",
+        "mention_endpoints": w + GRAPH + """ SELECT * FROM mentions WHERE canonical_id IN (SELECT canonical_id FROM ents WHERE mention_count >= 25)
+            AND chunk_uuid IN (SELECT chunk_uuid FROM chunks WHERE exhibit_name <> '')""",
+        "entity_chunk_lists": w + GRAPH + " SELECT canonical_id, string_agg(chunk_uuid::VARCHAR, ',' ORDER BY chunk_uuid) AS chunk_ids FROM mentions GROUP BY canonical_id",
+        "entities_flat": """SELECT 'c' || doc_id AS chunk_uuid, CASE WHEN doc_id % 17 = 3 THEN '' ELSE
+            array_to_string(list_transform(w, lambda x: CASE length(x) % 3 WHEN 0 THEN 'person' WHEN 1 THEN 'PLACE' ELSE 'OTHER' END || '::' || CASE WHEN doc_id % 5 = 0 THEN upper(x) ELSE x END), '|') END AS entities_flat
+            FROM (SELECT doc_id, list_transform(list_filter(string_split(coalesce(text, ''), ' '), lambda x: regexp_matches(x, '^[A-Z][a-z]{3,}[.,]?$')), lambda x: rtrim(x, '.,')) AS w FROM documents)""",
+        "relevance_texts": "SELECT doc_id, CASE WHEN quality = 1 THEN 'Relevant: good' ELSE 'Unknown: toxic' END AS relevance_analysis FROM labels WHERE quality = 1 OR toxic = 1",
+        "plain_markdown": "SELECT printf('conv_%d.md', conv_id) AS title, string_agg(coalesce(text, '') || chr(10) || chr(10), '' ORDER BY turn) AS content FROM conversations GROUP BY conv_id",
+        "range_markdown": """SELECT printf('conv_%d.pdf', conv_id) AS title, printf('# OCR Output for conv_%d.pdf', conv_id) || chr(10) || chr(10) || string_agg(CASE WHEN turn % 4 <> 2 AND text <> ''
+            THEN text || chr(10) || chr(10) || '---' || chr(10) || chr(10) ELSE chr(10) || printf('[OCR Failed for Pages %d-%d]', (turn * 10 + 1)::INT, (turn * 10 + 10)::INT) || chr(10) || chr(10) END, '' ORDER BY turn) AS content
+            FROM conversations GROUP BY conv_id""",
         "uuid5_documents": w + TITLED + f" SELECT doc_id, {u5(f"'{CASES}'", "'demo case'")} AS project_uuid, document_uuid, {u5(f"'{no_uuid}'", 'title')} AS named_uuid FROM titled",
         "doc_prefix_keys": w + TITLED + f" SELECT doc_id, {prefix('title')} AS doc_prefix, {base('title')} AS organized_basename FROM titled",
         "normalized_title_keys": w + TITLED + f" SELECT doc_id, {key('title')} AS normalized_title_key FROM titled",

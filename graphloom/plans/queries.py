@@ -65,17 +65,21 @@ def vectors(spark, sf_dir):
 
 
 def old_manifest(spark, sf_dir):
+    """All documents, and one that only this manifest has."""
     k = F.col("doc_id")
     status = F.element_at(F.array(*[F.lit(s) for s in ("", "pending", "staged", "loaded", "failed")]), (k % 5 + 1).cast("int"))
-    rows = titled(spark, sf_dir).where(k % 3 != 0).select("document_uuid", "title", F.lit("a").alias("source_file"), status.alias("status"), F.when(k % 5 == 4, "broken").alias("error"), (k % 11).cast("int").alias("chunk_count"), F.when(k % 4 == 0, "2024-01-01T00:00:00Z").alias("staged_at"))
-    return manifest.coerced(rows)
+    rows = titled(spark, sf_dir).select("document_uuid", "title", F.lit("a").alias("source_file"), status.alias("status"), F.when(k % 5 == 4, "broken").alias("error"), (k % 11).cast("int").alias("chunk_count"), F.when(k % 4 == 0, "2024-01-01T00:00:00Z").alias("staged_at"))
+    hand = spark.createDataFrame([("old1", "old one", "a", "failed", "gone", 3, "")], "document_uuid string, title string, source_file string, status string, error string, chunk_count int, staged_at string")
+    return manifest.coerced(rows.unionByName(hand))
 
 
 def new_manifest(spark, sf_dir):
+    """All documents, and one that only this manifest has."""
     k = F.col("doc_id")
     status = F.element_at(F.array(*[F.lit(s) for s in ("pending", "staged", "failed", "loaded")]), (k % 4 + 1).cast("int"))
-    rows = titled(spark, sf_dir).where(k % 7 != 0).select("document_uuid", F.when(k % 2 == 0, F.col("title")).otherwise("").alias("title"), F.lit("b").alias("source_file"), status.alias("status"), F.when(k % 4 == 2, "again").alias("error"), (k % 13).cast("int").alias("chunk_count"), F.when(k % 4 == 1, "2024-02-02T00:00:00Z").alias("staged_at"))
-    return manifest.coerced(rows)
+    rows = titled(spark, sf_dir).select("document_uuid", F.when(k % 2 == 0, F.col("title")).otherwise("").alias("title"), F.lit("b").alias("source_file"), status.alias("status"), F.when(k % 4 == 2, "again").alias("error"), (k % 13).cast("int").alias("chunk_count"), F.when(k % 4 == 1, "2024-02-02T00:00:00Z").alias("staged_at"))
+    hand = spark.createDataFrame([("new1", "new one", "b", "staged", "", 4, "")], "document_uuid string, title string, source_file string, status string, error string, chunk_count int, staged_at string")
+    return manifest.coerced(rows.unionByName(hand))
 
 
 def reviewed_documents(spark, sf_dir):
@@ -380,12 +384,52 @@ def upsert_document(spark, sf_dir):
     return graph.upsert(old, new, ["document_uuid"], once=("created_at",))
 
 
+def document_maxima(spark, sf_dir):
+    return graph.document_maxima(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("document_uuid")), relational_chunks(spark, sf_dir))
+
+
+def load_stats(spark, sf_dir):
+    return graph.load_stats(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("document_uuid")), relational_chunks(spark, sf_dir))
+
+
+def mention_endpoints(spark, sf_dir):
+    often = relational_entities(spark, sf_dir).where("mention_count >= 25")
+    return entities.existing_mentions(relational_mentions(spark, sf_dir), often, relational_chunks(spark, sf_dir).where("exhibit_name <> ''"))
+
+
+def entity_chunk_lists(spark, sf_dir):
+    return entities.chunk_lists(relational_mentions(spark, sf_dir)).select("canonical_id", F.array_join(F.transform("chunk_ids", lambda x: x.cast("string")), ",").alias("chunk_ids"))
+
+
+def entities_flat(spark, sf_dir):
+    return entity_chunks(spark, sf_dir).select("chunk_uuid", F.coalesce(F.array_join(entities.flat_entities(F.col("entities_json")), "|"), F.lit("")).alias("entities_flat"))
+
+
+def relevance_texts(spark, sf_dir):
+    """Answers as an object, as a list of one, and as an empty list, which counts as no answer."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    answer = F.when(F.col("quality") == 1, '[{"relevance_status": "Relevant", "relevance_explanation": "good"}]').when(F.col("toxic") == 1, '{"relevance_explanation": "toxic"}').otherwise("[]")
+    found = labels.select("doc_id", analysis.unwrapped(answer).alias("a")).where("a is not null")
+    return found.select("doc_id", text.relevance(F.col("a.relevance_status"), F.col("a.relevance_explanation")).alias("relevance_analysis"))
+
+
+def plain_markdown(spark, sf_dir):
+    return pages.assemble_plain(turns(spark, sf_dir))
+
+
+def range_markdown(spark, sf_dir):
+    """Turns as ranges of ten pages; those of an even position among four fail."""
+    c = table(spark, sf_dir, "conversations").select(F.format_string("conv_%d.pdf", "conv_id").alias("title"), "turn", "text")
+    first = (F.col("turn") * 10 + 1).cast("int")
+    return pages.assemble_ranges(c.select("title", first.alias("first_page"), (first + 9).alias("last_page"), F.when(F.col("turn") % 4 != 2, F.col("text")).alias("text")))
+
+
 QUERIES = (
     uuid5_documents, doc_prefix_keys, normalized_title_keys, ocr_markdown, page_split, page_offsets, first_pages, chunk_spans, chunk_ids, next_chunk, doc_metadata, manifest_merge, resume_pending, load_selection,
     analysis_join, analysis_join_report_counts, analysis_examples, analysis_coverage, analysis_unmatched_docs, key_backfill, raw_entities, canonical_entities, canonical_splits, entity_mentions, fuzzy_ratio,
     co_occurs, shares_entity, shares_entity_capped, similar_to, similar_to_default, similar_to_reset, embed_pending, embed_documents, markov_neighbors, markov_hints, edge_summary, file_dedup, copy_plan, file_renumber,
     file_walk, inventory_recover, inventory_origins, rename_propagation, to_analyse, large_files, bates_labels, ocr_page_ranges, graph_integrity, has_chunk, duplicate_keys, seq_path, related_docs, exhibit_chunks,
-    run_rates, failed_documents, upsert_document,
+    run_rates, failed_documents, upsert_document, document_maxima, load_stats, mention_endpoints, entity_chunk_lists, entities_flat, relevance_texts, plain_markdown, range_markdown,
 )
 
 

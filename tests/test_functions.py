@@ -59,5 +59,9 @@ def test_text_helpers(spark):
 def test_bytes(spark):
     row = spark.createDataFrame([(b"ab\xffc\xc3\xa9",)], "b binary").select(text.utf8(F.col("b")).alias("u")).first()
     assert row["u"] == "abcé"
+    accents = b"\x00caf\xe9 d\xe9\x00abc\xadd\x00"  # the soft hyphen is not printable
+    assert spark.createDataFrame([(accents,)], "b binary").select(text.printable_runs(F.col("b")).alias("u")).first()["u"] == "caf\xe9 d\xe9"
+    moment = F.lit("2024-01-31 23:59:59.5").cast("timestamp")
+    assert spark.range(1).select(text.utc_text(moment), text.stamp(moment)).first() == ("2024-01-31T23:59:59.500000Z", "20240131_235959")
     doc = b"\x00\x01Hello\x00ab\x00World!\x02tail"
     assert spark.createDataFrame([(doc,)], "b binary").select(text.printable_runs(F.col("b")).alias("u")).first()["u"] == "Hello\nWorld!"
