@@ -51,13 +51,16 @@ def digests(docs: DataFrame, bits: int) -> DataFrame:
 
 
 def clashes(keys: DataFrame, docs: DataFrame, bits: int) -> DataFrame:
-    """_digest of the groups in which canonical bytes differ: real collisions, normally none.
+    """_key (hash of the digest) of the groups in which canonical bytes differ: real collisions, normally none.
 
-    keys has the digest of every row of docs. Digests of several rows set a bit of a bitmap of fixed size; the texts
+    keys has _digest and _strong of every row of docs, and of texts made of them that are not kept: these are told apart by the second,
+    independent digest inside a group. Digests of several rows set a bit of a bitmap of fixed size; the texts
     of rows without their bit are passed over, the others meet by digest as least and greatest bytes, combined on the map
     side, so that a group of a third of all rows is one row a task. A fuller bitmap only lets more texts through.
     """
-    several = keys.groupBy("_digest").count().where("count > 1").select(prefix(F.col("_digest")).alias("x"))
+    key, other = F.xxhash64("_digest").alias("_key"), F.xxhash64("_strong").alias("_other")
+    groups = keys.select(key, other, prefix(F.col("_digest")).alias("x")).groupBy("_key").agg(F.count("*").alias("n"), F.min("_other").alias("a"), F.max("_other").alias("z"), F.min("x").alias("x"))
+    several = cut(groups.where("n > 1"))
     parts = several.groupBy(F.bitmap_bucket_number(F.col("x") + 1).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("x") + 1)).alias("m")).collect()
     bitmap = np.zeros(1 << BITMAP >> 3, np.uint8)
     for r in parts:  # at most 2^BITMAP bits in all
@@ -78,15 +81,16 @@ def clashes(keys: DataFrame, docs: DataFrame, bits: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([g[i] for g in got], pa.string()) for i in range(2)], names=["_digest", "_canon"])
 
     shared = docs.select(text_of().alias("_text")).mapInArrow(run, "_digest string, _canon string")
-    return cut(shared.groupBy("_digest").agg(F.min("_canon").alias("_a"), F.max("_canon").alias("_z")).where("_a <> _z").select("_digest", F.lit(True).alias("_clash")))
+    unlike = shared.groupBy("_digest").agg(F.min("_canon").alias("_a"), F.max("_canon").alias("_z")).where("_a <> _z").select(key)
+    return cut(unlike.union(several.where("a <> z").select("_key")).distinct().withColumn("_clash", F.lit(True)))
 
 
 def resolved(rows: DataFrame, clash: DataFrame, named: dict[str, tuple[str, str]]) -> DataFrame:
     """rows with fingerprints: by name, from (digest, strong) columns; only digests in clash take the second digest as well."""
     few = clash.limit(BROADCAST_CLASHES + 1).count() <= BROADCAST_CLASHES
     for name, (d, s) in named.items():
-        side = clash.withColumnRenamed("_digest", "_on")
-        rows = rows.join(F.broadcast(side) if few else side, F.col(d) == F.col("_on"), "left")
+        side = clash.withColumnRenamed("_key", "_on")
+        rows = rows.join(F.broadcast(side) if few else side, F.xxhash64(d) == F.col("_on"), "left")
         rows = rows.withColumn(name, F.when(F.col("_clash"), F.concat(d, F.lit("-"), s)).otherwise(F.col(d))).drop("_on", "_clash")
     return rows
 
@@ -99,7 +103,7 @@ def fingerprints(docs: DataFrame, bits: int = 128) -> DataFrame:
     table gives an empty one; a column fingerprint of docs is replaced.
     """
     base = digests(pack(docs, _text=text_of()), bits).drop("_canon")
-    out = resolved(base, clashes(base.select("_digest"), docs, bits), {"_fp": ("_digest", "_strong")})
+    out = resolved(base, clashes(base.select("_digest", "_strong"), docs, bits), {"_fp": ("_digest", "_strong")})
     return unpack(out, docs.columns, fingerprint=F.col("_fp"))
 
 
@@ -169,9 +173,11 @@ def edited_pairs(docs: DataFrame, bits: int = 128, target_bytes: int = 12 << 20)
 def fingerprint_stability(docs: DataFrame, bits: int = 128, target_bytes: int = 12 << 20) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every row.
 
-    fingerprint as of fingerprints(), over all texts and edited texts together. The digest is exact, so likeness is 1.0 for equal
-    canonical texts (by their bytes) and 0.0 else. A single row is its own next. An empty table gives an empty one.
+    fingerprint as of fingerprints(), over all texts and edited texts together; texts are compared by their bytes inside equal digests, edited
+    ones, which are not kept, by a second independent digest. The digest is exact, so likeness is 1.0 for equal canonical texts (by their
+    bytes) and 0.0 else. A single row is its own next. An empty table gives an empty one.
     """
     pairs = cut(edited_pairs(docs, bits, target_bytes))
-    out = resolved(pairs, clashes(pairs.select("_digest"), docs, bits), {"fingerprint": ("_digest", "_strong"), "edited_fingerprint": ("_edited", "_edited_strong")})
+    keys = pairs.select("_digest", "_strong").union(pairs.select("_edited", "_edited_strong"))
+    out = resolved(pairs, clashes(keys, docs, bits), {"fingerprint": ("_digest", "_strong"), "edited_fingerprint": ("_edited", "_edited_strong")})
     return out.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")

@@ -45,3 +45,18 @@ def test_odd_rows(spark, odd):
     assert fp.fingerprints(odd.limit(0)).count() == fp.fingerprint_stability(odd.limit(0)).count() == 0
     alone = fp.fingerprint_stability(odd.where("doc_id = 9")).first()
     assert (alone.near_next, alone.near_edited) == (1.0, 0.0)
+
+
+def test_collisions_of_edited_texts_are_told_apart(spark):
+    rows = [(i, f"text number {i * i} of many {i}") for i in range(150)]
+    out = fp.fingerprint_stability(spark.createDataFrame(rows, "doc_id long, text string"), bits=8).collect()
+    canon, order = {}, sorted(rows, reverse=True)
+    for k, (i, t) in enumerate(order):
+        after = order[(k + 1) % len(order)][1]
+        canon[i] = (fp.canonical(t), fp.canonical(t[: len(t) - len(t) // 2] + after[: len(t) // 2]))
+    by = {}
+    for r in out:
+        for name, text in zip((r.fingerprint, r.edited_fingerprint), canon[r.doc_id], strict=True):
+            by.setdefault(name, set()).add(text)
+    assert all(len(v) == 1 for v in by.values())
+    assert len(by) == len({t for pair in canon.values() for t in pair})
