@@ -222,16 +222,19 @@ def disclosing_terms(found: DataFrame, docs: DataFrame, alpha: float, level: flo
     An entity e has information -log2 P(e); a term t tells log2(P(e, t) / (P(e) P(t))) of it: all, if it occurs with e alone.
     Occurrences are counted over all documents. Besides, chance must not explain the pair: were t spread over the groups of
     documents at random, it would meet e as often with a probability of at most level, divided by the number of pairs found in the corpus
-    (Chernoff's bound). Copies are one group, so they are no evidence; an entity of one document can disclose terms only where few pairs are tried.
+    (Chernoff's bound). Copies are one group, so they are no evidence; of an entity most of whose
+    documents are copies, the unlike rest are most likely near copies, and groups count by the effective number (inverse Simpson) of its texts
+    over the number of its groups. An entity of one document can disclose terms only where few pairs are tried.
     """
     near = found.select(F.explode("_near").alias("x")).select("x.e", "x.t", "x.g")
     pairs = near.groupBy("e", "t", "g").count().groupBy("e", "t").agg(F.sum("count").alias("n_et"), F.count("*").alias("groups"))
     every = found.agg(F.countDistinct("_g").alias("groups"), F.sum("_words").alias("words")).first()
-    seen = found.select(F.explode(F.array_distinct(F.transform("_near", lambda x: x["e"]))).alias("e"), "_g").groupBy("e").agg(F.count("*").alias("n_e"), F.countDistinct("_g").alias("g_e"))
+    texts = found.select(F.explode(F.array_distinct(F.transform("_near", lambda x: x["e"]))).alias("e"), "_g").groupBy("e", "_g").agg(F.count("*").alias("c"))
+    seen = texts.groupBy("e").agg(F.sum("c").alias("n_e"), F.count("*").alias("g_e"), (F.pow(F.sum("c"), F.lit(2)) / F.sum(F.col("c") * F.col("c"))).alias("apart_e"))
     pairs = cut(pairs)
     known = pairs.join(seen, "e")
     chance, limit = F.col("g_e") / F.lit(max(every["groups"], 1)), F.lit(math.log(level / max(pairs.count(), 1)))
-    known = cut(known.withColumn("q", chance).withColumn("limit", limit).where(F.col("groups") * F.log("q") <= F.col("limit")))
+    known = cut(known.withColumn("q", chance).withColumn("limit", limit).where(F.col("groups") * F.col("apart_e") / F.col("g_e") * F.log("q") <= F.col("limit")))
     if known.isEmpty():
         return None
     counts = looked_for(docs, bitmap_of(known, "t"), False).groupBy("t").agg(F.sum("n").alias("n_t"))
