@@ -62,3 +62,30 @@ def test_odd_rows(odd, tokenizer):
     assert (out.start == 0).sum() == 12
     assert out.doc_id.isna().sum() == 2
     assert packing.pack_documents(odd.limit(0), tokenizer).count() == 0
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 90), min_size=1, max_size=30), st.sampled_from([1, 40, 200, 10_000]), st.sampled_from([8, 16, 64]))
+def test_held_ids_round_trip(lengths, held, size):
+    """Documents that stream through a packer holding few ids come out whole, in gapless sequences."""
+    packer, rows, at = packing.Packer(7 << 32, size, held), [], 0
+    docs = []
+    for k, n in enumerate(lengths):
+        docs.append(np.arange(at, at + n, dtype="<u4"))
+        at += n
+        rows += packer.add(k, docs[-1], np.arange(5, n, 7))
+    rows += packer.take(True)
+    assert [r[0] for r in rows] == sorted(r[0] for r in rows)
+    for k, ids in enumerate(docs):
+        pieces = [r for r in rows if r[0] == k]
+        start = 0
+        for _, used, take, crc, total, _, _ in pieces:
+            assert (used, total, crc) == (start, len(ids), zlib.crc32(ids[used : used + take].tobytes()))
+            start += take
+        assert start == len(ids)
+    sequences = {}
+    for *_, take, _, _, sequence, offset in rows:
+        assert sequences.get(sequence, 0) == offset
+        sequences[sequence] = offset + take
+    assert max(sequences.values()) <= size
+    assert sorted(sequences) == list(range(7 << 32, (7 << 32) + len(sequences)))
