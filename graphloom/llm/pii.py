@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.llm.common import LOWER, NO_ID, annotate, cut, id_of, mix, pack, raw, slices, span_hashes, strings, text_of, unpack, word_spans
@@ -27,6 +27,8 @@ WINDOW = 8
 BITMAP = 24
 #: Odd multipliers of the minwise hashes of a text's words: texts that agree in all of them are copies.
 FACTORS = mix(np.arange(1, 5, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+#: Bytes of text over which a scan counts the words it found near entities: a lower bound of their number in the corpus.
+BLOCK = 16 << 20
 #: A word of so many bytes that mixes letters and digits is a code: it may be a key, a token or a password.
 CODE_BYTES = 12
 DIGITS, LOWERS, UPPERS = (np.zeros(256, bool) for _ in range(3))
@@ -113,17 +115,46 @@ def codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.nd
     return which, lower[which] + 2 * upper[which] + 4 * np.log2(np.maximum(ends - starts, 1)[which]).astype(np.int64)
 
 
+def counted(rows: list[tuple], words: list[np.ndarray]) -> Iterator[tuple]:
+    """rows, with (block, occurrences in the block) added to each word near an entity; words: the hashes of all words of the block."""
+    wanted = np.unique(np.array([t for _, near, *_ in rows for _, t, _ in near], np.int64))
+    if not len(wanted):
+        yield from rows
+        return
+    mask = (1 << 20) - 1
+    bits, counts, block = np.zeros(mask + 1, bool), np.zeros(len(wanted), np.int64), 0
+    bits[wanted & mask] = True
+    for hashes in words:
+        hit = hashes[bits[hashes & mask]]
+        at = np.minimum(np.searchsorted(wanted, hit), len(wanted) - 1)
+        counts += np.bincount(at[wanted[at] == hit], minlength=len(wanted))
+        block = int(mix(np.array([block], np.uint64) + hashes.view(np.uint64).sum(dtype=np.uint64))[0])
+    block -= 1 << 63
+    numbers = dict(zip(wanted.tolist(), counts.tolist(), strict=True))
+    for spans, near, *rest in rows:
+        yield spans, [(e, t, g, block, numbers[t]) for e, t, g in near], *rest
+
+
 def scan(texts: pa.Array):
-    """For each text: its base spans, the (entity, term, group) of words near them, its number of words, its codes as (hash, shape,
-    start, end) in code points, and its group.
+    """For each text: its base spans, the (entity, term, group, block, occurrences in the block) of words near them, its number of words,
+    its codes as (hash, shape, start, end) in code points, and its group.
 
-    group stands for a document and its copies (see copy_keys()).
+    group stands for a document and its copies (see copy_keys()), block for about BLOCK bytes of texts; blocks of the same texts are one.
     """
     data, offsets = raw(texts)
     values = texts.to_pylist()
+    for i, j in slices(offsets, BLOCK):
+        words: list[np.ndarray] = []
+        rows = list(scan_block(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], values[i:j], words))
+        yield from counted(rows, words)
+
+
+def scan_block(data: np.ndarray, offsets: np.ndarray, values: list[str], words: list[np.ndarray]) -> Iterator[tuple]:
+    """The rows of scan() before words are counted; the hashes of all words are put into words."""
     for i, j in slices(offsets):
         part, own = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         starts, ends, hashes, first = terms(part, own)
+        words.append(hashes)
         groups = copy_keys(hashes, first)
         coded, shapes = codes(part, starts, ends)
         points = np.concatenate([[0], np.cumsum((part & 0xC0) != 0x80)]) if len(coded) else None
@@ -152,7 +183,7 @@ def found_spans(docs: DataFrame) -> DataFrame:
     """The columns of docs but _text, with _t, _n (array of long by kind), _spans (k: kind, s, e), _near, _words, _g (group) and _codes."""
     span_type = pa.list_(pa.struct([("k", pa.int64()), ("s", pa.int64()), ("e", pa.int64())]))
     code_type = pa.list_(pa.struct([("t", pa.int64()), ("c", pa.int64()), ("s", pa.int64()), ("e", pa.int64())]))
-    near_type = pa.list_(pa.struct([("e", pa.int64()), ("t", pa.int64()), ("g", pa.int64())]))
+    near_type = pa.list_(pa.struct([(k, pa.int64()) for k in "etgbn"]))
 
     def make():
         def run(batch):
@@ -160,7 +191,7 @@ def found_spans(docs: DataFrame) -> DataFrame:
             return {
                 "_n": pa.array([[sum(s[0] == k for s in x) for k in range(4)] for x in spans], pa.list_(pa.int64())),
                 "_spans": pa.array([[dict(zip("kse", y, strict=True)) for y in x] for x in spans], span_type),
-                "_near": pa.array([[dict(zip("etg", x, strict=True)) for x in rows] for rows in near], near_type),
+                "_near": pa.array([[dict(zip("etgbn", x, strict=True)) for x in rows] for rows in near], near_type),
                 "_words": pa.array(words, pa.int64()),
                 "_g": pa.array(groups, pa.int64()),
                 "_codes": pa.array([[dict(zip("tcse", x, strict=True)) for x in rows] for rows in coded], code_type),
@@ -168,7 +199,7 @@ def found_spans(docs: DataFrame) -> DataFrame:
 
         return run
 
-    added = {"_n": "array<long>", "_spans": "array<struct<k:long,s:long,e:long>>", "_near": "array<struct<e:long,t:long,g:long>>", "_words": "long", "_g": "long", "_codes": "array<struct<t:long,c:long,s:long,e:long>>"}
+    added = {"_n": "array<long>", "_spans": "array<struct<k:long,s:long,e:long>>", "_near": "array<struct<e:long,t:long,g:long,b:long,n:long>>", "_words": "long", "_g": "long", "_codes": "array<struct<t:long,c:long,s:long,e:long>>"}
     return annotate(docs.withColumn("_t", F.xxhash64("_text")), make, added).drop("_text")
 
 
@@ -225,29 +256,38 @@ def disclosing_terms(found: DataFrame, docs: DataFrame, alpha: float, level: flo
     (Chernoff's bound). Copies are one group, so they are no evidence; of an entity most of whose
     documents are copies, the unlike rest are most likely near copies, and groups count by the effective number (inverse Simpson) of its texts
     over the number of its groups. An entity of one document can disclose terms only where few pairs are tried.
+
+    A term's occurrences in the blocks where it stands near an entity are no more than all its occurrences. Both tests fail for good beyond some
+    number of occurrences, so terms that fail on these blocks alone are left out of the scan that counts the rest over all documents.
     """
-    near = found.select(F.explode("_near").alias("x")).select("x.e", "x.t", "x.g")
+    near = found.select(F.explode("_near").alias("x")).select("x.*")
     pairs = near.groupBy("e", "t", "g").count().groupBy("e", "t").agg(F.sum("count").alias("n_et"), F.count("*").alias("groups"))
     every = found.agg(F.countDistinct("_g").alias("groups"), F.sum("_words").alias("words")).first()
     texts = found.select(F.explode(F.array_distinct(F.transform("_near", lambda x: x["e"]))).alias("e"), "_g").groupBy("e", "_g").agg(F.count("*").alias("c"))
     seen = texts.groupBy("e").agg(F.sum("c").alias("n_e"), F.count("*").alias("g_e"), (F.pow(F.sum("c"), F.lit(2)) / F.sum(F.col("c") * F.col("c"))).alias("apart_e"))
+    least = near.groupBy("t", "b").agg(F.max("n").alias("n")).groupBy("t").agg(F.sum("n").alias("least_t"))
     pairs = cut(pairs)
-    known = pairs.join(seen, "e")
     chance, limit = F.col("g_e") / F.lit(max(every["groups"], 1)), F.lit(math.log(level / max(pairs.count(), 1)))
-    known = cut(known.withColumn("q", chance).withColumn("limit", limit).where(F.col("groups") * F.col("apart_e") / F.col("g_e") * F.log("q") <= F.col("limit")))
+    total = every["words"] or 1
+
+    def disclosure(n_t: Column) -> Column:
+        information = -F.log2(F.col("n_e") / total)
+        return F.log2(F.least(F.col("n_et"), n_t) * total / (n_t * F.col("n_e"))) / information
+
+    def holds(n_t: Column) -> Column:
+        """Whether a term of n_t occurrences discloses; if it does not, it does not with more of them either."""
+        apart = F.greatest(n_t - F.col("n_et"), F.lit(0))  # each occurrence elsewhere counts as a group of its own
+        share = F.col("groups") / (F.col("groups") + apart)
+        likely = -(F.col("groups") * F.log(share / F.col("q")) + F.when(apart > 0, apart * F.log((1 - share) / (1 - F.col("q")))).otherwise(0.0))
+        return (share > F.col("q")) & (likely <= limit) & (disclosure(n_t) >= 1 / alpha)
+
+    known = pairs.join(seen, "e").withColumn("q", chance).where(F.col("groups") * F.col("apart_e") / F.col("g_e") * F.log("q") <= limit)
+    known = cut(known.join(least, "t").where(holds(F.col("least_t"))))
     if known.isEmpty():
         return None
     counts = looked_for(docs, bitmap_of(known, "t"), False).groupBy("t").agg(F.sum("n").alias("n_t"))
-    known = known.join(counts, "t")
-    total = every["words"]
-    information = -F.log2(F.col("n_e") / total)
-    told = F.log2(F.least(F.col("n_et"), F.col("n_t")) * total / (F.col("n_t") * F.col("n_e")))
-    apart = F.greatest(F.col("n_t") - F.col("n_et"), F.lit(0))  # each occurrence elsewhere counts as a group of its own
-    tries = F.col("groups") + apart
-    share = F.col("groups") / tries
-    likely = -(F.col("groups") * F.log(share / F.col("q")) + F.when(apart > 0, apart * F.log((1 - share) / (1 - F.col("q")))).otherwise(0.0))
-    known = known.where((share > F.col("q")) & (likely <= F.col("limit")))
-    return cut(known.withColumn("disclosure", told / information).where(F.col("disclosure") >= 1 / alpha).groupBy("t").agg(F.max("disclosure").alias("disclosure")))
+    known = known.join(counts, "t").where(holds(F.col("n_t")))
+    return cut(known.groupBy("t").agg(F.max(disclosure(F.col("n_t"))).alias("disclosure")))
 
 
 def disclosing_shapes(found: DataFrame, alpha: float, level: float) -> DataFrame:
