@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from graphloom.functions.ids import chunk_id
 
 LOOK_BACK = 250
-SPANS = "array<struct<start:int,end:int>>"
+SPANS = "array<struct<start:int,end:int,text:string>>"
 
 
 def spans(text: str, target: int) -> list[tuple[int, int]]:
@@ -46,17 +46,18 @@ def span_column(target: int):
     @F.pandas_udf(SPANS)
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
-            yield batch.map(lambda t: [{"start": a, "end": b} for a, b in spans(t or "", target)])
+            yield batch.map(lambda t: [{"start": a, "end": b, "text": t[a:b]} for a, b in spans(t or "", target)])
 
     return run
 
 
 def chunk_pages(pages: DataFrame, target: int = 1200) -> DataFrame:
     """Chunks of pages(document_uuid, page_ord, page_number, page_offset, text): chunk_uuid, chunk_index, char_start and char_end in the
-    document, text. Blank pages give none. The spans come from an Arrow UDF; everything else is JVM expressions."""
+    document, text. Blank pages give none. The spans and their texts come from an Arrow UDF, so that a
+    page is gone through once and does not follow its spans; everything else is JVM expressions."""
     found = pages.where(F.col("text") != "").withColumn("_s", F.explode(span_column(target)("text")))
     start, end = F.col("_s.start"), F.col("_s.end")
-    found = found.withColumns({"char_start": (F.col("page_offset") + start).cast("long"), "char_end": (F.col("page_offset") + end).cast("long"), "text": F.substring("text", start + 1, end - start)})
+    found = found.withColumns({"char_start": (F.col("page_offset") + start).cast("long"), "char_end": (F.col("page_offset") + end).cast("long"), "text": F.col("_s.text")})
     order = W.partitionBy("document_uuid").orderBy("page_ord", "_s.start")
     return found.withColumn("chunk_index", F.row_number().over(order) - 1).withColumn("chunk_uuid", chunk_id(F.col("document_uuid"), F.col("char_start"), F.col("char_end"))).drop("_s")
 

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Query vectors held by a task at once; more are answered block by block, each in one pass over all vectors.
-QUERY_BLOCK = 4096
+#: Numbers of the vectors of a block: a task scores one block of queries against one block of vectors.
+BLOCK_VALUES = 1 << 20
+#: Queries scored at once inside a task.
+STRIP = 256
 
 
 def pending(documents: DataFrame, limit: int = 0) -> DataFrame:
@@ -18,51 +21,57 @@ def pending(documents: DataFrame, limit: int = 0) -> DataFrame:
     return rows.limit(limit) if limit else rows
 
 
-def _block(vectors: DataFrame, keys: list, matrix: np.ndarray, k: int) -> DataFrame:
-    shared = vectors.sparkSession.sparkContext.broadcast((keys, matrix))
-
-    def run(batches):
-        names, queries = shared.value
-        best = np.full((len(names), 0), -np.inf)
-        which = np.zeros((len(names), 0), object)
-        for batch in batches:
-            lists = batch.column("v")
-            if not len(lists) or not len(names):
-                continue
-            rows = np.array(lists.to_pylist(), np.float64).reshape(len(lists), -1)
-            norms = np.linalg.norm(rows, axis=1)
-            scores = queries @ (rows / np.where(norms > 0, norms, 1)[:, None]).T
-            ids = np.broadcast_to(np.array(batch.column("id").to_pylist(), object), scores.shape)
-            best, which = np.concatenate([best, scores], 1), np.concatenate([which, ids], 1)
-            if best.shape[1] > k:
-                order = np.stack([np.lexsort((w, -b))[:k] for b, w in zip(best.round(9), which, strict=True)])
-                best, which = np.take_along_axis(best, order, 1), np.take_along_axis(which, order, 1)
-        width = best.shape[1]
-        if width and len(names):
-            yield pa.RecordBatch.from_arrays([pa.array([n for n in names for _ in range(width)]), pa.array(which.ravel().tolist(), pa.array(names).type), pa.array(best.ravel())], names=["src", "dst", "score"])
+def _unit(vectors: pa.ChunkedArray) -> np.ndarray:
+    """Vectors as rows of length 1 (zeros stay)."""
+    rows = vectors.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
+    norms = np.linalg.norm(rows, axis=1)
+    return rows / np.where(norms > 0, norms, 1)[:, None]
 
-    kind = vectors.schema["id"].dataType.simpleString()
-    return vectors.mapInArrow(run, f"src {kind}, dst {kind}, score double")
+
+def _best(k: int, none: pa.Table):
+    """A function from queries(id, v) and vectors(key, w) to the k nearest vectors of each query, ties by key; none: the empty result."""
+
+    def run(queries: pa.Table, vectors: pa.Table) -> pa.Table:
+        if not len(queries) or not len(vectors):  # a group without rows of one side has no columns there
+            return none
+        ids = vectors.column("key").combine_chunks()
+        order = pc.sort_indices(ids).to_numpy()
+        ids, width = ids.take(pa.array(order)), min(k, len(vectors))
+        src, dst, scores = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        if width > 0:
+            asked, known = _unit(queries.column("v")), _unit(vectors.column("w"))[order]
+            for at in range(0, len(asked), STRIP):
+                score = asked[at : at + STRIP] @ known.T
+                far = -score.round(9)
+                row, col = np.nonzero(far <= np.partition(far, width - 1, axis=1)[:, width - 1 : width])
+                best = np.lexsort((col, far[row, col], row))
+                row, col = row[best], col[best]
+                first = np.arange(len(row)) - np.searchsorted(row, row) < width
+                src.append(row[first] + at)
+                dst.append(col[first])
+                scores.append(score[row[first], col[first]])
+        return pa.table({"src": queries.column("id").take(pa.array(np.concatenate(src))), "dst": ids.take(pa.array(np.concatenate(dst))), "score": np.concatenate(scores)})
+
+    return run
 
 
 def nearest(vectors: DataFrame, k: int, queries: DataFrame | None = None) -> DataFrame:
     """(src, dst, score, rank) of the k nearest of vectors(id, v) to each query by cosine, the query itself among them; ties by id.
 
-    queries: a subset of vectors, all by default. Each block of at most QUERY_BLOCK queries is broadcast; every task keeps k
-    candidates a query over its rows, which then meet in a window. No pairs beyond these leave a task. Null vectors are left out.
+    queries: a subset of vectors, all by default. Vectors are dealt to blocks of about BLOCK_VALUES numbers by a hash of their id; each
+    block of queries meets each block of vectors in a task of its own, which keeps k candidates a query, and these meet in a window. A
+    vector is sent once for each block of the other side. Nothing passes through the driver. Null vectors are left out.
     """
     vectors = vectors.where(F.col("v").isNotNull()).select("id", F.col("v").cast("array<double>").alias("v"))
     asked = vectors if queries is None else vectors.join(queries.select("id").distinct(), "id", "left_semi")
-    n = asked.count()  # an action: decides the number of passes
-    blocks = max(1, -(-n // QUERY_BLOCK))
-    found = None
-    for b in range(blocks):
-        part = asked if blocks == 1 else asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b)
-        rows = part.collect()  # about QUERY_BLOCK rows
-        matrix = np.array([r["v"] for r in rows], np.float64).reshape(len(rows), -1 if rows else 0)
-        norms = np.linalg.norm(matrix, axis=1)
-        got = _block(vectors, [r["id"] for r in rows], matrix / np.where(norms > 0, norms, 1)[:, None], k)
-        found = got if found is None else found.union(got)
+    block_of = lambda blocks: F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
+    every = lambda blocks: F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    n, m = (max(1, -(-(df.agg(F.sum(F.size("v"))).first()[0] or 0) // BLOCK_VALUES)) for df in (asked, vectors))
+    left = asked.select(block_of(n).alias("i"), every(m).alias("j"), "id", "v").groupBy("i", "j")
+    right = vectors.select(every(n).alias("i"), block_of(m).alias("j"), F.col("id").alias("key"), F.col("v").alias("w")).groupBy("i", "j")
+    kind = vectors.schema["id"].dataType.simpleString()
+    result = f"src {kind}, dst {kind}, score double"
+    found = left.cogroup(right).applyInArrow(_best(k, vectors.sparkSession.createDataFrame([], result).toArrow()), result)
     order = W.partitionBy("src").orderBy(F.round("score", 9).desc(), "dst")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 

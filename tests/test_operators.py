@@ -138,8 +138,8 @@ def test_nearest_by_blocks(spark, monkeypatch):
     df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)] + [(60, None)], "id long, v array<double>").repartition(3)
     unit = v / np.linalg.norm(v, axis=1)[:, None]
     want = {(i, int(j)) for i, row in enumerate(unit @ unit.T) for j in np.argsort(-row)[:4]}
-    for block in (4096, 16):
-        monkeypatch.setattr(similarity, "QUERY_BLOCK", block)
+    for block in (1 << 20, 80):
+        monkeypatch.setattr(similarity, "BLOCK_VALUES", block)
         assert {(r.src, r.dst) for r in similarity.nearest(df, 4).collect()} == want
     assert all(r.src != r.dst for r in similarity.similar_edges(df, top_k=4, min_score=-1.0).collect())
     assert similarity.similar_edges(df, top_k=4, min_score=-1.0).count() == 180
