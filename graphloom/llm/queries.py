@@ -127,5 +127,19 @@ FROM judged GROUP BY doc_id
 """
 
 
+OP7_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) > 1 THEN list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) ELSE w END AS s FROM words),
+each AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM each a JOIN each b ON a.x = b.x AND a.doc_id <> b.doc_id AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reached AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT doc_id, b FROM reached JOIN links ON a = r)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, min(r)::BIGINT AS component_id, doc_id = min(r) AS kept FROM sets JOIN reached USING (doc_id) GROUP BY doc_id, s
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_temperature_mix": OP3_SQL, "op8_line_dedup": OP8_SQL}
+    return {"op3_temperature_mix": OP3_SQL, "op7_near_dedup": OP7_SQL, "op8_line_dedup": OP8_SQL}
