@@ -1,5 +1,6 @@
 import re
 
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -100,3 +101,16 @@ def test_codes_of_a_shape_that_tells_documents_apart(spark):
 def test_few_codes_are_no_evidence(spark):
     rows = [(i, f"note{i} about weather{i * 7} rain{i * 3} zq{i * i}x88812345yz") for i in range(12)]
     assert pii.personal_spans(spark.createDataFrame(rows, "doc_id long, text string")).agg({"n_term": "sum"}).first()[0] == 0
+
+
+def test_words_near_an_entity_are_counted_over_their_block(monkeypatch):
+    texts = ["Ann writes a@b.org the the x", "the y the", "the lone one", "bob b@c.org the"]
+    word = lambda w: int(pii.terms(*pii.raw(pa.array([w], pa.large_string())))[2][0])
+    rows = list(pii.scan(pa.array(texts, pa.large_string())))
+    counts = {t: n for _, near, *_ in rows for _, t, _, _, n in near}
+    assert counts == {word("ann"): 1, word("writes"): 1, word("the"): 6, word("x"): 1, word("bob"): 1}
+    assert len({b for _, near, *_ in rows for *_, b, _ in near}) == 1
+    monkeypatch.setattr(pii, "BLOCK", 1)  # each text is a block
+    single = list(pii.scan(pa.array(texts, pa.large_string())))
+    assert [{t: n for _, t, _, _, n in near}.get(word("the")) for _, near, *_ in single] == [2, None, None, 1]
+    assert [(r[0], r[2:]) for r in single] == [(r[0], r[2:]) for r in rows]
