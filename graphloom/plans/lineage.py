@@ -4,12 +4,22 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a local session (tests) gets a folder
+    of its own and a cluster an error, since executors could not read the driver's."""
+    sc = spark.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="graphloom-"))
+    return sc._jsc.sc().getCheckpointDir().get()
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df materialised by checkpoint() in spark.checkpoint.dir; only where that is unset (tests) in a local folder."""
-    spark = df.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="graphloom-"))
+    """df materialised by checkpoint() in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
