@@ -19,15 +19,21 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise df in the shared checkpoint folder, so that a lost executor costs no recomputation.
-
-    The folder is the session's spark.checkpoint.dir; only where that is unset (tests) a local one is made.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a local session (tests) gets a folder
+    of its own and a cluster an error, since executors could not read the driver's."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="graphloom-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="graphloom-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise df in the shared folder, so that a lost executor costs no recomputation."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -254,12 +260,10 @@ def by_range(docs: DataFrame, key: Column, target: int = 16 << 20, most: int = 5
 
 
 def written(df: DataFrame) -> DataFrame:
-    """df written as Parquet under the shared checkpoint folder and read again."""
+    """df written as Parquet under the shared folder and read again. The result reads that table whenever it is used, so the table
+    stays until the folder is cleared, as checkpoints do."""
     import uuid
 
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="graphloom-"))
-    path = f"{sc._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)

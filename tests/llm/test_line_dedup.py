@@ -21,6 +21,16 @@ def test_a_repeated_document_counts_once(spark):
     assert sorted(r.n_dropped for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()) == [0, 1, 1, 1]
 
 
+def test_many_lines_in_a_document(spark):
+    n = 40_000
+    rows = [(d, "\n".join(f"a line that all three documents hold, number {i}" if i % 3 else f"{d}, {i}" for i in range(n))) for d in range(3)]
+    got = {r.doc_id: r for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for d in (0, 1):
+        assert got[d].kept_text == "\n".join(f"{d}, {i}" for i in range(0, n, 3))
+        assert got[d].n_dropped == n - len(range(0, n, 3))
+    assert got[2].kept_text == rows[2][1]
+
+
 def test_only_ascii_is_folded(spark):
     rows = [(i, t) for i, t in enumerate(["É" * 25, "é" * 25, "É" * 25])]
     assert all(r.n_dropped == 0 for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect())
