@@ -10,8 +10,8 @@ from graphloom.functions.text import doc_prefix, strip, title_key
 
 
 def unwrapped(answer: Column) -> Column:
-    """A reviewer's JSON answer as struct(relevance_status, relevance_explanation): an object, or the first of a list; else null."""
-    return F.get(F.from_json(answer, "array<struct<relevance_status:string,relevance_explanation:string>>"), F.lit(0))
+    """A reviewer's JSON answer as struct(relevance_status, relevance_explanation, summary): an object, or the first of a list; else null."""
+    return F.get(F.from_json(answer, "array<struct<relevance_status:string,relevance_explanation:string,summary:string>>"), F.lit(0))
 
 
 def with_keys(documents: DataFrame) -> DataFrame:

@@ -23,18 +23,22 @@ def raw_entities(chunks: DataFrame) -> DataFrame:
     return rows.select("document_uuid", "chunk_index", "chunk_uuid", "pos", kind.alias("entity_type"), strip(F.coalesce("e.text", F.lit(""))).alias("text")).where("text <> ''")
 
 
+def common_length(x: str, y: str) -> int:
+    """Length of the longest common subsequence: a row of the usual table as the bits of one integer, so a step is some machine words."""
+    places: dict[str, int] = {}
+    for i, c in enumerate(x):
+        places[c] = places.get(c, 0) | 1 << i
+    full = row = (1 << len(x)) - 1
+    for c in y:
+        met = row & places.get(c, 0)
+        row = (row + met | row - met) & full
+    return len(x) - row.bit_count()
+
+
 def token_sort_ratio(a: str, b: str) -> float:
     """100 times the normalised indel similarity of the texts with their blank-separated words sorted."""
     x, y = " ".join(sorted(a.split())), " ".join(sorted(b.split()))
-    if x == y:
-        return 100.0
-    before = [0] * (len(y) + 1)
-    for c in x:
-        now = [0]
-        for j, d in enumerate(y):
-            now.append(before[j] + 1 if c == d else max(before[j + 1], now[j]))
-        before = now
-    return 200.0 * before[-1] / (len(x) + len(y)) if x or y else 100.0
+    return 100.0 if x == y else 200.0 * common_length(x, y) / (len(x) + len(y))
 
 
 def similarity(a: Column, b: Column) -> Column:

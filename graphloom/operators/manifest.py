@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from graphloom.functions.text import doc_prefix
+
 IDENTITY = ("title", "source_file", "ocr_markdown_path", "source_file_path")
 COUNTS = ("chunk_count", "page_count_detected")
 TIMES = ("started_at", "completed_at", "staged_at", "loaded_at")
@@ -49,15 +51,20 @@ def to_ingest(files: DataFrame, manifest: DataFrame, staged: DataFrame, resume:
     return files.join(done, "document_uuid", "left_anti")
 
 
-def to_load(manifest: DataFrame, resume: bool = True, prefix: str = "", start: int = 0, limit: int | None = None) -> DataFrame:
-    """Manifest rows to be loaded: of the wanted prefix, a slice in the order of title or uuid, without loaded ones on resume. A negative
-    start counts from the end."""
-    from graphloom.functions.text import doc_prefix
-
-    rows = manifest.where(doc_prefix(F.col("title")) == prefix.upper()) if prefix else manifest
+def selected(rows: DataFrame, prefix: str = "", start: int = 0, limit: int | None = None) -> DataFrame:
+    """rows(document_uuid, title, ..) of the wanted prefix, a slice in the order of title or uuid; limit 0 is none of them. A negative start
+    counts from the end."""
+    rows = rows.where(doc_prefix(F.col("title")) == prefix.upper()) if prefix else rows
+    if not start and limit is None:
+        return rows
     order = [F.coalesce(filled(F.col("title")), F.col("document_uuid")), F.col("document_uuid")]
     if start < 0:
         rows = rows.orderBy(*[c.desc() for c in order]).limit(-start)
     rows = rows.orderBy(*order).offset(max(start, 0))
-    rows = rows if limit is None else rows.limit(limit)
+    return rows if limit is None else rows.limit(limit)
+
+
+def to_load(manifest: DataFrame, resume: bool = True, prefix: str = "", start: int = 0, limit: int | None = None) -> DataFrame:
+    """Manifest rows to be loaded: those selected(), without loaded ones on resume."""
+    rows = selected(manifest, prefix, start, limit)
     return rows.where(F.col("status") != "loaded") if resume else rows

@@ -76,12 +76,16 @@ def nearest(vectors: DataFrame, k: int, queries: DataFrame | None = None) -> Dat
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def similar_edges(vectors: DataFrame, top_k: int = 10, max_edges_per_doc: int | None = None, min_score: float = 0.75, limit_docs: int = 0, score_scale: str = "raw") -> DataFrame:
+def similar_edges(vectors: DataFrame, top_k: int = 10, max_edges_per_doc: int | None = None, min_score: float = 0.75, limit_docs: int = 0, score_scale: str = "raw", within: DataFrame | None = None) -> DataFrame:
     """SIMILAR_TO (src, dst, score): of each document's k nearest those that are others and score min_score; directed. The document itself
     takes one of the k places. limit_docs: so many documents ask, in the order of ids; 0 is all. score_scale: raw cosine, or
-    'unit' for (1 + cosine) / 2."""
+    'unit' for (1 + cosine) / 2. within: (id) of one project, whose documents alone ask and answer, though all vectors compete for the k
+    places."""
     k = max_edges_per_doc if max_edges_per_doc is not None else top_k
-    asking = vectors.select("id").orderBy("id").limit(limit_docs) if limit_docs else None
-    rows = nearest(vectors, k, asking)
+    asking = vectors.select("id") if within is None else vectors.select("id").join(within.select("id").distinct(), "id", "left_semi")
+    asking = asking.orderBy("id").limit(limit_docs) if limit_docs else asking
+    rows = nearest(vectors, k, asking if limit_docs or within is not None else None)
+    if within is not None:
+        rows = rows.join(within.select(F.col("id").alias("dst")).distinct(), "dst", "left_semi")
     score = F.col("score") if score_scale == "raw" else (1 + F.col("score")) / 2
     return rows.withColumn("score", score).where((F.col("src") != F.col("dst")) & (F.col("score") >= min_score)).select("src", "dst", "score")

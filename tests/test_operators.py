@@ -174,3 +174,34 @@ def test_reports(spark):
     text = reports.markdown("Run", row, reports.failures(m).collect())
     assert "- chunks: 4" in text
     assert "..." in text
+
+
+def test_common_subsequences_equal_the_table():
+    import random
+
+    from graphloom.operators.entities import common_length
+
+    def table(x, y):
+        before = [0] * (len(y) + 1)
+        for c in x:
+            now = [0]
+            for j, d in enumerate(y):
+                now.append(before[j] + 1 if c == d else max(before[j + 1], now[j]))
+            before = now
+        return before[-1]
+
+    chance = random.Random(7)
+    for _ in range(400):
+        x, y = ("".join(chance.choice("abcé ") for _ in range(chance.randrange(90))) for _ in range(2))
+        assert common_length(x, y) == table(x, y)
+
+
+def test_neighbours_within_a_project(spark):
+    from graphloom.operators.similarity import similar_edges
+
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 0.1]), (3, [1.0, 0.2]), (4, [1.0, 0.3])]
+    v = spark.createDataFrame(rows, "id long, v array<double>")
+    got = similar_edges(v, top_k=3, within=v.where("id in (1, 4)").select("id")).collect()
+    assert got == []  # 2 and 3 take the places
+    got = similar_edges(v, top_k=4, within=v.where("id in (1, 4)").select("id")).collect()
+    assert {(r.src, r.dst) for r in got} == {(1, 4), (4, 1)}
