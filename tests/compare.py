@@ -9,8 +9,8 @@ def rows_of(frame):
     frame = frame[sorted(frame.columns)].copy()
     for c in frame.columns:
         if str(frame[c].dtype).startswith("float"):
-            frame[c] = frame[c].map(lambda v: round(float(v), 6) + 0.0)
-        frame[c] = frame[c].astype(str)
+            frame[c] = frame[c].map(lambda v: round(float(v), 6) + 0.0)  # a nullable long is a float as well
+        frame[c] = frame[c].astype(str).where(frame[c].notna(), "null")
     return list(frame.columns), sorted(map(tuple, frame.to_numpy().tolist()))
 
 
