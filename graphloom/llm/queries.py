@@ -17,6 +17,7 @@ from graphloom.llm.packing import pack_documents
 from graphloom.llm.pii import personal_spans
 from graphloom.llm.quality_classifier import folds, quality_classifier
 from graphloom.llm.quality_rules import quality_rules
+from graphloom.llm.spelling import spelling_variants
 from graphloom.llm.toxicity import toxicity
 
 MAX_REPEATS = 2.0
@@ -74,7 +75,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
 
 
-QUERIES = (op1_fingerprints, op2_personal_data, op3_temperature_mix, op4_html_extraction, op5_quality_rules, op6_quality_classifier, op7_near_dedup, op8_line_dedup, op9_toxicity, op10_packing)
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(read(spark, sf_dir, "documents").select("doc_id", "text"), min_chars=7, min_count=2, slip=31, factor=10)
+
+
+QUERIES = (
+    op1_fingerprints, op2_personal_data, op3_temperature_mix, op4_html_extraction, op5_quality_rules, op6_quality_classifier, op7_near_dedup, op8_line_dedup, op9_toxicity, op10_packing,
+    op11_spelling_variants,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -141,5 +149,30 @@ SELECT doc_id, len(s)::BIGINT AS n_shingles, min(r)::BIGINT AS component_id, doc
 """
 
 
+OP11_SQL = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t),
+runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents),
+each AS (SELECT coalesce(doc_id::VARCHAR, '') || ':' || w AS s, w, count(*) AS n FROM runs WHERE length(w) >= 7 GROUP BY ALL),
+hashed AS (
+  SELECT w, n, xor(4294967295, list_reduce(list_transform(range(0, strlen(s)), lambda i: ('0x' || substr(hex(encode(s)), 2 * i + 1, 2))::BIGINT),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295)) AS h FROM each, crc),
+slipped AS (SELECT CASE WHEN h % 31 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM hashed),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM slipped WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cuts AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+shorter AS (SELECT DISTINCT c.word AS a, w.word AS b FROM cuts c JOIN words w ON w.word = c.rest),
+links AS (
+  SELECT a.word AS a, b.word AS b FROM cuts a JOIN cuts b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION ALL SELECT a, b FROM shorter UNION ALL SELECT b, a FROM shorter),
+best AS (SELECT a AS word, count(*) AS n_near, min({'less': -w.n, 'near': b}) AS top FROM links JOIN words w ON w.word = b GROUP BY a),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -top.less >= 10 * n THEN top.near END AS form, CASE WHEN -top.less >= 10 * n THEN -top.less END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS root, 0 AS step FROM words UNION ALL SELECT c.word, f.form, step + 1 FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NOT NULL)
+SELECT word, form, arg_max(root, step) AS root, n, n_near::BIGINT AS n_near, form_n::BIGINT AS form_n FROM formed JOIN chain USING (word) GROUP BY word, form, n, n_near, form_n
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_temperature_mix": OP3_SQL, "op7_near_dedup": OP7_SQL, "op8_line_dedup": OP8_SQL}
+    return {"op3_temperature_mix": OP3_SQL, "op7_near_dedup": OP7_SQL, "op8_line_dedup": OP8_SQL, "op11_spelling_variants": OP11_SQL}
