@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from graphloom.llm.common import read
 from graphloom.llm.fingerprints import fingerprint_stability
 from graphloom.llm.html_wrappers import extract_main_text
+from graphloom.llm.lexical_search import lexical_search
 from graphloom.llm.line_dedup import line_dedup
 from graphloom.llm.mixing import temperature_mix
 from graphloom.llm.near_dedup import near_components
@@ -79,9 +80,13 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(read(spark, sf_dir, "documents").select("doc_id", "text"), min_chars=7, min_count=2, slip=31, factor=10)
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark").select("item_id", "text"), k=20)
+
+
 QUERIES = (
     op1_fingerprints, op2_personal_data, op3_temperature_mix, op4_html_extraction, op5_quality_rules, op6_quality_classifier, op7_near_dedup, op8_line_dedup, op9_toxicity, op10_packing,
-    op11_spelling_variants,
+    op11_spelling_variants, op12_lexical_search,
 )
 
 
@@ -173,6 +178,23 @@ chain AS (SELECT word, word AS root, 0 AS step FROM words UNION ALL SELECT c.wor
 SELECT word, form, arg_max(root, step) AS root, n, n_near::BIGINT AS n_near, form_n::BIGINT AS form_n FROM formed JOIN chain USING (word) GROUP BY word, form, n, n_near, form_n
 """
 
+OP12_SQL = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+stat AS (SELECT count(*)::BIGINT AS texts, sum(len(w))::BIGINT AS total FROM words WHERE len(w) > 0),
+asked AS (
+  SELECT item_id, term, count(*) AS q FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY ALL),
+held AS (SELECT r, doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT r, doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM words) WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weight AS (SELECT term, floor(1000 * ln((2 * any_value(texts) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM held, stat GROUP BY term),
+counted AS (SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * texts) // total))) AS s FROM held JOIN weight USING (term), stat),
+scored AS (SELECT item_id, doc_id, r, sum(q * s)::BIGINT AS score FROM counted JOIN asked USING (term) GROUP BY item_id, doc_id, r),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_temperature_mix": OP3_SQL, "op7_near_dedup": OP7_SQL, "op8_line_dedup": OP8_SQL, "op11_spelling_variants": OP11_SQL}
+    return {"op3_temperature_mix": OP3_SQL, "op7_near_dedup": OP7_SQL, "op8_line_dedup": OP8_SQL, "op11_spelling_variants": OP11_SQL, "op12_lexical_search": OP12_SQL}
