@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from graphloom.llm.best_fit import best_fit_packing
 from graphloom.llm.common import read
 from graphloom.llm.fingerprints import fingerprint_stability
 from graphloom.llm.html_wrappers import extract_main_text
@@ -24,10 +25,10 @@ from graphloom.llm.toxicity import toxicity
 MAX_REPEATS = 2.0
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,9 +85,13 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark").select("item_id", "text"), k=20)
 
 
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing(read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path("byte_bpe_50k.json"), size=2048, end_id=0)
+
+
 QUERIES = (
     op1_fingerprints, op2_personal_data, op3_temperature_mix, op4_html_extraction, op5_quality_rules, op6_quality_classifier, op7_near_dedup, op8_line_dedup, op9_toxicity, op10_packing,
-    op11_spelling_variants, op12_lexical_search,
+    op11_spelling_variants, op12_lexical_search, op13_best_fit_packing,
 )
 
 
