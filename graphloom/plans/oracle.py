@@ -137,6 +137,7 @@ def nearest(name: str, k: int, least: float) -> str:
 
 
 VECTORS = "v_ AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings)"
+PLANTED = "v_ AS (SELECT a.vec_id, list_transform(list_zip(h.embedding, a.embedding), lambda x: x[1]::DOUBLE + 0.3::DOUBLE * x[2]::DOUBLE) AS v FROM embeddings a JOIN embeddings h ON h.vec_id = a.vec_id - a.vec_id % 5)"
 
 MARKOV = """c_ AS (SELECT *, lag(chunk_uuid) OVER w AS prev, lead(chunk_uuid) OVER w AS next FROM chunks WINDOW w AS (PARTITION BY document_uuid ORDER BY chunk_index, chunk_uuid)),
 top6 AS (
@@ -213,6 +214,8 @@ def oracle_sql() -> dict[str, str]:
         "shares_entity_capped": w + GRAPH + ", " + shared(20, 200, 10, 1) + " SELECT * FROM shares",
         "similar_to": w + VECTORS + ", " + nearest("s", 10, 0.25) + " SELECT src, dst, round(score, 6) AS score FROM s",
         "similar_to_default": w + VECTORS + ", " + nearest("s", 10, 0.75) + " SELECT src, dst, round(score, 6) AS score FROM s",
+        "similar_planted": w + PLANTED + ", " + nearest("s", 10, 0.75) + " SELECT src, dst, round(score, 6) AS score FROM s",
+        "similar_indexed": w + PLANTED + ", " + nearest("s", 10, 0.75) + " SELECT src, dst, round(score, 6) AS score FROM s",
         "similar_to_reset": w + VECTORS + ", " + nearest("o", 4, 0.2) + ", " + nearest("s", 10, 0.3) + " SELECT src, dst, round(score, 6) AS score FROM o WHERE src % 2 = 1 UNION ALL SELECT src, dst, round(score, 6) FROM s WHERE src % 2 = 0",
         "embed_pending": w + TITLED + " SELECT document_uuid, title AS summary_text FROM titled WHERE doc_id % 3 = 1 AND doc_id % 2 = 1 ORDER BY document_uuid LIMIT 200",
         "markov_neighbors": w + GRAPH + ", " + MARKOV + " SELECT chunk_uuid, '[' || array_to_string(items[1:8], ', ') || ']' AS neighbor_summary, '1.0' AS markov_version FROM near_",

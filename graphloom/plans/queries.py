@@ -10,7 +10,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from graphloom.functions import ids, text
-from graphloom.operators import analysis, chunks, enrich, entities, files, graph, manifest, pages, reports, retrieval, similarity
+from graphloom.operators import analysis, chunks, enrich, entities, files, graph, manifest, pages, reports, retrieval, similarity, vector_index
+from graphloom.plans.lineage import shared_folder
 
 PROJECT = str(uuid.uuid5(uuid.UUID(ids.CASES), "demo case"))
 TARGET = 1200
@@ -64,6 +65,14 @@ def vectors(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
 
 
+def planted_vectors(spark, sf_dir):
+    """The table's vectors in groups of five that lean to the first of them, so that each has near neighbours."""
+    v = vectors(spark, sf_dir).withColumn("head", F.col("id") - F.col("id") % 5)
+    heads = vectors(spark, sf_dir).where("id % 5 = 0").select(F.col("id").alias("head"), F.col("v").alias("h"))
+    near = F.zip_with("h", "v", lambda h, x: h.cast("double") + 0.3 * x.cast("double"))
+    return v.join(heads, "head").select("id", near.alias("v"))
+
+
 def old_manifest(spark, sf_dir):
     """All documents, and one that only this manifest has."""
     k = F.col("doc_id")
@@ -245,6 +254,16 @@ def similar_to_default(spark, sf_dir):
     return similarity.similar_edges(vectors(spark, sf_dir)).withColumn("score", F.round("score", 6))
 
 
+def similar_planted(spark, sf_dir):
+    return similarity.similar_edges(planted_vectors(spark, sf_dir)).withColumn("score", F.round("score", 6))
+
+
+def similar_indexed(spark, sf_dir):
+    v = planted_vectors(spark, sf_dir)
+    index = vector_index.build(v, f"{shared_folder(spark)}/index-{uuid.uuid4().hex}")
+    return vector_index.similar_edges(index, v, probes=4, exact=True).withColumn("score", F.round("score", 6))
+
+
 def similar_to_reset(spark, sf_dir):
     v = vectors(spark, sf_dir)
     old = similarity.similar_edges(v, max_edges_per_doc=4, min_score=0.2)
@@ -427,7 +446,7 @@ def range_markdown(spark, sf_dir):
 QUERIES = (
     uuid5_documents, doc_prefix_keys, normalized_title_keys, ocr_markdown, page_split, page_offsets, first_pages, chunk_spans, chunk_ids, next_chunk, doc_metadata, manifest_merge, resume_pending, load_selection,
     analysis_join, analysis_join_report_counts, analysis_examples, analysis_coverage, analysis_unmatched_docs, key_backfill, raw_entities, canonical_entities, canonical_splits, entity_mentions, fuzzy_ratio,
-    co_occurs, shares_entity, shares_entity_capped, similar_to, similar_to_default, similar_to_reset, embed_pending, embed_documents, markov_neighbors, markov_hints, edge_summary, file_dedup, copy_plan, file_renumber,
+    co_occurs, shares_entity, shares_entity_capped, similar_to, similar_to_default, similar_planted, similar_indexed, similar_to_reset, embed_pending, embed_documents, markov_neighbors, markov_hints, edge_summary, file_dedup, copy_plan, file_renumber,
     file_walk, inventory_recover, inventory_origins, rename_propagation, to_analyse, large_files, bates_labels, ocr_page_ranges, graph_integrity, has_chunk, duplicate_keys, seq_path, related_docs, exhibit_chunks,
     run_rates, failed_documents, upsert_document, document_maxima, load_stats, mention_endpoints, entity_chunk_lists, entities_flat, relevance_texts, plain_markdown, range_markdown,
 )

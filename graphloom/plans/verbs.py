@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.functions import ids, text
-from graphloom.operators import analysis, enrich, entities, graph, manifest, pages, reports, similarity
-from graphloom.plans.lineage import cut
+from graphloom.operators import analysis, enrich, entities, graph, manifest, pages, reports, similarity, vector_index
+from graphloom.plans.lineage import cut, shared_folder
 from graphloom.sources import providers, scans, sinks
 
 # The columns of the graph's tables beyond those that staging has.
@@ -284,11 +284,18 @@ def embed_docs(spark: SparkSession, case: Case, limit: int = 0, service: Callabl
     return {"embedded": rows.count()}
 
 
-def build_doc_similarity(spark: SparkSession, case: Case, top_k: int = 10, max_edges_per_doc: int | None = None, limit_docs: int = 0, min_score: float = 0.75, reset: bool = False) -> dict:
-    """SIMILAR_TO edges between the project's documents; all projects' documents compete for the places. reset: the project's old edges go."""
+def build_doc_similarity(spark: SparkSession, case: Case, top_k: int = 10, max_edges_per_doc: int | None = None, limit_docs: int = 0, min_score: float = 0.75, reset: bool = False, probes: int = 0) -> dict:
+    """SIMILAR_TO edges between the project's documents; all projects' documents compete for the places. reset: the project's old edges go.
+    probes: 0 compares all pairs; otherwise an index of cells is made, of which so many are searched for each document."""
     vectors = every(spark, case, "document").select(F.col("document_uuid").alias("id"), F.col("summary_embedding").alias("v"))
     within = rows_of(spark, case, "document").select(F.col("document_uuid").alias("id"))
-    edges = cut(similarity.similar_edges(vectors, top_k, max_edges_per_doc, min_score, limit_docs, within=within))
+    if probes:
+        index = vector_index.build(vectors, f"{shared_folder(spark)}/index-{uuid.uuid4().hex}")
+        asked = vectors.join(within.orderBy("id").limit(limit_docs) if limit_docs else within, "id", "left_semi")
+        found = vector_index.similar_edges(index, asked, top_k if max_edges_per_doc is None else max_edges_per_doc, min_score, probes)
+        edges = cut(found.join(within.select(F.col("id").alias("dst")), "dst", "left_semi"))
+    else:
+        edges = cut(similarity.similar_edges(vectors, top_k, max_edges_per_doc, min_score, limit_docs, within=within))
     old = rows_of(spark, case, "similar_to").select("src", "dst", "score")
     kept = old.limit(0) if reset else old.join(edges.select("src", "dst"), ["src", "dst"], "left_anti")
     put(kept.unionByName(edges), case, "similar_to")
