@@ -233,6 +233,7 @@ def oracle_sql() -> dict[str, str]:
         "bates_labels": w + TITLED + """, p AS (SELECT title AS name, unnest(range(1, doc_id % 4 + 1))::INT AS page FROM titled) SELECT name, page,
             upper(CASE WHEN regexp_matches(name, '^DOC_\\d+') THEN regexp_extract(name, '^DOC_\\d+') WHEN len(string_split(name, '_')) >= 2 THEN array_to_string(string_split(name, '_')[1:2], '_') ELSE name END || printf('-%03d', page)) AS label FROM p""",
         "ocr_page_ranges": w + TITLED + ", r AS (SELECT title, (doc_id % 90)::INT AS n, unnest(range(0, doc_id % 90, 25))::INT AS s FROM titled) SELECT title, s // 25 AS range_ord, s AS start, least(s + 25, n) AS \"end\" FROM r",
+        "pdf_page_counts": "SELECT doc_id, n AS pages, ((n + 2) // 3)::BIGINT AS ranges, n::BIGINT AS asked FROM (SELECT doc_id, greatest(1, (length(coalesce(text, '')) + 1999) // 2000)::INT AS n FROM documents)",
         "graph_integrity": w + GRAPH + """ SELECT c_custkey AS document_uuid, count(chunk_uuid) AS chunk_count, count(DISTINCT chunk_index) AS indexes, count(*) FILTER (exhibit_name = '') AS without_exhibit, coalesce(max(page_number), 0) AS page_count_detected,
             coalesce(array_to_string(list_sort(list(DISTINCT chunk_index) FILTER (chunk_index IS NOT NULL))[1:20], ','), '') AS first_indexes, greatest(count(chunk_uuid) - 1, 0) AS next_edges FROM customer LEFT JOIN chunks ON document_uuid = c_custkey GROUP BY c_custkey""",
         "has_chunk": "SELECT DISTINCT o_custkey AS src, o_orderkey AS dst FROM orders",

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from graphloom.functions import ids, text
 from graphloom.operators import analysis, chunks, enrich, entities, files, graph, manifest, pages, reports, retrieval, similarity, vector_index
 from graphloom.plans.lineage import shared_folder
+from graphloom.sources import pdf, providers
 
 PROJECT = str(uuid.uuid5(uuid.UUID(ids.CASES), "demo case"))
 TARGET = 1200
@@ -73,6 +75,17 @@ def planted_vectors(spark, sf_dir):
     return v.join(heads, "head").select("id", near.alias("v"))
 
 
+def document_pdfs(spark, sf_dir):
+    """A PDF of each document, a page for each 2000 characters; those of odd ids have their objects in deflated object streams."""
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("title"), F.coalesce("text", F.lit("")).alias("text"))
+
+    @F.pandas_udf("binary")
+    def content(titles: pd.Series, texts: pd.Series) -> pd.Series:
+        return pd.Series([pdf.made([t[k : k + 2000] for k in range(0, len(t), 2000)] or [""], int(n) % 2 == 1) for n, t in zip(titles, texts, strict=True)])
+
+    return d.select("title", content("title", "text").alias("content"))
+
+
 def old_manifest(spark, sf_dir):
     """All documents, and one that only this manifest has."""
     k = F.col("doc_id")
@@ -308,6 +321,12 @@ def _text_files(spark, sf_dir):
     return d.select(F.format_string("%s/%d.txt", "source", "doc_id").alias("path"), F.sha2("text", 256).alias("hash"))
 
 
+def pdf_page_counts(spark, sf_dir):
+    parts = providers.page_ranges(document_pdfs(spark, sf_dir), 3)
+    counted = parts.where("error is null").withColumn("own", F.col("last_page") - F.col("first_page") + 1)
+    return counted.groupBy(F.col("title").cast("long").alias("doc_id")).agg(F.max("last_page").alias("pages"), F.count("*").alias("ranges"), F.sum("own").alias("asked"))
+
+
 def file_dedup(spark, sf_dir):
     return files.deduplicated(_text_files(spark, sf_dir))
 
@@ -447,7 +466,7 @@ QUERIES = (
     uuid5_documents, doc_prefix_keys, normalized_title_keys, ocr_markdown, page_split, page_offsets, first_pages, chunk_spans, chunk_ids, next_chunk, doc_metadata, manifest_merge, resume_pending, load_selection,
     analysis_join, analysis_join_report_counts, analysis_examples, analysis_coverage, analysis_unmatched_docs, key_backfill, raw_entities, canonical_entities, canonical_splits, entity_mentions, fuzzy_ratio,
     co_occurs, shares_entity, shares_entity_capped, similar_to, similar_to_default, similar_planted, similar_indexed, similar_to_reset, embed_pending, embed_documents, markov_neighbors, markov_hints, edge_summary, file_dedup, copy_plan, file_renumber,
-    file_walk, inventory_recover, inventory_origins, rename_propagation, to_analyse, large_files, bates_labels, ocr_page_ranges, graph_integrity, has_chunk, duplicate_keys, seq_path, related_docs, exhibit_chunks,
+    file_walk, inventory_recover, inventory_origins, rename_propagation, to_analyse, large_files, bates_labels, ocr_page_ranges, pdf_page_counts, graph_integrity, has_chunk, duplicate_keys, seq_path, related_docs, exhibit_chunks,
     run_rates, failed_documents, upsert_document, document_maxima, load_stats, mention_endpoints, entity_chunk_lists, entities_flat, relevance_texts, plain_markdown, range_markdown,
 )
 

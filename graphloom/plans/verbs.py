@@ -128,16 +128,17 @@ def note(spark: SparkSession, case: Case, verb: str, began: float, metrics: dict
 
 def ocr(
     spark: SparkSession, case: Case, make: Callable[[], providers.Recogniser], start_at: int = 0, limit_docs: int | None = None, force: bool = False, max_pages_per_request: int = 25, tries: int = 3, backoff_seconds: float = 1.0,
-    request_delay_seconds: float = 0.0, write_raw: bool = False, count: Callable[[bytes], int] = providers.page_count,
+    request_delay_seconds: float = 0.0, write_raw: bool = False, count: Callable[[bytes], int] = providers.page_count, rate: float = 0.0,
 ) -> dict:
-    """Texts of the PDFs of the input folder, page by page under markers. A document with a failed range is left out and reported; texts
-    that exist are kept unless force. write_raw: the answers of every range as JSON files beside the table."""
+    """Texts of the PDFs of the input folder, page by page under markers. A document with a failed range, or whose pages can't be counted, is
+    left out and reported; texts that exist are kept unless force. write_raw: the answers of every range as JSON files beside the table. rate:
+    requests a second that all tasks together begin at most; 0 is no limit."""
     began = time.time()
     files = scans.pdfs(spark, case.inputs("")).withColumn("document_uuid", F.col("title"))
     chosen = manifest.selected(files.select("document_uuid", "title"), "", start_at, limit_docs).withColumn("md", _markdown_name(F.col("title")))
     have = rows_of(spark, case, "ocr_text").select(F.col("title").alias("md"))
     todo = chosen if force else chosen.join(have, "md", "left_anti")
-    found = cut(providers.recognise(files.join(todo.select("title"), "title", "left_semi"), make, max_pages_per_request, tries, backoff_seconds, request_delay_seconds, count))
+    found = cut(providers.recognise(files.join(todo.select("title"), "title", "left_semi"), make, max_pages_per_request, tries, backoff_seconds, request_delay_seconds, count, rate))
     failed = found.where("error is not null").groupBy("title").agg(F.min("error").alias("error"))
     good = found.join(failed.select("title"), "title", "left_anti")
     each = good.select(_markdown_name(F.col("title")).alias("title"), "first_page", F.posexplode("pages").alias("i", "text"))
@@ -169,10 +170,11 @@ def ocr_texts(spark: SparkSession, case: Case) -> DataFrame:
 
 def ingest(
     spark: SparkSession, case: Case, docs: DataFrame | None = None, make: Callable[[], providers.Chunker] = providers.local_chunker, only_prefix: str = "", start_at: int = 0, limit_docs: int | None = None,
-    max_pages_per_doc: int | None = None, tries: int = 3, backoff_seconds: float = 1.0, resume: bool = True,
+    max_pages_per_doc: int | None = None, tries: int = 3, backoff_seconds: float = 1.0, resume: bool = True, rate: float = 0.0, lanes: int = 0,
 ) -> dict:
     """Stage the chunks of docs(path, title, content), by default ocr_texts(), and keep the manifest. A document with a page whose chunker
-    failed in all tries is marked failed. Chunks without entities get those that their text shows. resume: staged documents are skipped."""
+    failed in all tries is marked failed. Chunks without entities get those that their text shows. resume: staged documents are skipped.
+    rate: pages a second that all tasks together ask the chunker for, in so many lanes; 0 is no limit."""
     began, started = time.time(), now()
     docs = ocr_texts(spark, case) if docs is None else docs
     stem = F.regexp_replace("title", r"(?<=.)\.[^.]*\z", "")
@@ -184,7 +186,7 @@ def ingest(
 
     texts = files.join(todo.select("document_uuid"), "document_uuid", "left_semi")
     parts = pages.first_pages(pages.split_pages(texts), max_pages_per_doc)
-    found = cut(providers.chunk_with(parts.where("text <> ''"), make, tries, backoff_seconds))
+    found = cut(providers.chunk_with(parts.where("text <> ''"), make, tries, backoff_seconds, rate, lanes))
     failed = found.where("error is not null").groupBy("title").agg(F.min("error").alias("error"))
     good = found.join(failed.select("title"), "title", "left_anti").select("title", "page_ord", F.posexplode("chunks").alias("pos", "c"))
     good = good.join(pages.page_offsets(parts).select("title", "page_ord", "page_number", "page_offset"), ["title", "page_ord"]).join(todo, "title")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import re
 import time
 from collections.abc import Callable, Iterator
 from typing import Protocol
@@ -15,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.operators.chunks import locate, spans
+from graphloom.sources.pacing import may_pass, spread, this_lane
+from graphloom.sources.pdf import page_count, part
 
 # The kinds of entity a model may name, and how much of the petition and of a text goes into a review.
 KINDS = ("PERSON", "ORGANIZATION", "PLACE", "DATE", "PHONE", "EMAIL", "ADDRESS", "OTHER")
@@ -154,13 +155,19 @@ def model_chunker(model: Callable[[int, str], list[dict]], target: int = 1200) -
 CHUNKS = "title string, page_ord int, chunks array<struct<text:string,entities:array<struct<entity_type:string,text:string>>,start:int,end:int>>, error string"
 
 
-def chunk_with(pages: DataFrame, make: Callable[[], Chunker], tries: int = 1, first_wait: float = 1.0) -> DataFrame:
+def chunk_with(pages: DataFrame, make: Callable[[], Chunker], tries: int = 1, first_wait: float = 1.0, rate: float = 0.0, lanes: int = 0) -> DataFrame:
     """CHUNKS of pages(title, page_ord, page_number, text); each page is tried so often with doubled waits. A page that fails has its error
-    and no chunks, so one failure costs one document."""
+    and no chunks, so one failure costs one document. rate: pages a second that all tasks begin together, dealt to so many lanes (0: no limit)."""
     kind = pa.struct([("title", pa.string()), ("page_ord", pa.int32()), ("chunks", pa.list_(pa.struct([("text", pa.string()), ("entities", pa.list_(pa.struct([("entity_type", pa.string()), ("text", pa.string())]))), ("start", pa.int32()), ("end", pa.int32())]))), ("error", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]):
-        chunker = with_retry(make(), tries, first_wait)
+        made, slot = make(), this_lane(rate, lanes)
+
+        def paced(page_number: int, text: str) -> list[dict]:
+            slot()
+            return made(page_number, text)
+
+        chunker = with_retry(paced, tries, first_wait)
         for batch in batches:
             rows = []
             for r in batch.to_pylist():
@@ -170,47 +177,70 @@ def chunk_with(pages: DataFrame, make: Callable[[], Chunker], tries: int = 1, fi
                     rows.append({"title": r["title"], "page_ord": r["page_ord"], "chunks": [], "error": str(error)})
             yield pa.RecordBatch.from_struct_array(pa.array(rows, kind))
 
-    return pages.select("title", "page_ord", "page_number", "text").mapInArrow(run, CHUNKS)
+    return spread(pages.select("title", "page_ord", "page_number", "text"), lanes, rate, "title", "page_ord").mapInArrow(run, CHUNKS)
 
 
 RANGES = "title string, range_ord int, first_page int, last_page int, pages array<string>, error string"
+PARTS = "title string, range_ord int, first_page int, last_page int, content binary, error string"
+
+
+def page_ranges(files: DataFrame, per_request: int = 25, count: Callable[[bytes], int] = page_count, cut: Callable[[bytes, int, int], bytes] = part) -> DataFrame:
+    """PARTS of files(title, content): a row for every range of per_request pages, with a file of these pages alone. A file whose pages can't
+    be counted has one row, with the error; so every file has a row at least."""
+    schema = pa.schema([("title", pa.string()), ("range_ord", pa.int32()), ("first_page", pa.int32()), ("last_page", pa.int32()), ("content", pa.binary()), ("error", pa.string())])
+
+    def rows(title: str, content: bytes) -> Iterator[tuple]:
+        try:
+            pages = count(content)
+            if pages < 1:
+                raise ValueError("no page is found in the file")
+        except Exception as error:  # whatever a counter raises
+            yield title, 0, 1, 0, None, str(error) or type(error).__name__
+            return
+        for k, start in enumerate(range(0, pages, max(1, per_request))):
+            end = min(start + max(1, per_request), pages)
+            yield title, k, start + 1, end, cut(content, start, end), None
 
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            for title, content in zip(batch.column("title").to_pylist(), batch.column("content"), strict=True):
+                for row in rows(title, content.as_py() or b""):  # one range at a time is held
+                    yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, schema, strict=True)], schema=schema)
 
-def page_count(content: bytes) -> int:
-    """Pages of a PDF by its plain page objects; files with compressed objects need the count of a PDF library."""
-    return len(re.findall(rb"/Type\s*/Page(?![A-Za-z])", content))
+    return files.select("title", "content").mapInArrow(run, PARTS)
 
 
 def recognise(
-    files: DataFrame, make: Callable[[], Recogniser], per_request: int = 25, tries: int = 3, first_wait: float = 1.0, delay: float = 0.0, count: Callable[[bytes], int] = page_count
+    files: DataFrame, make: Callable[[], Recogniser], per_request: int = 25, tries: int = 3, first_wait: float = 1.0, delay: float = 0.0, count: Callable[[bytes], int] = page_count, rate: float = 0.0, lanes: int = 32
 ) -> DataFrame:
-    """RANGES of files(title, content): the texts of every range of per_request pages, first and last page counted from 1. A range is tried
-    so often with doubled waits, delay seconds before each request; one that fails has its error and no pages."""
+    """RANGES of files(title, content): the texts of every range of per_request pages, first and last page counted from 1. Ranges are dealt
+    to `lanes` tasks, so those of one file are recognised at once; all tasks together begin at most `rate` requests a second (0: as many
+    as they can). A range is tried so often with doubled waits while its errors may pass, delay seconds before each request; one that fails has its
+    error and no pages, as has a file whose pages can't be counted."""
     kind = pa.struct([("title", pa.string()), ("range_ord", pa.int32()), ("first_page", pa.int32()), ("last_page", pa.int32()), ("pages", pa.list_(pa.string())), ("error", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]):
-        service = make()
+        service, slot = make(), this_lane(rate, lanes)
 
         def paced(content: bytes, start: int, end: int) -> list[str]:
             time.sleep(delay)
+            slot()
             return service(content, start, end)
 
-        call = with_retry(paced, tries, first_wait)
+        call = with_retry(paced, tries, first_wait, may_pass)
         for batch in batches:
-            for title, content in zip(batch.column("title").to_pylist(), batch.column("content"), strict=True):
-                content, rows = content.as_py() or b"", []
-                pages = count(content)
-                for k, start in enumerate(range(0, pages, max(1, per_request))):
-                    end = min(start + max(1, per_request), pages)
-                    row = {"title": title, "range_ord": k, "first_page": start + 1, "last_page": end, "pages": None, "error": None}
+            contents = batch.column("content")
+            for k, row in enumerate(batch.drop_columns(["content"]).to_pylist()):
+                row["pages"] = None
+                if row["error"] is None:
                     try:
-                        row["pages"] = list(call(content, start, end))
+                        row["pages"] = list(call(contents[k].as_py(), row["first_page"] - 1, row["last_page"]))
                     except Exception as error:  # whatever the service raises
-                        row["error"] = str(error)
-                    rows.append(row)
-                yield pa.RecordBatch.from_struct_array(pa.array(rows, kind))
+                        row["error"] = str(error) or type(error).__name__
+                yield pa.RecordBatch.from_struct_array(pa.array([row], kind))
 
-    return files.select("title", "content").mapInArrow(run, RANGES)
+    parts = page_ranges(files, per_request, count)
+    return spread(parts, lanes, rate, "title", "range_ord").mapInArrow(run, RANGES)
 
 
 def review(text: Column, petition: str, make: Callable[[], Chat], tries: int = 3, first_wait: float = 1.0) -> Column:
