@@ -242,6 +242,11 @@ def oracle_sql() -> dict[str, str]:
             walk AS (SELECT document_uuid, 0 AS length, chunk_uuid AS cur, chunk_uuid::VARCHAR AS path FROM chunks WHERE chunk_index = 0
               UNION ALL SELECT document_uuid, length + 1, dst, path || '>' || dst FROM walk JOIN e ON src = cur AND dst IS NOT NULL WHERE length < 10)
             SELECT document_uuid, length, cur::VARCHAR AS end_uuid, path FROM walk""",
+        "seq_path_branches": "WITH RECURSIVE " + GRAPH + """, n AS (SELECT * FROM (SELECT chunk_uuid AS src, lead(chunk_uuid) OVER (PARTITION BY document_uuid ORDER BY chunk_index) AS dst FROM chunks) WHERE dst IS NOT NULL),
+            e AS (SELECT src, dst FROM n WHERE src % 13 <> 0 UNION SELECT a.src, b.dst FROM n a JOIN n b ON a.dst = b.src WHERE a.src % 7 = 0 UNION SELECT dst, src FROM n WHERE src % 11 = 0),
+            walk AS (SELECT document_uuid, 0 AS length, chunk_uuid AS cur, chunk_uuid::VARCHAR AS path, []::VARCHAR[] AS used FROM chunks WHERE chunk_index = 0
+              UNION ALL SELECT document_uuid, length + 1, dst, path || '>' || dst, list_append(used, src || '>' || dst) FROM walk JOIN e ON src = cur WHERE length < 6 AND NOT list_contains(used, src || '>' || dst))
+            SELECT document_uuid, length, cur::VARCHAR AS end_uuid, path FROM walk""",
         "related_docs": w + GRAPH + ", " + shared(3, 5000, 50, 2) + " SELECT src, dst, count, row_number() OVER (PARTITION BY src ORDER BY count DESC, dst)::INT AS rank FROM shares WHERE count >= 3",
         "exhibit_chunks": w + GRAPH + " SELECT document_uuid, chunk_index, chunk_uuid, page_number FROM chunks WHERE exhibit_name = 'O'",
         "run_rates": w + ", ".join((TITLED, OLD, NEW)) + " " + run_row("old_m", 12.5) + " UNION ALL " + run_row("new_m", 0),

@@ -398,6 +398,16 @@ def seq_path(spark, sf_dir):
     return retrieval.sequence_paths(c)
 
 
+def seq_path_branches(spark, sf_dir):
+    """NEXT_CHUNK with branches past a chunk, edges back and gaps, as loads of different versions leave them."""
+    c = relational_chunks(spark, sf_dir).withColumn("chunk_uuid", F.col("chunk_uuid").cast("string"))
+    e = graph.next_edges(c)
+    skips = e.alias("a").join(e.alias("b"), F.col("a.dst") == F.col("b.src")).select("a.src", "b.dst").where(F.col("src").cast("long") % 7 == 0)
+    backs = e.where(F.col("src").cast("long") % 11 == 0).select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    kept = e.where(F.col("src").cast("long") % 13 != 0)
+    return retrieval.sequence_paths(c, edges=kept.unionByName(skips).unionByName(backs), longest=6)
+
+
 def related_docs(spark, sf_dir):
     return retrieval.related_documents(shares_entity(spark, sf_dir))
 
@@ -466,7 +476,7 @@ QUERIES = (
     uuid5_documents, doc_prefix_keys, normalized_title_keys, ocr_markdown, page_split, page_offsets, first_pages, chunk_spans, chunk_ids, next_chunk, doc_metadata, manifest_merge, resume_pending, load_selection,
     analysis_join, analysis_join_report_counts, analysis_examples, analysis_coverage, analysis_unmatched_docs, key_backfill, raw_entities, canonical_entities, canonical_splits, entity_mentions, fuzzy_ratio,
     co_occurs, shares_entity, shares_entity_capped, similar_to, similar_to_default, similar_planted, similar_indexed, similar_to_reset, embed_pending, embed_documents, markov_neighbors, markov_hints, edge_summary, file_dedup, copy_plan, file_renumber,
-    file_walk, inventory_recover, inventory_origins, rename_propagation, to_analyse, large_files, bates_labels, ocr_page_ranges, pdf_page_counts, graph_integrity, has_chunk, duplicate_keys, seq_path, related_docs, exhibit_chunks,
+    file_walk, inventory_recover, inventory_origins, rename_propagation, to_analyse, large_files, bates_labels, ocr_page_ranges, pdf_page_counts, graph_integrity, has_chunk, duplicate_keys, seq_path, seq_path_branches, related_docs, exhibit_chunks,
     run_rates, failed_documents, upsert_document, document_maxima, load_stats, mention_endpoints, entity_chunk_lists, entities_flat, relevance_texts, plain_markdown, range_markdown,
 )
 
