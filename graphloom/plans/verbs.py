@@ -1,7 +1,7 @@
 """The verbs of a case: from scans to staged chunks to the tables of the graph. Each reads tables, applies operators and writes tables.
 
 Staged rows are appended with their staging time; a document's newest row says which of its chunks are valid, so a run that broke off
-leaves nothing that readers see. The graph's tables are replaced a project at a time, after their new rows are cut from what they read.
+leaves nothing that readers see. All other tables are keyed tables, changed by the buckets that a verb's rows fall into.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from graphloom.functions import ids, text
 from graphloom.operators import analysis, enrich, entities, graph, manifest, pages, reports, similarity, vector_index
 from graphloom.plans.lineage import cut, shared_folder
-from graphloom.sources import providers, scans, sinks
+from graphloom.sources import keyed, providers, scans, sinks
 
 # The columns of the graph's tables beyond those that staging has.
 REVIEWED = "file_type string, file_description string, relevance_analysis string, original_file_path string, organized_doc_number string, summary_text string, analysis_ingested boolean, analysis_join_strategy string, analysis_join_confidence double"
@@ -36,12 +36,18 @@ TABLES = {
     "canonical_entity": "project_uuid string, canonical_id string, entity_type string, canonical_text string, variants array<string>, mention_count long",
     "has_document": EDGE,
     "has_chunk": EDGE,
-    "next_chunk": EDGE,
+    "next_chunk": f"{EDGE}, document_uuid string",
     "mentioned_in": EDGE,
     "co_occurs_with": f"{EDGE}, count long",
     "similar_to": f"{EDGE}, score double",
     "shares_entity": f"{EDGE}, count long",
 }
+#: Tables that only grow, read by their newest rows; the others are keyed tables, dealt to buckets by these columns.
+STAGED = ("staged_chunk", "staged_document")
+BY = {
+    "ocr_text": ["title"], "manifest": ["document_uuid"], "case": ["project_uuid"], "document": ["document_uuid"], "chunk": ["document_uuid"], "canonical_entity": ["canonical_id"], "next_chunk": ["document_uuid"],
+    **dict.fromkeys(("has_document", "has_chunk", "mentioned_in", "co_occurs_with", "similar_to", "shares_entity"), ["src"]),
+}
 
 
 @dataclass(frozen=True)
@@ -53,6 +59,7 @@ class Case:
     tenant: str = "default"
     project: str = field(default_factory=lambda: os.environ.get("GRAPHLOOM_PROJECT_UUID", ""))
     input: str = ""
+    buckets: int | None = None
 
     @property
     def uuid(self) -> str:
@@ -70,8 +77,14 @@ def now() -> str:
     return datetime.now(UTC).isoformat(timespec="microseconds").replace("+00:00", "Z")
 
 
+def keyed_table(spark: SparkSession, case: Case, name: str) -> keyed.KeyedTable:
+    return keyed.KeyedTable(spark, case.table(name), TABLES[name], case.buckets)
+
+
 def every(spark: SparkSession, case: Case, name: str) -> DataFrame:
     """A table's rows of all projects; none where it was never written. Columns that older files lack are null."""
+    if name not in STAGED:
+        return keyed_table(spark, case, name).every()
     try:
         return spark.read.schema(TABLES[name]).parquet(case.table(name))
     except AnalysisException as error:
@@ -82,7 +95,9 @@ def every(spark: SparkSession, case: Case, name: str) -> DataFrame:
 
 def rows_of(spark: SparkSession, case: Case, name: str) -> DataFrame:
     """A table's rows of the case's project."""
-    return every(spark, case, name).where(F.col("project_uuid") == case.uuid)
+    if name in STAGED:
+        return every(spark, case, name).where(F.col("project_uuid") == case.uuid)
+    return keyed_table(spark, case, name).rows(case.uuid)
 
 
 def _typed(rows: DataFrame, case: Case, name: str) -> DataFrame:
@@ -94,8 +109,7 @@ def _typed(rows: DataFrame, case: Case, name: str) -> DataFrame:
 
 def put(rows: DataFrame, case: Case, name: str) -> None:
     """Replace the project's rows of a table, even by none."""
-    done = cut(_typed(rows, case, name))
-    done.drop("project_uuid").write.mode("overwrite").parquet(f"{case.table(name)}/project_uuid={case.uuid}")
+    keyed_table(rows.sparkSession, case, name).replace(case.uuid, _typed(rows, case, name), BY[name])
 
 
 def append(rows: DataFrame, case: Case, name: str) -> None:
@@ -103,8 +117,17 @@ def append(rows: DataFrame, case: Case, name: str) -> None:
 
 
 def merged(spark: SparkSession, case: Case, name: str, rows: DataFrame, keys: list[str], once: tuple[str, ...] = ()) -> None:
-    """Upsert rows into a table by key."""
-    put(graph.upsert(rows_of(spark, case, name).drop("project_uuid"), rows.drop("project_uuid"), keys, once), case, name)
+    """Upsert rows into a table by key; only the buckets that they fall into are read and written."""
+
+    def merge(old: DataFrame, new: DataFrame) -> DataFrame:
+        return graph.upsert(old, new, keys, once)
+
+    keyed_table(spark, case, name).update(case.uuid, rows.drop("project_uuid"), BY[name], merge)
+
+
+def noted(spark: SparkSession, case: Case, rows: DataFrame) -> None:
+    """Merge rows into the manifest."""
+    keyed_table(spark, case, "manifest").update(case.uuid, manifest.coerced(rows), BY["manifest"], lambda old, new: manifest.merge(old.select(*manifest.COLUMNS), new))
 
 
 def staged(spark: SparkSession, case: Case) -> tuple[DataFrame, DataFrame]:
@@ -143,8 +166,7 @@ def ocr(
     good = found.join(failed.select("title"), "title", "left_anti")
     each = good.select(_markdown_name(F.col("title")).alias("title"), "first_page", F.posexplode("pages").alias("i", "text"))
     texts = pages.assemble_markdown(each.select("title", (F.col("first_page") + F.col("i")).alias("page_number"), "text"))
-    old = rows_of(spark, case, "ocr_text").join(texts.select("title"), "title", "left_anti")
-    put(old.select("title", "content").unionByName(texts), case, "ocr_text")
+    merged(spark, case, "ocr_text", texts, ["title"])
     if write_raw:
         raw = good.withColumn("name", F.format_string("%s__pages_%04d-%04d", F.regexp_replace("title", r"\.[^.]*\z", ""), "first_page", "last_page"))
         raw.select("name", F.transform("pages", lambda p: F.struct(p.alias("markdown"))).alias("pages")).write.mode("append").json(case.table("ocr_raw"))
@@ -213,7 +235,8 @@ def ingest(
     times = {"started_at": F.lit(started), "completed_at": F.lit(staged_at)}
     ok = documents.select("document_uuid", "chunk_count", "page_count_detected", "staged_at", F.lit("staged").alias("status")).withColumns(times)
     bad = todo.join(failed, "title").select("document_uuid", "error", F.lit("failed").alias("status")).withColumns(times)
-    put(manifest.merge(known, manifest.coerced(ok.unionByName(bad, allowMissingColumns=True))), case, "manifest")
+    pending_rows = known.join(names.select("document_uuid"), "document_uuid", "left_semi")
+    noted(spark, case, manifest.merge(pending_rows, manifest.coerced(ok.unionByName(bad, allowMissingColumns=True))))
 
     errors = failed.orderBy("title").limit(50).collect()
     selected, pending = names.count(), todo.count()
@@ -231,19 +254,20 @@ def load(spark: SparkSession, case: Case, only_prefix: str = "", start_at: int =
     documents, chunks = cut(documents), cut(chunks.drop("staged_at"))
     root = spark.createDataFrame([(case.tenant, case.name, "active", moment, case.uuid)], "tenant_uuid string, case_name string, status string, created_at string, key string")
     old = rows_of(spark, case, "case").withColumn("key", F.col("project_uuid")).drop("project_uuid")
-    put(graph.upsert(old, root, ["key"], once=("created_at",)), case, "case")
+    put(graph.upsert(old, root, ["key"], once=("created_at",)), case, "case")  # one row
     merged(spark, case, "document", documents, ["document_uuid"])
-    merged(spark, case, "chunk", chunks, ["chunk_uuid"])
+    merged(spark, case, "chunk", chunks, ["document_uuid", "chunk_uuid"])
+    follows = chunks.select(F.col("chunk_uuid").alias("src"), "document_uuid")
     for name, edges in (
         ("has_document", graph.has_edges(documents.withColumn("case", F.lit(case.uuid)), "case", "document_uuid")),
         ("has_chunk", graph.has_edges(chunks, "document_uuid", "chunk_uuid")),
-        ("next_chunk", graph.next_edges(chunks)),
+        ("next_chunk", graph.next_edges(chunks).join(follows, "src")),
     ):
-        put(graph.merge_edges(rows_of(spark, case, name).select("src", "dst"), edges), case, name)
+        keyed_table(spark, case, name).update(case.uuid, edges, BY[name], graph.merge_edges)
     ok = documents.select("document_uuid", F.lit("loaded").alias("status"), F.lit(moment).alias("loaded_at"), F.lit(moment).alias("completed_at"))
     missing = cut(todo.join(documents.select("document_uuid"), "document_uuid", "left_anti").withColumn("error", F.lit("no staged document")))
     bad = missing.select("document_uuid", F.lit("failed").alias("status"), "error", F.lit(moment).alias("completed_at"))
-    put(manifest.merge(state, manifest.coerced(ok.unionByName(bad, allowMissingColumns=True))), case, "manifest")
+    noted(spark, case, ok.unionByName(bad, allowMissingColumns=True))
     stats = graph.load_stats(documents, chunks).first().asDict()
     return note(spark, case, "load", began, stats | {"failed": missing.count()}, missing.orderBy("title").limit(50).collect())
 
@@ -313,8 +337,7 @@ def load_entities(spark: SparkSession, case: Case, limit_chunks: int = 0) -> dic
     found = cut(entities.canonical_entities(raw, F.lit(case.uuid)))
     merged(spark, case, "canonical_entity", found.drop("normalized_text", "cluster_ord"), ["canonical_id"])
     edges = cut(entities.existing_mentions(entities.mentions(raw, F.lit(case.uuid)), found, chunks))
-    every_mention = rows_of(spark, case, "mentioned_in").select("src", "dst")
-    put(graph.merge_edges(every_mention, edges.select(F.col("canonical_id").alias("src"), F.col("chunk_uuid").alias("dst"))), case, "mentioned_in")
+    keyed_table(spark, case, "mentioned_in").update(case.uuid, edges.select(F.col("canonical_id").alias("src"), F.col("chunk_uuid").alias("dst")), BY["mentioned_in"], graph.merge_edges)
     pairs = cut(entities.co_occurrence(_mentions(spark, case)))
     merged(spark, case, "co_occurs_with", pairs, ["src", "dst"])
     return {"raw_entities": raw.count(), "canonical_entities": found.count(), "mentions": edges.count(), "cooccurs": pairs.count()}
@@ -339,8 +362,8 @@ def markov_enrich(spark: SparkSession, case: Case, limit_chunks: int = 0) -> dic
     if limit_chunks:
         asked = chunks.orderBy("document_uuid", "chunk_index", "chunk_uuid").limit(limit_chunks).select("chunk_uuid")
         near = near.join(asked, "chunk_uuid", "left_semi")
-    rows = cut(enrich.render(near))
-    merged(spark, case, "chunk", rows, ["chunk_uuid"])
+    rows = cut(enrich.render(near).join(chunks.select("chunk_uuid", "document_uuid"), "chunk_uuid"))
+    merged(spark, case, "chunk", rows, ["document_uuid", "chunk_uuid"])
     return {"enriched": rows.count()}
 
 
