@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from graphloom.functions.ids import entity_id
 from graphloom.functions.text import entity_text, strip
+from graphloom.operators.fuzzy import greedy, similar_pairs
+from graphloom.plans.lineage import cut
 
 # How alike spellings in one cluster must be, by type; others 0.85.
 THRESHOLDS = {"PERSON": 0.85, "ORGANIZATION": 0.90, "PLACE": 0.85, "DATE": 1.0, "PHONE": 0.95, "EMAIL": 0.95, "ADDRESS": 0.85, "OTHER": 0.90}
@@ -86,23 +88,51 @@ def clusters(kind: Column, surfaces: Column) -> Column:
     return run(kind, surfaces)
 
 
+#: Clusters of more spellings are split by a similarity join instead of one after another in a row of their own.
+MANY_SPELLINGS = 64
+
+
+def split_many(surfaces: DataFrame) -> DataFrame:
+    """What clusters() makes of surfaces(entity_type, normalized_text, text, n, first), for clusters of any number of spellings: a row for each split."""
+    keys = ["entity_type", "normalized_text"]
+    kind = F.coalesce(F.create_map(*[F.lit(x) for k in THRESHOLDS.items() for x in k])[F.col("entity_type")], F.lit(0.85))
+    place = F.row_number().over(W.partitionBy(*keys).orderBy("first", "text", "n")) - 1
+    rows = surfaces.select(*keys, F.concat_ws("\0", *keys).alias("cluster"), place.alias("i"), "text", "n", kind.alias("threshold"))
+    rows = cut(rows)
+    owners = greedy(rows, similar_pairs(rows, similarity))
+    best = F.min_by("text", F.struct((-F.col("n")).alias("less"), F.char_length("text").alias("length"), (F.col("seed") != F.col("i")).alias("later"), (-F.col("score")).alias("unlike"), "i"))
+    parts = rows.join(owners, ["cluster", "i"]).groupBy(*keys, "seed").agg(best.alias("canonical_text"), F.array_sort(F.collect_set("text")).alias("variants"), F.sum("n").alias("mention_count"))
+    order = F.row_number().over(W.partitionBy(*keys).orderBy("seed")) - 1
+    return parts.select(*keys, order.alias("cluster_ord"), "canonical_text", "variants", "mention_count")
+
+
 def canonical_entities(raw: DataFrame, project: Column, all_splits: bool = False) -> DataFrame:
     """(canonical_id, entity_type, normalized_text, cluster_ord, canonical_text, variants, mention_count).
 
     Mentions of one type and normalised text are a cluster; unlike spellings inside it are split. All splits have one id, of which the
     last one is stored; all_splits keeps them. Spellings are counted before any Python runs, and clusters of one spelling,
-    nearly all, never reach it.
+    nearly all, never reach it. Those of a few spellings are split each in a row, larger ones by split_many(), with the same result.
     """
+    keys = ["entity_type", "normalized_text"]
     normal = entity_text(F.col("text"))
-    surfaces = raw.groupBy("entity_type", normal.alias("normalized_text"), "text").agg(F.count("*").alias("n"), F.min(F.struct("document_uuid", "chunk_index", "pos")).alias("first"))
-    grouped = surfaces.groupBy("entity_type", "normalized_text").agg(F.array_sort(F.collect_list(F.struct("first", "text", "n"))).alias("s"))
-    one = grouped.where(F.size("s") == 1).select("entity_type", "normalized_text", F.lit(0).alias("cluster_ord"), F.col("s")[0]["text"].alias("canonical_text"), F.array(F.col("s")[0]["text"]).alias("variants"), F.col("s")[0]["n"].alias("mention_count"))
+    surfaces = cut(raw.groupBy("entity_type", normal.alias("normalized_text"), "text").agg(F.count("*").alias("n"), F.min(F.struct("document_uuid", "chunk_index", "pos")).alias("first")))
+    large = cut(surfaces.groupBy(*keys).count().where(F.col("count") > MANY_SPELLINGS).select(*keys))
+    none = large.isEmpty()
+    small = surfaces if none else surfaces.join(large, keys, "left_anti")
+    grouped = small.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("first", "text", "n"))).alias("s"))
+    one = grouped.where(F.size("s") == 1).select(*keys, F.lit(0).alias("cluster_ord"), F.col("s")[0]["text"].alias("canonical_text"), F.array(F.col("s")[0]["text"]).alias("variants"), F.col("s")[0]["n"].alias("mention_count"))
     plain = F.transform("s", lambda x: F.struct(x["text"].alias("text"), x["n"].alias("n")))
-    several = grouped.where(F.size("s") > 1).select("entity_type", "normalized_text", clusters(F.col("entity_type"), plain).alias("c"))
+    several = grouped.where(F.size("s") > 1).select(*keys, clusters(F.col("entity_type"), plain).alias("c"))
     if not all_splits:
         several = several.withColumn("c", F.slice("c", -1, 1))
-    several = several.select("entity_type", "normalized_text", F.inline("c"))
-    return one.unionByName(several).withColumn("canonical_id", entity_id(project, F.col("entity_type"), F.col("normalized_text")))
+    out = one.unionByName(several.select(*keys, F.inline("c")))
+    if not none:
+        many = split_many(surfaces.join(large, keys, "left_semi"))
+        if not all_splits:
+            last = F.max("cluster_ord").over(W.partitionBy(*keys))
+            many = many.withColumn("last", last).where(F.col("cluster_ord") == F.col("last")).drop("last")
+        out = out.unionByName(many)
+    return out.withColumn("canonical_id", entity_id(project, F.col("entity_type"), F.col("normalized_text")))
 
 
 def mentions(raw: DataFrame, project: Column) -> DataFrame:

@@ -207,6 +207,11 @@ def oracle_sql() -> dict[str, str]:
         "key_backfill": w + TITLED + f", s AS (SELECT doc_id, CASE WHEN doc_id % 4 <> 1 THEN title ELSE '' END AS title, title AS file, CASE doc_id % 3 WHEN 1 THEN '  ' WHEN 2 THEN 'DOC_9999 ' END AS p, CASE WHEN doc_id % 5 = 0 THEN 'stored key' END AS k FROM titled), f AS (SELECT *, coalesce(nullif(trim(coalesce(p, '')), ''), nullif({prefix('title')}, ''), {prefix('file')}) AS np, coalesce(k, nullif({key('title')}, ''), {key('file')}) AS nk FROM s) SELECT doc_id, np AS doc_prefix, nk AS normalized_title_key, (p IS DISTINCT FROM np OR k IS DISTINCT FROM nk) AS keys_changed FROM f",
         "raw_entities": w + RAW + " SELECT chunk_uuid, pos, entity_type, text FROM typed",
         "canonical_entities": w + RAW + ", " + CANONICAL + " SELECT canonical_id, entity_type, normalized_text, cluster_ord, text AS canonical_text, text AS variants, n AS mention_count FROM canon WHERE cluster_ord = of_ - 1",
+        "canonical_absorbed": w + RAW.replace("ELSE rtrim(x, '.,') END", "WHEN doc_id % 5 = 1 THEN substr(rtrim(x, '.,'), 1, length(rtrim(x, '.,')) - 1) || upper(right(rtrim(x, '.,'), 1)) ELSE rtrim(x, '.,') END")
+        + f""", surfaces AS (SELECT entity_type, normalized_text, text, count(*) AS n, min(printf('%09d %09d', doc_id, pos)) AS first_ FROM typed GROUP BY ALL),
+            joined AS (SELECT *, CASE WHEN text = upper(text) THEN 'capitals' WHEN 1 - 1 / length(text) >= CASE WHEN entity_type = 'OTHER' THEN 0.9 ELSE 0.85 END THEN 'near' ELSE text END AS part FROM surfaces),
+            parts AS (SELECT entity_type, normalized_text, min(first_) AS first_, arg_min(text, (-n, first_)) AS canonical_text, string_agg(text, '|' ORDER BY text) AS variants, sum(n)::BIGINT AS mention_count FROM joined GROUP BY entity_type, normalized_text, part)
+            SELECT {u5(f"'{PROJECT}'", "'entity::' || entity_type || '::' || normalized_text")} AS canonical_id, (row_number() OVER (PARTITION BY entity_type, normalized_text ORDER BY first_) - 1)::INT AS cluster_ord, canonical_text, variants, mention_count FROM parts""",
         "canonical_splits": w + RAW + ", " + CANONICAL + " SELECT canonical_id, cluster_ord, text AS canonical_text, n AS mention_count FROM canon",
         "entity_mentions": w + RAW + f" SELECT DISTINCT {u5(f"'{PROJECT}'", "'entity::' || entity_type || '::' || normalized_text")} AS canonical_id, chunk_uuid FROM typed",
         "co_occurs": w + GRAPH + " SELECT a.canonical_id AS src, b.canonical_id AS dst, count(*) AS count FROM mentions a JOIN mentions b ON a.chunk_uuid = b.chunk_uuid AND a.canonical_id < b.canonical_id GROUP BY ALL",

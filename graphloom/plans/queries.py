@@ -121,11 +121,14 @@ def review_rows(spark, sf_dir):
     return rows.union(spark.createDataFrame(hand, "row_no long, organized_doc_number string, file_type string, file_description string, relevance_analysis string, original_file_path string"))
 
 
-def entity_chunks(spark, sf_dir):
-    """A chunk for each document, whose payload lists its capitalised words; in capitals for some documents, so that spellings differ."""
+def entity_chunks(spark, sf_dir, near=False):
+    """A chunk for each document, whose payload lists its capitalised words; in capitals for some documents, so that spellings differ. near: with
+    a capital at the end in others, so that spellings one letter apart are taken together."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     words = F.transform(F.filter(F.split(F.coalesce("text", F.lit("")), " ", -1), lambda w: w.rlike(r"^[A-Z][a-z]{3,}[.,]?\z")), lambda w: F.rtrim(w, F.lit(".,")))
     words = F.transform(words, lambda w: F.when(F.col("doc_id") % 5 == 0, F.upper(w)).otherwise(w))
+    if near:
+        words = F.transform(words, lambda w: F.when(F.col("doc_id") % 5 == 1, F.concat(F.substring(w, F.lit(1), F.length(w) - 1), F.upper(F.right(w, F.lit(1))))).otherwise(w))
     kind = lambda w: F.when(F.length(w) % 3 == 0, "person").when(F.length(w) % 3 == 1, "PLACE")
     payload = F.to_json(F.transform(words, lambda w: F.struct(kind(w).alias("entity_type"), w.alias("text"))))
     payload = F.when(F.col("doc_id") % 17 == 3, "{not json").otherwise(payload)
@@ -238,6 +241,11 @@ def canonical_splits(spark, sf_dir):
     return out.select("canonical_id", "cluster_ord", "canonical_text", "mention_count")
 
 
+def canonical_absorbed(spark, sf_dir):
+    out = entities.canonical_entities(entities.raw_entities(entity_chunks(spark, sf_dir, near=True)), F.lit(PROJECT), all_splits=True)
+    return out.select("canonical_id", "cluster_ord", "canonical_text", F.array_join("variants", "|").alias("variants"), "mention_count")
+
+
 def entity_mentions(spark, sf_dir):
     return entities.mentions(entities.raw_entities(entity_chunks(spark, sf_dir)), F.lit(PROJECT))
 
@@ -474,7 +482,7 @@ def range_markdown(spark, sf_dir):
 
 QUERIES = (
     uuid5_documents, doc_prefix_keys, normalized_title_keys, ocr_markdown, page_split, page_offsets, first_pages, chunk_spans, chunk_ids, next_chunk, doc_metadata, manifest_merge, resume_pending, load_selection,
-    analysis_join, analysis_join_report_counts, analysis_examples, analysis_coverage, analysis_unmatched_docs, key_backfill, raw_entities, canonical_entities, canonical_splits, entity_mentions, fuzzy_ratio,
+    analysis_join, analysis_join_report_counts, analysis_examples, analysis_coverage, analysis_unmatched_docs, key_backfill, raw_entities, canonical_entities, canonical_splits, canonical_absorbed, entity_mentions, fuzzy_ratio,
     co_occurs, shares_entity, shares_entity_capped, similar_to, similar_to_default, similar_planted, similar_indexed, similar_to_reset, embed_pending, embed_documents, markov_neighbors, markov_hints, edge_summary, file_dedup, copy_plan, file_renumber,
     file_walk, inventory_recover, inventory_origins, rename_propagation, to_analyse, large_files, bates_labels, ocr_page_ranges, pdf_page_counts, graph_integrity, has_chunk, duplicate_keys, seq_path, seq_path_branches, related_docs, exhibit_chunks,
     run_rates, failed_documents, upsert_document, document_maxima, load_stats, mention_endpoints, entity_chunk_lists, entities_flat, relevance_texts, plain_markdown, range_markdown,
