@@ -14,8 +14,12 @@ from pyspark.sql import functions as F
 
 from graphloom.llm.common import annotate, cut, pack, text_of, unpack
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
-ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+#: A tag as browsers read it: a quote opens a value only behind '=', elsewhere it is part of a name; one that nothing closes is an ordinary character.
+#: No part gives back what it took, so a tag is read once.
+ATTRIBUTES = r"(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?>\"[^\"]*\"|'[^']*'|[^\s>]*+))?+)*+"
+TAG = re.compile(rf"<(/?)([A-Za-z][^\s/>]*+)({ATTRIBUTES})>")
+PLAIN_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>")
+ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*+)))?+")
 # Kinds of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea noscript template iframe svg math xmp noembed noframes".split())
@@ -68,20 +72,60 @@ def is_notice(tag: str, attributes: dict[str, str]) -> bool:
     return bool(names & NOTICES) and not (names & ARTICLES and not names & {"comment", "comments", "sidebar", "footer", "ad", "ads", "nav"})
 
 
+class Scanner:
+    """The tags of a page from left to right, in time linear in it. Of two tags that browsers would read to the page's end, the later ones are
+    read up to the next '>', so that no text is lost behind a quote that swallows all of them."""
+
+    def __init__(self, page: str):
+        self.page, self.tag = page, TAG
+        self.last, self.last_data = page.rfind(">"), page.rfind("]]>")
+
+    def comment(self, at: int) -> int:
+        """The end of the comment, CDATA section or declaration that begins here, 0 if none does."""
+        page = self.page
+        if page.startswith("<!--", at):
+            if page.startswith((">", "->"), at + 4):
+                return page.index(">", at) + 1
+            end = page.find("-->", at + 4)
+            other = page.find("--!>", at + 4, end if end >= 0 else len(page))
+            return other + 4 if other >= 0 else end + 3 if end >= 0 else len(page)
+        if page.startswith("<![CDATA[", at) and at < self.last_data:
+            return page.index("]]>", at) + 3
+        return page.index(">", at) + 1 if page.startswith(("<!", "<?"), at) and at < self.last else 0
+
+    def start(self, at: int) -> re.Match | None:
+        """The tag that begins here."""
+        if at >= self.last:
+            return None
+        found = self.tag.match(self.page, at)
+        if not found and self.tag is TAG and PLAIN_TAG.match(self.page, at):
+            self.tag = PLAIN_TAG
+            found = PLAIN_TAG.match(self.page, at)
+        return found
+
+
 def parse(page: str) -> Node:
     """The element tree of a page, with unclosed and stray tags mended the way browsers do. Text nodes are strings."""
     root = Node("#root", "#root", False)
     stack = [root]
-    at = 0
-    while m := TOKEN.match(page, at):
-        at = m.end()
-        close, tag = m[1], m[2]
-        if tag is None:
-            piece = m[0]
-            if not piece.startswith(("<!", "<?")):
-                stack[-1].children.append(piece)
+    at, scanner = 0, Scanner(page)
+    while at < len(page):
+        begin = page.find("<", at)
+        if begin != at:
+            stack[-1].children.append(page[at : begin if begin >= 0 else len(page)])
+            at = begin if begin >= 0 else len(page)
             continue
-        tag = tag.lower()
+        end = scanner.comment(at)
+        if end:
+            at = end
+            continue
+        m = scanner.start(at)
+        if not m:
+            stack[-1].children.append("<")
+            at += 1
+            continue
+        at = m.end()
+        close, tag = m[1], m[2].lower()
         if close:
             if tag == "br":
                 stack[-1].children.append(" ")

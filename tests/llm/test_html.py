@@ -127,3 +127,31 @@ def test_the_wrapper_decides_by_the_hosts_other_pages():
     assert hw.main_text(same[0], infer(same)) == "Head 0\ntext 0"
     other = [same[0], *[page.format(i).replace("Pass it on", f"Note {i}") for i in range(1, 4)]]
     assert hw.main_text(same[0], infer(other)) == "Head 0\nPass it on\ntext 0"
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<article><p title='don't'>hello</p><p>it's fine</p></article>", "hello\nit's fine"),
+        ('<article><p title="a"b">one</p><p>two "quoted" words</p></article>', 'one\ntwo "quoted" words'),
+        ('<article><p a=b"c d>one</p><p>two</p></article>', "one\ntwo"),
+        ("<article><p title='>one</p><p>two</p></article>", "one\ntwo"),
+        ('<article><p a = "x>y" b=>one</p></article>', "one"),
+        ("<article><p/ a/b>one</p a='>'>two</article>", "one\ntwo"),
+        ("<article><!--><p>one</p><!---><p>two</p><!-- x --!><p>three</p></article>", "one\ntwo\nthree"),
+        ("<article>1 < 2 <3 <p>one</p></article>", "1 < 2 <3\none"),
+        ("<article><![CDATA[ x > y ]]><p>one</p><! a><? b></article>", "one"),
+    ],
+)
+def test_stray_quotes_and_comments(page, want):
+    assert hw.main_text(page, None) == want
+
+
+@pytest.mark.parametrize("piece", ["<a b ", "<![CDATA[", "<!", '<a b="', "<a b='x\" ", "<", "</a ", "<!--", "<a b=\"x>y\" ", "<p><b "])
+@pytest.mark.parametrize("end", ["", '">', "c=\">\"", "-->"])
+def test_broken_markup_takes_linear_time(piece, end):
+    import time
+
+    began = time.process_time()
+    hw.parse(piece * (1_000_000 // len(piece)) + end)
+    assert time.process_time() - began < 20
