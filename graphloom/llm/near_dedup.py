@@ -350,7 +350,8 @@ def near_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     Documents whose sets of word shingles have 100 * intersection >= percent * union are linked; component_id is
     the least doc_id reachable, kept whether that is the document's own. Sets are formed of whole texts. Empty ones (null texts, no
-    words) are linked with nothing. Rows of one doc_id count as one document; a null doc_id is least of all; it is shown as null.
+    words) are linked with nothing. Rows of one doc_id are one document, linked with all that one of its texts is linked with; a null
+    doc_id is least of all; it is shown as null.
     An empty table gives an empty one.
 
     Equal sets are one class first, by a 128-bit digest, and go on as its least doc_id. Each class descends TREES trees, at each step
@@ -370,10 +371,21 @@ def near_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     nodes = [F.struct(*[F.col("_nodes")[t * len(LEVELS) + i].alias(f"_{depth}") for i, depth in enumerate(LEVELS)]) for t in range(FULL)]
     rows = sets.select("_d", F.inline(F.array(*nodes)))
     deep = sets.select("_d", F.explode(F.slice("_nodes", FULL * len(LEVELS) + 1, TREES - FULL)).alias(f"_{DEPTH}"))
-    comps = components(verified(clusters(rows, deep, sets), base, words, percent))
+    links = verified(clusters(rows, deep, sets), base, words, percent)
+    # A document whose rows have different texts links their classes.
+    repeated = cut(narrow.groupBy("_d").agg(F.count("*").alias("_c")).where("_c > 1").select("_d"))
+    once = repeated.isEmpty()
+    if not once:
+        own = narrow.where("_n > 0").join(repeated, "_d", "left_semi").join(classes.select("_rep", "_k1", "_k2", "_n"), ["_k1", "_k2", "_n"]).select("_d", "_rep").distinct()
+        least = own.groupBy("_d").agg(F.min("_rep").alias("a"))
+        links = links.union(own.join(least, "_d").select("a", F.col("_rep").alias("b")).where("a <> b"))
+    comps = components(links)
     named = classes.join(comps.withColumnRenamed("_d", "_rep"), "_rep", "left").where("_rows > 1 or _comp is not null")
     named = cut(named.select("_k1", "_k2", "_n", F.coalesce("_comp", "_rep").alias("_comp")))
     marked = narrow.select("_d", "_k1", "_k2", "_n").join(named, ["_k1", "_k2", "_n"], "left").withColumn("_comp", F.coalesce("_comp", "_d"))
+    if not once:  # an empty row of a repeated document belongs where its other rows do
+        several = marked.join(repeated, "_d", "left_semi").groupBy("_d").agg(F.min("_comp").alias("_all"))
+        marked = marked.join(several, "_d", "left").withColumn("_comp", F.coalesce("_all", "_comp")).drop("_all")
     shown = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
     return marked.select(shown("_d").alias("doc_id"), F.col("_n").alias("n_shingles"), shown("_comp").alias("component_id"), (F.col("_d") == F.col("_comp")).alias("kept"))
 

@@ -117,3 +117,18 @@ def test_sketches_tell_unrelated_long_texts_apart():
     sketch = nd.signatures(pa.array(texts, pa.large_string()), 2)["sig"][:, : nd.SKETCH].astype("uint8")
     agree = [(sketch[a] == sketch[b]).sum() for a in range(20) for b in range(a)]
     assert max(agree) < 10
+
+
+def test_one_document_of_several_texts_links_them(spark):
+    """Rows of one doc_id with different texts are one vertex: of (3, X), (5, X), (5, Y), (9, Y) all are one component."""
+    x, y = (" ".join(f"{c}{k}" for k in range(30)) for c in "xy")
+    plain = [(3, x), (5, x), (5, y), (9, y), (20, None), (20, y), (21, "alone"), (21, ""), (30, x + " more"), (40, y), (40, "and another")]
+    texts = [t for _, t in noisy(9, 6, 6, 5)]
+    rng = random.Random(2)
+    many = [(rng.randrange(30), t) for t in texts] + [(k, "") for k in range(0, 40, 7)]
+    for rows in (plain, many):
+        want = brute(rows, 2)
+        sizes = [len(nd.shingles(t or "", 2)) for _, t in rows]
+        got = nd.near_components(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()
+        assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == sorted((i, n, want[i][1], want[i][1] == i) for (i, _), n in zip(rows, sizes, strict=True))
+    assert {c for _, c in brute(plain, 2).values()} == {3, 21}
