@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.functions import ids, text
@@ -192,12 +192,13 @@ def ocr_texts(spark: SparkSession, case: Case) -> DataFrame:
 
 def ingest(
     spark: SparkSession, case: Case, docs: DataFrame | None = None, make: Callable[[], providers.Chunker] = providers.local_chunker, only_prefix: str = "", start_at: int = 0, limit_docs: int | None = None,
-    max_pages_per_doc: int | None = None, tries: int = 3, backoff_seconds: float = 1.0, resume: bool = True, rate: float = 0.0, lanes: int = 0,
+    max_pages_per_doc: int | None = None, tries: int = 3, backoff_seconds: float = 1.0, resume: bool = True, rate: float = 0.0, lanes: int = 0, batch_docs: int = 0,
 ) -> dict:
     """Stage the chunks of docs(path, title, content), by default ocr_texts(), and keep the manifest. A document with a page whose chunker
     failed in all tries is marked failed. Chunks without entities get those that their text shows. resume: staged documents are skipped.
-    rate: pages a second that all tasks together ask the chunker for, in so many lanes; 0 is no limit."""
-    began, started = time.time(), now()
+    rate: pages a second that all tasks together ask the chunker for, in so many lanes; 0 is no limit. batch_docs: about so many documents are
+    staged and noted in the manifest at a time, so that a run that breaks off loses the last batch alone; 0 is all at once."""
+    began = time.time()
     docs = ocr_texts(spark, case) if docs is None else docs
     stem = F.regexp_replace("title", r"(?<=.)\.[^.]*\z", "")
     files = docs.withColumns({"document_uuid": ids.document_id(F.lit(case.uuid), F.col("title")), "stem": stem})
@@ -205,7 +206,21 @@ def ingest(
     seed = names.select("document_uuid", "title", F.col("stem").alias("source_file"), F.col("path").alias("ocr_markdown_path"), F.col("path").alias("source_file_path"), F.lit("pending").alias("status"))
     known = cut(manifest.merge(rows_of(spark, case, "manifest").select(*manifest.COLUMNS), manifest.coerced(seed)))
     todo = cut(manifest.to_ingest(names, known, staged(spark, case)[0], resume))
-
+    noted(spark, case, known.join(names.select("document_uuid"), "document_uuid", "left_semi"))
+    selected, pending = names.count(), todo.count()
+    batches = -(-pending // batch_docs) if batch_docs else min(pending, 1)
+    done, errors = [0, 0], []
+    for k in range(batches):
+        own = todo.where(F.pmod(F.xxhash64("document_uuid"), F.lit(batches)) == k)
+        made, failed = _staged_batch(spark, case, files, own, make, max_pages_per_doc, tries, backoff_seconds, rate, lanes)
+        done = [x + y for x, y in zip(done, made, strict=True)]
+        errors += failed
+    return note(spark, case, "ingest", began, {"selected": selected, "skipped": selected - pending, "staged": done[0], "chunks": done[1], "failed": pending - done[0]}, errors[:50])
+
+
+def _staged_batch(spark: SparkSession, case: Case, files: DataFrame, todo: DataFrame, make: Callable, max_pages_per_doc: int | None, tries: int, backoff_seconds: float, rate: float, lanes: int) -> tuple[list[int], list]:
+    """Stage the documents of todo and note them in the manifest: how many, and their chunks; and the first failures."""
+    started = now()
     texts = files.join(todo.select("document_uuid"), "document_uuid", "left_semi")
     parts = pages.first_pages(pages.split_pages(texts), max_pages_per_doc)
     found = cut(providers.chunk_with(parts.where("text <> ''"), make, tries, backoff_seconds, rate, lanes))
@@ -231,17 +246,13 @@ def ingest(
         F.col("path").alias("ocr_markdown_path"), F.col("path").alias("source_file_path"), "page_count_detected", "chunk_count", F.lit(staged_at).alias("staged_at"),
     )
     append(chunks, case, "staged_chunk")
-    append(documents, case, "staged_document")  # last: only now are the chunks valid
+    counted = Observation()
+    append(documents.observe(counted, F.count("*").alias("documents"), F.coalesce(F.sum("chunk_count"), F.lit(0)).alias("chunks")), case, "staged_document")  # last: only now are the chunks valid
     times = {"started_at": F.lit(started), "completed_at": F.lit(staged_at)}
     ok = documents.select("document_uuid", "chunk_count", "page_count_detected", "staged_at", F.lit("staged").alias("status")).withColumns(times)
     bad = todo.join(failed, "title").select("document_uuid", "error", F.lit("failed").alias("status")).withColumns(times)
-    pending_rows = known.join(names.select("document_uuid"), "document_uuid", "left_semi")
-    noted(spark, case, manifest.merge(pending_rows, manifest.coerced(ok.unionByName(bad, allowMissingColumns=True))))
-
-    errors = failed.orderBy("title").limit(50).collect()
-    selected, pending = names.count(), todo.count()
-    counts = documents.agg(F.count("*"), F.coalesce(F.sum("chunk_count"), F.lit(0))).first()
-    return note(spark, case, "ingest", began, {"selected": selected, "skipped": selected - pending, "staged": counts[0], "chunks": counts[1], "failed": pending - counts[0]}, errors)
+    noted(spark, case, ok.unionByName(bad, allowMissingColumns=True))
+    return [counted.get["documents"], counted.get["chunks"]], failed.orderBy("title").limit(50).collect()
 
 
 def load(spark: SparkSession, case: Case, only_prefix: str = "", start_at: int = 0, limit_docs: int | None = None, resume: bool = True) -> dict:

@@ -167,3 +167,26 @@ def test_other_scans(spark, tmp_path):
     assert [r.title for r in scans.pdfs(spark, str(tmp_path / "deep")).collect()] == ["c.PDF"]
     assert scans.tree(spark, str(tmp_path)).count() == 4
     assert scans.inventory_csv(spark, str(tmp_path / "inventory.csv")).first().asDict() == {"new_filename": "n", "original_path": "o", "summary": "s"}
+
+
+def test_a_run_that_breaks_off_skips_the_batches_it_noted(spark, case, monkeypatch):
+    whole, calls = verbs._staged_batch, []
+
+    def breaking(*args):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("killed")
+        return whole(*args)
+
+    docs = spark.createDataFrame([(f"p{k}", f"n{k}.md", f"text of {k}") for k in range(12)], "path string, title string, content string")
+    with monkeypatch.context() as m:
+        m.setattr(verbs, "_staged_batch", breaking)
+        with pytest.raises(RuntimeError, match="killed"):
+            verbs.ingest(spark, case, docs, batch_docs=4)
+    state = {r.title: r.status for r in verbs.rows_of(spark, case, "manifest").collect()}
+    before = sum(s == "staged" for s in state.values())
+    assert 0 < before < 12 == len(state)
+    got = verbs.ingest(spark, case, docs, batch_docs=20)
+    assert (got["selected"], got["skipped"], got["staged"]) == (12, before, 12 - before)
+    documents, chunks = verbs.staged(spark, case)
+    assert documents.count() == chunks.count() == 12
