@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.functions.text import doc_prefix
+from graphloom.operators.files import numbered
 
 IDENTITY = ("title", "source_file", "ocr_markdown_path", "source_file_path")
 COUNTS = ("chunk_count", "page_count_detected")
@@ -57,6 +58,9 @@ def selected(rows: DataFrame, prefix: str = "", start: int = 0, limit: int | Non
     rows = rows.where(doc_prefix(F.col("title")) == prefix.upper()) if prefix else rows
     if not start and limit is None:
         return rows
+    if start > 0 and limit is None:  # no bound on the rows behind the start, so they are numbered by ranges
+        place = F.concat(F.coalesce(filled(F.col("title")), F.col("document_uuid")), F.lit("\0"), F.col("document_uuid"))
+        return numbered(rows.withColumn("_place", place), "_place").where(F.col("number") > start).select(*rows.columns)
     order = [F.coalesce(filled(F.col("title")), F.col("document_uuid")), F.col("document_uuid")]
     if start < 0:
         rows = rows.orderBy(*[c.desc() for c in order]).limit(-start)

@@ -152,6 +152,15 @@ near_ AS (
         regexp_replace(printf('%.2f', least(1.0, 0.3 + e.n / 50.0)::DOUBLE), '0$', '') || ', "rel": "MENTIONED_IN"}')) AS items
   FROM c_ LEFT JOIN customer ON c_custkey = document_uuid LEFT JOIN top6 USING (chunk_uuid))"""
 
+CRC_TABLE = "list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i))"
+
+
+def crc32(text: str, table: str) -> str:
+    """The unsigned CRC-32 of a text's UTF-8 bytes, by CRC_TABLE as a column."""
+    data = f"list_transform(range(0, strlen({text})), lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT)"
+    return f"xor(4294967295, list_reduce({data}, lambda c, b: xor(c >> 8, {table}[(xor(c, b) & 255) + 1]), 4294967295))"
+
+
 FILES = "files_ AS (SELECT doc_id, printf('%s/%d.txt', source, doc_id) AS path, sha256(text) AS hash FROM documents)"
 
 
@@ -239,6 +248,13 @@ def oracle_sql() -> dict[str, str]:
             upper(CASE WHEN regexp_matches(name, '^DOC_\\d+') THEN regexp_extract(name, '^DOC_\\d+') WHEN len(string_split(name, '_')) >= 2 THEN array_to_string(string_split(name, '_')[1:2], '_') ELSE name END || printf('-%03d', page)) AS label FROM p""",
         "ocr_page_ranges": w + TITLED + ", r AS (SELECT title, (doc_id % 90)::INT AS n, unnest(range(0, doc_id % 90, 25))::INT AS s FROM titled) SELECT title, s // 25 AS range_ord, s AS start, least(s + 25, n) AS \"end\" FROM r",
         "pdf_page_counts": "SELECT doc_id, n AS pages, ((n + 2) // 3)::BIGINT AS ranges, n::BIGINT AS asked FROM (SELECT doc_id, greatest(1, (length(coalesce(text, '')) + 1999) // 2000)::INT AS n FROM documents)",
+        # The words of "copy of " sort in between those of the title, so the title is a common subsequence whole.
+        "fuzzy_ratio": w + TITLED + " SELECT doc_id, round(200.0 * length(title) / (2 * length(title) + length('copy of ')), 6)::DOUBLE AS ratio FROM titled",
+        "embed_documents": w + TITLED + f""", crc AS (SELECT {CRC_TABLE} AS t),
+            words AS (SELECT document_uuid, unnest(list_filter(string_split(lower(title), ' '), lambda x: x <> '')) AS w FROM titled),
+            hashed AS (SELECT document_uuid, {crc32("w", "t")} AS h FROM words, crc),
+            places AS (SELECT document_uuid, sum(CASE WHEN (h >> 16) & 1 = 1 THEN 1 ELSE -1 END) AS v FROM hashed GROUP BY document_uuid, h % 64)
+            SELECT document_uuid, round(sum(v * v)::DOUBLE / greatest(sum(v * v), 1), 4) AS norm FROM places GROUP BY document_uuid""",
         "graph_integrity": w + GRAPH + """ SELECT c_custkey AS document_uuid, count(chunk_uuid) AS chunk_count, count(DISTINCT chunk_index) AS indexes, count(*) FILTER (exhibit_name = '') AS without_exhibit, coalesce(max(page_number), 0) AS page_count_detected,
             coalesce(array_to_string(list_sort(list(DISTINCT chunk_index) FILTER (chunk_index IS NOT NULL))[1:20], ','), '') AS first_indexes, greatest(count(chunk_uuid) - 1, 0) AS next_edges FROM customer LEFT JOIN chunks ON document_uuid = c_custkey GROUP BY c_custkey""",
         "has_chunk": "SELECT DISTINCT o_custkey AS src, o_orderkey AS dst FROM orders",

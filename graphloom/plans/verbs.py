@@ -178,11 +178,12 @@ def _markdown_name(pdf: Column) -> Column:
     return F.regexp_replace(pdf, r"(?i)\.pdf\z", ".md")
 
 
-def ocr_texts(spark: SparkSession, case: Case) -> DataFrame:
-    """(path, title, content): the Markdown files of the OCR folder, and recognised texts without such a file."""
+def ocr_texts(spark: SparkSession, case: Case, only_prefix: str = "") -> DataFrame:
+    """(path, title, content): the Markdown files of the OCR folder, and recognised texts without such a file. only_prefix: files without it in
+    their names are not opened."""
     made = rows_of(spark, case, "ocr_text").select(F.concat(F.lit(f"{case.table('ocr_text')}/"), "title").alias("path"), "title", "content")
     try:
-        files = scans.markdown(spark, case.inputs("organized/ocr"))
+        files = scans.markdown(spark, case.inputs("organized/ocr"), only_prefix)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -199,7 +200,7 @@ def ingest(
     rate: pages a second that all tasks together ask the chunker for, in so many lanes; 0 is no limit. batch_docs: about so many documents are
     staged and noted in the manifest at a time, so that a run that breaks off loses the last batch alone; 0 is all at once."""
     began = time.time()
-    docs = ocr_texts(spark, case) if docs is None else docs
+    docs = ocr_texts(spark, case, only_prefix) if docs is None else docs
     stem = F.regexp_replace("title", r"(?<=.)\.[^.]*\z", "")
     files = docs.withColumns({"document_uuid": ids.document_id(F.lit(case.uuid), F.col("title")), "stem": stem})
     names = manifest.selected(files.select("document_uuid", "title", "path", "stem"), only_prefix, start_at, limit_docs)
@@ -293,6 +294,18 @@ def duplicates(spark: SparkSession, case: Case) -> DataFrame:
     return found
 
 
+def indexes(spark: SparkSession, case: Case) -> dict:
+    """How many keys break the uniqueness of each node table, and how many vectors of which length the documents have: what a store would check
+    when it makes its indexes. The report names the first keys."""
+    began = time.time()
+    found = cut(duplicates(spark, case))
+    counts = {f"duplicate_{r['table']}": r["n"] for r in found.groupBy("table").agg(F.count("*").alias("n")).collect()}
+    sizes = rows_of(spark, case, "document").where("summary_embedding is not null").groupBy(F.size("summary_embedding").alias("n")).count()
+    worst = sizes.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("vectors"), F.count("*").alias("lengths")).first().asDict()
+    named = [{"title": r["key"], "error": f"{r['rows']} rows in {r['table']}"} for r in found.orderBy("table", "key").limit(50).collect()]
+    return note(spark, case, "indexes", began, {f"duplicate_{t}": counts.get(f"duplicate_{t}", 0) for t in ("case", "document", "chunk", "canonical_entity")} | worst, named)
+
+
 def ingest_analysis(spark: SparkSession, case: Case) -> dict:
     """The analysis file's values onto the documents they belong to."""
     rows = cut(scans.analysis_csv(spark, case.inputs("organized/analysis/analysis.csv")))
@@ -378,8 +391,8 @@ def markov_enrich(spark: SparkSession, case: Case, limit_chunks: int = 0) -> dic
     return {"enriched": rows.count()}
 
 
-#: Verbs that need no service, as the command line names them.
+#: Verbs as the command line names them.
 VERBS = {
-    "ingest": ingest, "load": load, "ingest-analysis": ingest_analysis, "analysis-join-report": analysis_join_report, "embed-docs": embed_docs, "build-doc-similarity": build_doc_similarity,
+    "ocr": ocr, "indexes": indexes, "ingest": ingest, "load": load, "ingest-analysis": ingest_analysis, "analysis-join-report": analysis_join_report, "embed-docs": embed_docs, "build-doc-similarity": build_doc_similarity,
     "load-entities": load_entities, "build-doc-entity-links": build_doc_entity_links, "markov-enrich": markov_enrich,
 }

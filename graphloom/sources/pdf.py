@@ -323,6 +323,16 @@ def _part(pdf: Pdf, chosen: list[tuple[Ref | None, dict]], nodes: set[int]) -> b
     return _file(out)
 
 
+def shown_texts(content: bytes) -> list[str]:
+    """The text of each page of a file that made() wrote; '' for pages of another kind."""
+    pdf, out = Pdf(content), []
+    for _, page in pdf.pages()[0]:
+        stream = pdf[page.get(b"/Contents")]
+        found = re.search(rb"<([0-9a-f]*)> Tj", _inflated(stream)) if isinstance(stream, Stream) else None
+        out.append(bytes.fromhex(found[1].decode()).decode("utf-16-be") if found else "")
+    return out
+
+
 def made(texts: list[str], packed: bool = False) -> bytes:
     """A file with a page for each text. packed: its objects stand deflated in an object stream, with a cross-reference stream."""
     kids = [Ref(3 + 2 * k) for k in range(len(texts))]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from graphloom.operators.chunks import locate, spans
 from graphloom.sources.pacing import may_pass, spread, this_lane
-from graphloom.sources.pdf import page_count, part
+from graphloom.sources.pdf import page_count, part, shown_texts
 
 # The kinds of entity a model may name, and how much of the petition and of a text goes into a review.
 KINDS = ("PERSON", "ORGANIZATION", "PLACE", "DATE", "PHONE", "EMAIL", "ADDRESS", "OTHER")
@@ -243,6 +243,11 @@ def recognise(
     return spread(parts, lanes, rate, "title", "range_ord").mapInArrow(run, RANGES)
 
 
+def local_recogniser() -> Recogniser:
+    """A local stand-in: the texts that pages show as hexadecimal UTF-16, as pdf.made() writes them; '' for other pages."""
+    return lambda content, start, end: shown_texts(content)[: end - start]
+
+
 def review(text: Column, petition: str, make: Callable[[], Chat], tries: int = 3, first_wait: float = 1.0) -> Column:
     """A reviewer's JSON answer on each text in the light of one petition, both cut at their fixed lengths; null for empty texts and where
     all tries fail. See operators.analysis.unwrapped() for its fields."""

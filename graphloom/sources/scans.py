@@ -31,9 +31,15 @@ def _files(spark: SparkSession, path: str, glob: str, deep: bool = False) -> Dat
     return rows.select("path", F.regexp_extract("path", r"([^/]*)\z", 1).alias("title"), "content", "length")
 
 
-def markdown(spark: SparkSession, path: str) -> DataFrame:
-    """(path, title, content) of the *.md files of a directory; bytes that are no UTF-8 are dropped."""
-    return _files(spark, path, "*.md").select("path", "title", utf8(F.col("content")).alias("content"))
+def named(part: str, ending: str) -> str:
+    """A glob of names that hold a part in capitals or small letters and have an ending."""
+    return "*" + "".join(f"[{c.lower()}{c.upper()}]" if c.isascii() and c.isalpha() else c if c.isascii() and (c.isdigit() or c == "_") else "?" for c in part) + ("*" if part else "") + ending
+
+
+def markdown(spark: SparkSession, path: str, part: str = "") -> DataFrame:
+    """(path, title, content) of the *.md files of a directory, or of those with a part in their names, which alone are listed and opened;
+    bytes that are no UTF-8 are dropped."""
+    return _files(spark, path, named(part, ".md")).select("path", "title", utf8(F.col("content")).alias("content"))
 
 
 def pdfs(spark: SparkSession, path: str) -> DataFrame:
