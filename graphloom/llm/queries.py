@@ -107,7 +107,7 @@ per AS (SELECT source, sum(n_tokens)::BIGINT AS tokens, count(*) AS n_docs FROM
 stat AS (SELECT sum(tokens)::DOUBLE AS total, min(tokens)::DOUBLE AS lo, max(tokens)::DOUBLE AS hi FROM per WHERE tokens > 0),
 expo AS (SELECT *, CASE WHEN lo = hi THEN 0.0 ELSE greatest(0.0, round(1 - ln(2.0) / ln(hi / lo), 9)) END AS a FROM stat),
 weights AS (
-  SELECT source, tokens, n_docs, least(4096, ceil(n_docs / 256.0))::BIGINT AS n_blocks,
+  SELECT source, tokens, n_docs, ceil(n_docs / 256.0)::BIGINT AS n_blocks,
     CASE WHEN tokens > 0 THEN round(tokens * pow(tokens / total, a - 1) / pow(hi / total, a - 1), 0)::BIGINT ELSE 0 END AS budget
   FROM per, expo),
 w AS (SELECT *, CASE WHEN tokens > 0 THEN budget // tokens ELSE 1 END AS full_, budget - (CASE WHEN tokens > 0 THEN budget // tokens ELSE 1 END) * tokens AS left_ FROM weights),

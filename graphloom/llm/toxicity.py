@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_right
 from collections import Counter, defaultdict
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -76,7 +78,9 @@ class Lexicon:
                     excused.append((at, end))
                 elif at not in found or w > found[at][1]:
                     found[at] = (end, w)
-            hits = [w for at, (end, w) in found.items() if not any(a <= at and end <= b for a, b in excused)]
+            starts = sorted(excused)
+            reach = list(accumulate((b for _, b in starts), max))  # how far phrases that begin here or before go
+            hits = [w for at, (end, w) in found.items() if not (k := bisect_right(starts, (at, n))) or reach[k - 1] < end]
             return (sum(hits) / np.log2(4 + text.count(" ") + text.count("\n")), len(hits)) if hits else (0.0, 0)
 
         return run

@@ -1,3 +1,10 @@
+import re
+import time
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
 from graphloom.llm import toxicity as tx
 from graphloom.llm.quality_classifier import folds
 
@@ -44,3 +51,32 @@ def test_texts_that_share_frequent_words_are_no_copies():
     assert weights.get("gronpish", 0) > 0 or any("gronpish".startswith(w[:-1]) for w in weights if w.endswith("*"))
     copies = [texts[0]] * 40 + texts[40:]
     assert "gronpish" not in tx.learn_lexicon(copies, np.array([1] * 40 + [0] * 200))[0]
+
+
+TERMS, PHRASES = {"ab": 3.0, "ab cd": 2.0, "cd": 1.0, "e*": 0.5}, {"ab cd ab", "cd e", "x ab", "ef gh"}
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from(["ab", "cd", "e", "ef", "gh", "x", "."]), max_size=14).map(" ".join))
+def test_matcher_by_brute_force(text):
+    """Of terms at one place the heaviest counts, unless an exception covers it whole."""
+    found, excused = {}, []
+    whole = [(t, rf"(?<!\w){re.escape(t)}(?!\w)") for t in [*TERMS, *PHRASES] if t != "e*"] + [("e*", r"(?<!\w)e")]
+    for term, pattern in whole:
+        for at in range(len(text)):
+            m = re.compile(pattern).match(text, at)
+            if m and term in PHRASES:
+                excused.append(m.span())
+            elif m and TERMS[term] > found.get(at, (0, 0))[1]:
+                found[at] = (m.end(), TERMS[term])
+    hits = [w for at, (end, w) in found.items() if not any(a <= at and end <= b for a, b in excused)]
+    score, n = tx.Lexicon(TERMS, PHRASES, 1.0, 0.0).matcher()(text)
+    assert n == len(hits)
+    assert score == (sum(hits) / np.log2(4 + text.count(" ")) if hits else 0.0)
+
+
+def test_many_exceptions_in_a_long_text():
+    run = tx.Lexicon({tx.fold("trash"): 2.0}, {tx.fold("trash can")}, 1.0, 0.0).matcher()
+    began = time.process_time()
+    assert run("trash can and " * 150_000 + "trash")[1] == 1
+    assert time.process_time() - began < 20
