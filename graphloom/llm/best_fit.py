@@ -31,6 +31,8 @@ MARK[48:58] = False
 
 #: Pieces that a group of islands packs together, islands of a group, and packings that an island keeps.
 GROUP, ISLANDS, MEMBERS = 4096, 3, 6
+#: Islands that evolve one after another in a task, at first.
+TASK_ISLANDS = 16
 #: Rounds between which the ELITES best of each island go to the next one, and children in each.
 ROUNDS, CHILDREN, ELITES = 3, 40, 2
 #: Share of the well-filled bins that a child is given, and of its bins that a mutation empties.
@@ -269,17 +271,17 @@ def _islands(state: DataFrame, size: int, turn: int) -> DataFrame:
     """Each row is an island: its members evolve; bins and worth are those of its best."""
 
     def run(batches):
+        keep = ["group", "island", "rows", "lengths"]
         for batch in batches:
-            out = []
-            for group, island, lengths, members in zip(*(batch.column(c).to_pylist() for c in ("group", "island", "lengths", "members")), strict=True):
+            for k in range(batch.num_rows):  # one island at a time
+                own = batch.slice(k, 1)
+                group, island, lengths, members = (own.column(c)[0].as_py() for c in ("group", "island", "lengths", "members"))
                 n = np.array(lengths, np.int64)
                 seed = int(mix(np.array([group * 97 + island * 13 + turn], np.uint64))[0] >> np.uint64(1))
                 best = evolve(n, [np.frombuffer(m, "<i4") for m in members], size, seed)
                 bins, full = worth(best[0], n, size)
-                out.append([m.astype("<i4").tobytes() for m in best] + [(bins, full)])
-            columns = [pa.array([x[:-1] for x in out], pa.list_(pa.binary())), pa.array([x[-1][0] for x in out], pa.int32()), pa.array([x[-1][1] for x in out], pa.float64())]
-            keep = ["group", "island", "rows", "lengths"]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], *columns], names=[*keep, "members", "bins", "full"])
+                made = [pa.array([[m.astype("<i4").tobytes() for m in best]], pa.list_(pa.binary())), pa.array([bins], pa.int32()), pa.array([full], pa.float64())]
+                yield pa.RecordBatch.from_arrays([*[own.column(c) for c in keep], *made], names=[*keep, "members", "bins", "full"])
 
     return state.mapInArrow(run, "group long, island int, rows array<long>, lengths array<int>, members array<binary>, bins int, full double")
 
@@ -306,7 +308,8 @@ def grouped_bins(loose: DataFrame, size: int, deal: int, groups: int) -> DataFra
     """(row, group, bin, offset, fill) of loose (row, length): pieces are dealt into groups by a hash of their row, each packed by ISLANDS islands."""
     dealt = loose.groupBy(F.pmod(F.xxhash64("row", F.lit(deal)), F.lit(groups)).alias("group")).agg(F.array_sort(F.collect_list(F.struct("row", "length"))).alias("own"))
     state = dealt.select("group", F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))).alias("island"), F.col("own.row").alias("rows"), F.col("own.length").cast("array<int>").alias("lengths"))
-    state = state.repartition("group", "island").withColumn("members", F.array().cast("array<binary>"))
+    tasks = max(8, math.ceil(groups * ISLANDS / TASK_ISLANDS))  # set, as an island is small data and much work
+    state = state.repartition(tasks, "group", "island").withColumn("members", F.array().cast("array<binary>"))
     for turn in range(ROUNDS):
         state = _islands(state, size, turn)
         if turn < ROUNDS - 1:
