@@ -73,3 +73,33 @@ def test_new_queries_and_empty_tables(spark, grouped, index, tmp_path):
     assert vector_index.search(none, grouped, 3, exact=True).count() == 0
     again = vector_index.load(spark, str(tmp_path))
     assert again.rows.count() == 0
+
+
+def test_a_query_is_sent_once_a_block_of_cells(grouped, index, monkeypatch):
+    """What an exact search sends grows with the blocks, of which there are few, not with the cells a query visits."""
+    monkeypatch.setattr(vector_index, "BLOCK_VALUES", 9000)
+    asked = grouped.where("v is not null").select("id", "v", F.lit(-1.0).alias("floor"))
+    dealt = vector_index._dealt(index)
+    blocks = len(set(dealt[2]))
+    assert 2 <= blocks <= 6 < len(index.centroids)
+    sent = vector_index._visits(asked, index, 1, dealt, True).groupBy("id").agg(F.count("*").alias("n"), F.sum(F.size("cells")).alias("cells")).agg(F.max("n"), F.max("cells"), F.min("cells")).first()
+    assert (sent[0], sent[1], sent[2]) == (blocks, 38, 38)
+
+
+def test_a_small_cell_is_one_file(spark, grouped, tmp_path):
+    vector_index.build(grouped, str(tmp_path), cells=5)
+    assert len(list(tmp_path.glob("rows/cell=*/*.parquet"))) == len(list(tmp_path.glob("rows/cell=*"))) == 5
+
+
+def test_many_copies_are_ranked_by_id(spark, tmp_path, monkeypatch):
+    """Tiles crowded with equal scores are thinned out without losing the first ids."""
+    monkeypatch.setattr(similarity, "TILE", 4096)
+    rng = np.random.default_rng(7)
+    one, other = rng.normal(size=16), rng.normal(size=(200, 16))
+    df = frame(spark, [(k, (one if k % 3 else other[k % 200]).tolist()) for k in range(900)]).repartition(3)
+    copies = [k for k in range(900) if k % 3]
+    built = vector_index.build(df, str(tmp_path), cells=9)
+    for found in (similarity.nearest(df, 7), vector_index.search(built, df, 7, probes=1, exact=True)):
+        rows = {(r.src, r["rank"]): r.dst for r in found.collect()}
+        assert [rows[copies[-1], n] for n in range(1, 8)] == copies[:7]
+        assert len(rows) == 7 * 900
