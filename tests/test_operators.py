@@ -1,4 +1,6 @@
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -132,6 +134,40 @@ def test_surface_entities(spark):
     assert {(e.entity_type, e.text) for e in got} >= {("EMAIL", "al@ex.org"), ("DATE", "2024-01-02"), ("OTHER", "Alice")}
 
 
+def test_memory_of_a_block_of_vectors(monkeypatch):
+    """Scores are held by tiles, not for a strip of queries and the whole block; copies do not change that."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    v = rng.standard_normal((60_000, 8))
+    v[::2] = v[0]
+    unit = v / np.linalg.norm(v, axis=1)[:, None]
+    ids = pa.array(np.arange(len(v)))
+    tracemalloc.start()
+    got = similarity._links((ids[:256], unit[:256]), (ids, unit), 5, -2.0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6 < 256 * len(v) * 8
+    assert len(got) == 5 * 256
+    assert got.filter(pc.equal(got["src"], 100))["dst"].to_pylist() == [0, 2, 4, 6, 8]
+
+
+def test_nearest_in_its_own_precision_and_for_some(spark, monkeypatch):
+    """Floats, queries that are a subset, and a floor give the same as all pairs."""
+    monkeypatch.setattr(similarity, "BLOCK_VALUES", 90)
+    rng = np.random.default_rng(2)
+    v = rng.standard_normal((70, 6)).astype(np.float32)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, v array<float>").repartition(3)
+    unit = v.astype(float) / np.linalg.norm(v.astype(float), axis=1)[:, None]
+    score = unit @ unit.T
+    want = {(i, int(j)): score[i, j] for i in range(0, 70, 3) for j in np.argsort(-score[i])[:5] if score[i, j] >= 0.4}
+    got = {(r.src, r.dst): r.score for r in similarity.nearest(df, 5, df.where("id % 3 = 0").select("id"), 0.4).collect()}
+    assert got.keys() == want.keys()
+    assert all(abs(got[p] - want[p]) < 1e-12 for p in want)
+    every = {(r.src, r.dst) for r in similarity.edges(similarity.nearest(df, 5), 3, 0.4).collect()}
+    assert every == {(i, int(j)) for i in range(70) for j in np.argsort(-score[i])[:3] if score[i, j] >= 0.4 and i != j}
+
+
 def test_nearest_by_blocks(spark, monkeypatch):
     rng = np.random.default_rng(1)
     v = rng.standard_normal((60, 5))
