@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from graphloom.functions import ids, text
 from graphloom.operators import analysis, chunks, enrich, entities, files, graph, manifest, pages, reports, retrieval, similarity, vector_index
-from graphloom.plans.lineage import shared_folder
+from graphloom.plans.lineage import cut, shared_folder
 from graphloom.sources import pdf, providers
 
 PROJECT = str(uuid.uuid5(uuid.UUID(ids.CASES), "demo case"))
@@ -287,8 +287,9 @@ def similar_indexed(spark, sf_dir):
 
 def similar_to_reset(spark, sf_dir):
     v = vectors(spark, sf_dir)
-    old = similarity.similar_edges(v, max_edges_per_doc=4, min_score=0.2)
-    new = similarity.similar_edges(v, top_k=10, min_score=0.3).where(F.col("src") % 2 == 0)
+    rows = cut(similarity.nearest(v, 10, min_score=0.2))  # all pairs are scored once for both
+    old = similarity.edges(rows, 4, 0.2)
+    new = similarity.edges(rows, 10, 0.3).where(F.col("src") % 2 == 0)
     return graph.replace_edges(old, new, v.where(F.col("id") % 2 == 0).select(F.col("id").alias("src"))).withColumn("score", F.round("score", 6))
 
 
