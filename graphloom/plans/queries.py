@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,6 +17,8 @@ from graphloom.sources import pdf, providers
 
 PROJECT = str(uuid.uuid5(uuid.UUID(ids.CASES), "demo case"))
 TARGET = 1200
+#: Bytes of generated files that are held at once.
+PDF_BYTES = 1 << 22
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,11 +81,21 @@ def document_pdfs(spark, sf_dir):
     """A PDF of each document, a page for each 2000 characters; those of odd ids have their objects in deflated object streams."""
     d = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("title"), F.coalesce("text", F.lit("")).alias("text"))
 
-    @F.pandas_udf("binary")
-    def content(titles: pd.Series, texts: pd.Series) -> pd.Series:
-        return pd.Series([pdf.made([t[k : k + 2000] for k in range(0, len(t), 2000)] or [""], int(n) % 2 == 1) for n, t in zip(titles, texts, strict=True)])
-
-    return d.select("title", content("title", "text").alias("content"))
+    def run(batches):
+        for batch in batches:
+            titles, contents, size = [], [], 0
+            for title, text in zip(batch.column("title"), batch.column("text"), strict=True):
+                t = text.as_py()
+                titles.append(title.as_py())
+                contents.append(pdf.made([t[k : k + 2000] for k in range(0, len(t), 2000)] or [""], int(titles[-1]) % 2 == 1))
+                size += len(contents[-1])
+                if size >= PDF_BYTES:
+                    yield pa.RecordBatch.from_pydict({"title": titles, "content": contents})
+                    titles, contents, size = [], [], 0
+            if titles:
+                yield pa.RecordBatch.from_pydict({"title": titles, "content": contents})
+
+    return d.mapInArrow(run, "title string, content binary")
 
 
 def old_manifest(spark, sf_dir):

@@ -115,3 +115,13 @@ def test_every_file_is_recognised_or_failed(spark):
     assert {r.title: r.error for r in out if r.error} == {"locked": "the file is encrypted", "empty": "no page is found in the file", "none": "no page is found in the file"}
     got = {(r.title, r.first_page, r.last_page): r.pages for r in out if not r.error}
     assert got == {("plain", 1, 3): ["p0", "p1", "p2"], ("plain", 4, 6): ["p3", "p4", "p5"], ("plain", 7, 7): ["p6"], ("packed", 1, 3): ["q0", "q1", "q2"], ("packed", 4, 5): ["q3", "q4"]}
+
+
+def test_generated_files_come_in_small_batches(spark, small, monkeypatch):
+    """However small the batches are, every document has its file."""
+    from graphloom.plans import queries
+
+    monkeypatch.setattr(queries, "PDF_BYTES", 1)
+    files = queries.document_pdfs(spark, small).collect()
+    texts = {str(r.doc_id): r.text or "" for r in queries.table(spark, small, "documents").collect()}
+    assert {f.title: "".join(pdf.shown_texts(f.content)) for f in files} == texts
