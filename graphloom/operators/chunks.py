@@ -5,7 +5,9 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -13,6 +15,8 @@ from pyspark.sql import functions as F
 from graphloom.functions.ids import chunk_id
 
 LOOK_BACK = 250
+#: Characters of spans that are held as Python strings at once.
+PIECE = 1 << 18
 SPANS = "array<struct<start:int,end:int,text:string>>"
 
 
@@ -43,14 +47,37 @@ def _skip(text: str, at: int) -> int:
 
 
 def span_column(target: int):
-    @F.pandas_udf(SPANS)
-    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """The spans of texts and their texts, as SPANS. Spans become Arrow arrays after every PIECE characters, so that a batch has no Python object a span."""
+
+    @F.arrow_udf(SPANS)
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
-            yield batch.map(lambda t: [{"start": a, "end": b, "text": t[a:b]} for a, b in spans(t or "", target)])
+            yield spans_of(batch, target)
 
     return run
 
 
+def spans_of(texts: pa.Array, target: int) -> pa.Array:
+    """spans() of each text and their texts, as an Arrow array of lists of structs."""
+    ends, pieces, rows, size = np.zeros(len(texts) + 1, np.int32), [], [], 0
+    for k, text in enumerate(texts):
+        text = text.as_py() or ""
+        found = spans(text, target)
+        ends[k + 1] = ends[k] + len(found)
+        for a, b in found:
+            rows.append((a, b, text[a:b]))
+            size += b - a
+            if size >= PIECE:
+                pieces.append(_structs(rows))
+                rows, size = [], 0
+    return pa.ListArray.from_arrays(pa.array(ends), pa.concat_arrays([*pieces, _structs(rows)]))
+
+
+def _structs(rows: list[tuple[int, int, str]]) -> pa.Array:
+    kinds = (("start", pa.int32()), ("end", pa.int32()), ("text", pa.string()))
+    return pa.StructArray.from_arrays([pa.array([r[k] for r in rows], kind) for k, (_, kind) in enumerate(kinds)], names=[n for n, _ in kinds])
+
+
 def chunk_pages(pages: DataFrame, target: int = 1200) -> DataFrame:
     """Chunks of pages(document_uuid, page_ord, page_number, page_offset, text): chunk_uuid, chunk_index, char_start and char_end in the
     document, text. Blank pages give none. The spans and their texts come from an Arrow UDF, so that a

@@ -134,6 +134,14 @@ def test_surface_entities(spark):
     assert {(e.entity_type, e.text) for e in got} >= {("EMAIL", "al@ex.org"), ("DATE", "2024-01-02"), ("OTHER", "Alice")}
 
 
+def test_spans_are_arrow_arrays_piece_by_piece(monkeypatch):
+    monkeypatch.setattr(chunks, "PIECE", 10)
+    texts = ["one two three four", None, "", "  ", "a" * 25, "é ü 漢 字"]
+    got = chunks.spans_of(pa.array(texts), 9).to_pylist()
+    assert got == [[{"start": a, "end": b, "text": t[a:b]} for a, b in chunks.spans(t or "", 9)] for t in ((x or "") for x in texts)]
+    assert chunks.spans_of(pa.array([], pa.string()), 9).to_pylist() == []
+
+
 def test_memory_of_a_block_of_vectors(monkeypatch):
     """Scores are held by tiles, not for a strip of queries and the whole block; copies do not change that."""
     import tracemalloc
@@ -168,6 +176,14 @@ def test_nearest_in_its_own_precision_and_for_some(spark, monkeypatch):
     assert every == {(i, int(j)) for i in range(70) for j in np.argsort(-score[i])[:3] if score[i, j] >= 0.4 and i != j}
 
 
+def test_pairs_are_dealt_out_before_they_are_counted(spark):
+    edges = spark.createDataFrame([(e, c) for c in range(40) for e in range(c % 5)] + [(1, 3), (None, 3)], "canonical_id long, chunk_uuid long")
+    got = entities.co_occurrence(edges)
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert "RepartitionByExpression" in got._jdf.queryExecution().optimizedPlan().toString(), plan
+    assert {(r.src, r.dst): r["count"] for r in got.collect()} == {(a, b): 8 * (4 - b) for b in range(1, 4) for a in range(b)}
+
+
 def test_nearest_by_blocks(spark, monkeypatch):
     rng = np.random.default_rng(1)
     v = rng.standard_normal((60, 5))
