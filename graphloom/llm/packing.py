@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import re
-import struct
 import zlib
 from collections import deque
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -13,90 +12,148 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import by_range, id_of, raw, slices, span_hashes, strings, text_of, word_spans, worker_store
+from graphloom.llm.common import LOWER, SPACE, by_range, id_of, raw, slices, span_hashes, strings, text_of, word_spans, worker_store
 
-#: Words of plain letters with punctuation behind, which need nothing of the tokenizer but its model.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-;=?@\[-`{}~]*)")
+#: Kinds of bytes: white space, letters (ASCII, and two-byte ones from \xC3 on), digits, and marks, of which words are made whose pieces
+#: are known without the tokenizer; a word with an other byte needs it.
+BLANK, LETTER, DIGIT, MARK, OTHER = range(5)
+KIND = np.full(256, OTHER, np.uint8)
+KIND[SPACE] = BLANK
+KIND[[*range(65, 91), *range(97, 123), *range(0x80, 0xC0), 0xC3]] = LETTER
+KIND[48:58] = DIGIT
+KIND[list(b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~")] = MARK
 #: Bytes that end a sentence, and closing marks that may follow them.
 STOPS, CLOSERS = np.zeros(256, bool), np.zeros(256, bool)
 STOPS[list(b".!?")], CLOSERS[list(b"'\")]")] = True, True
-#: Words and ids that a Python worker remembers, counted with what a dict takes for them.
+#: Words that need the tokenizer and their ids, which a Python worker remembers, counted with what a dict takes for them.
 CACHE_BYTES = 48 << 20
 #: Costs in tokens: of cutting at a sentence's end, and elsewhere. A document's end costs nothing, a token of padding 1.
 SENTENCE_COST, HARD_COST = 2, 96
 
 
+def piece_encoder(path: str):
+    """(encoding, whether a token ends a piece by its id) of a BPE whose pieces end in </w>, for text in which \\0 stands for that.
+
+    Pairs are merged in the order of the ids of what they make, which is the vocabulary's order of merges.
+    """
+    import json
+
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        vocabulary = json.load(f)["model"]["vocab"]
+    # The byte alphabet of byte-level BPE: printable bytes stand for themselves, others follow from 256 on.
+    same = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    byte = {chr(b) if b in same else chr(next(rest)): b for b in range(256)}
+    ranks, final = {}, np.zeros(max(vocabulary.values()) + 1, bool)
+    for token, i in vocabulary.items():
+        last = token.endswith("</w>")
+        whole = bytes(byte[c] for c in (token[:-4] if last else token))
+        if 0 not in whole or whole == b"\0" and not last:  # pieces hold no \0 of their own
+            ranks[whole + b"\0" * last] = i
+            final[i] = last
+    return tiktoken.Encoding("pieces", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={}), final
+
+
 class WordIds:
-    """Ids of whole texts as little-endian 32-bit bytes. The tokenizer drops white space and no token crosses it, so a
-    text's ids are its words' ids; words are remembered, up to a bound."""
+    """Ids of whole texts. The tokenizer drops white space and no token crosses it, so a text's ids are its words' ids. Words of letters,
+    digits and marks alone are cut where their kind changes and around digits, as the tokenizer does, and lower-cased; the different
+    pieces of a slice of texts are encoded together. Other words are given to the tokenizer and remembered, up to a bound."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.words: dict[bytes, bytes] = worker_store(f"ids {path}")
-        self.held: dict[str, int] = worker_store(f"size of ids {path}")
-        self.marks: dict[str, list[int]] = {}
-        # The byte alphabet of byte-level BPE: printable bytes stand for themselves, others follow from 256 on.
-        same = {*range(33, 127), *range(161, 173), *range(174, 256)}
-        rest = iter(range(256, 512))
-        self.letters = [chr(b) if b in same else chr(next(rest)) for b in range(256)]
-
-    def encode(self, word: str) -> bytes:
-        plain = PLAIN.fullmatch(word)
-        if plain:
-            low, marks = plain[1].lower(), plain[2]
-            if not low.isascii():
-                low = "".join([self.letters[b] for b in low.encode()])
-            ids = [t.id for t in self.model.tokenize(low)]
-            if marks:
-                ids += self.marks.get(marks) or self.marks.setdefault(marks, [t.id for t in self.model.tokenize(marks)])
-        else:
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+        self.kept = worker_store(f"ids {path}")  # what lives as long as the worker
+        if not self.kept:
+            from tokenizers import Tokenizer
+
+            encoding, final = piece_encoder(path)
+            self.kept |= {"whole": Tokenizer.from_file(path), "pieces": encoding, "final": final, "words": {}, "bytes": 0}
+
+    def word(self, word: bytes) -> np.ndarray:
+        """The ids of a word that is no sequence of plain pieces."""
+        kept = self.kept
+        ids = kept["words"].get(word)
+        if ids is None:
+            ids = np.array(kept["whole"].encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+            kept["bytes"] += len(word) + len(ids) + 170
+            if kept["bytes"] > CACHE_BYTES:
+                kept["words"].clear()
+                kept["bytes"] = 0
+            kept["words"][word] = ids
+        return np.frombuffer(ids, "<u4")
+
+    @staticmethod
+    def pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(lower-cased bytes, starts and ends of pieces, which of them are words for the tokenizer)."""
+        kind = KIND[data]
+        odd = kind == OTHER
+        wide = (data[:-1] == 0xC3) & (data[1:] < 0xC0)
+        odd[1:] |= wide & ((data[1:] == 0x97) | (data[1:] == 0xB7))  # multiplication and division signs
+        low = LOWER[data]
+        low[1:][wide & (data[1:] < 0x9F)] += 32
+        begins = np.zeros(len(data), bool)
+        begins[1:] = (kind[1:] != BLANK) & ((kind[1:] != kind[:-1]) | (kind[1:] == DIGIT))
+        slow = np.zeros(len(starts), bool)
+        if odd.any():
+            slow[np.searchsorted(starts, np.flatnonzero(odd), "right") - 1] = True
+            inside = np.zeros(len(data) + 1, np.int8)
+            np.add.at(inside, starts[slow], 1)
+            np.add.at(inside, ends[slow], -1)
+            whole = np.cumsum(inside[:-1], dtype=np.int8) > 0
+            begins &= ~whole
+            low[whole] = data[whole]
+        begins[starts] = True
+        first = np.flatnonzero(begins)
+        of = np.searchsorted(starts, first, "right") - 1
+        return low, first, np.minimum(np.append(first[1:], len(data)), ends[of]), slow[of]
+
+    def different(self, low: np.ndarray, starts: np.ndarray, ends: np.ndarray, slow: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, place of the first, number) of pieces, those for the tokenizer behind the others."""
+        sizes, begin = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+        length = (ends - starts)[~slow] + 1  # one more for the end
+        upto = np.cumsum(length)
+        flat = np.zeros(0, np.uint32)
+        if len(length):
+            places = np.repeat(starts[~slow] - upto + length, length) + np.arange(upto[-1])
+            places[upto - 1] = 0
+            text = low[places]
+            text[upto - 1] = 0
+            flat = self.kept["pieces"].encode_to_numpy(text.tobytes().decode(), disallowed_special=())
+            last = np.flatnonzero(self.kept["final"][flat]) + 1
+            begin[~slow] = np.concatenate([[0], last[:-1]])
+            sizes[~slow] = np.diff(last, prepend=0)
+        if slow.any():
+            found = [self.word(low[a:b].tobytes()) for a, b in zip(starts[slow].tolist(), ends[slow].tolist(), strict=True)]
+            sizes[slow] = [len(ids) for ids in found]
+            begin[slow] = len(flat) + np.cumsum(sizes[slow]) - sizes[slow]
+            flat = np.concatenate([flat, *found])
+        return flat, begin, sizes
 
-    def __call__(self, texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each text its ids (uint32), and how many of them precede each sentence's end.
+    def __call__(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each text its ids (uint32), and how many of them precede each sentence's end; held for a slice of texts at a time.
 
-        Equal words of a slice of texts are found by their 64-bit hash, looked up once, and their ids gathered.
+        Equal pieces of a slice are found by their 64-bit hash, encoded once, and their ids gathered.
         """
         data, offsets = raw(texts)
-        out = []
         for i, j in slices(offsets):
             part, own = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
             starts, ends, first = word_spans(part, own)
-            codes, _ = pd.factorize(span_hashes(part, starts, ends))
+            low, begins, closes, slow = self.pieces(part, starts, ends)
+            codes, _ = pd.factorize(span_hashes(low, begins, closes))
             where = np.empty(codes.max() + 1 if len(codes) else 0, np.int64)
             where[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)  # the first place of each
-            buffer, known = part.tobytes(), self.words
-            found, size = [], self.held.get("bytes", 0)
-            for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True):
-                w = buffer[a:b]
-                ids = known.get(w)
-                if ids is None:
-                    ids = self.encode(w.decode())
-                    size += len(w) + len(ids) + 170
-                    if size > CACHE_BYTES:
-                        known.clear()
-                        size = 0
-                    known[w] = ids
-                found.append(ids)
-            self.held["bytes"] = size
-            flat = np.frombuffer(b"".join(found), "<u4")
-            sizes = np.fromiter(map(len, found), np.int64, len(found)) >> 2
-            begin = np.cumsum(sizes) - sizes
+            flat, begin, sizes = self.different(low, begins[where], closes[where], slow[where])
             length = sizes[codes]
             upto = np.concatenate([[0], np.cumsum(length)])
             ids = flat[np.repeat(begin[codes] - upto[:-1], length) + np.arange(upto[-1])]
+            upto = upto[np.append(np.searchsorted(begins, starts), len(begins))]  # now by words
             last = ends - 1
             for _ in range(3):
                 last = last - (CLOSERS[part[last]] & (last > starts))
             stop = STOPS[part[last]] if len(last) else np.zeros(0, bool)
             for k in range(i, j):
                 lo, hi = first[k - i], first[k - i + 1]
-                out.append((ids[upto[lo] : upto[hi]], np.unique(upto[lo + 1 : hi + 1][stop[lo:hi]] - upto[lo])))
-        return out
+                yield ids[upto[lo] : upto[hi]], np.unique(upto[lo + 1 : hi + 1][stop[lo:hi]] - upto[lo])
 
 
 def cuts(ends: np.ndarray, costs: np.ndarray, size: int) -> list[int]:

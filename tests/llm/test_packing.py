@@ -1,6 +1,8 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -89,3 +91,42 @@ def test_held_ids_round_trip(lengths, held, size):
         sequences[sequence] = offset + take
     assert max(sequences.values()) <= size
     assert sorted(sequences) == list(range(7 << 32, (7 << 32) + len(sequences)))
+
+
+PARTS = st.one_of(
+    st.text("abzAZéÀÞßÿ×÷ñ09 .,'<>|!#\n", max_size=12), st.text(max_size=6), st.sampled_from(["it's", "<|endoftext|>", "<|ENDOFTEXT|>", "e\u0301A", "\xa0", "\x00", "\x1c", "²①", "İ", "The", "(x)", "12-34"])
+)
+
+
+@settings(max_examples=400, deadline=None)
+@given(texts=st.lists(st.lists(PARTS, max_size=8).map("".join), min_size=1, max_size=5))
+def test_ids_are_the_tokenizers(tokenizer, texts):
+    from tokenizers import Tokenizer
+
+    known = packing.worker_store("tokenizer of a test")
+    tk = known.get("tk") or known.setdefault("tk", Tokenizer.from_file(tokenizer))
+    got = [ids.tolist() for ids, _ in packing.WordIds(tokenizer)(pa.array(texts, pa.large_string()))]
+    assert got == [tk.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_different_words_are_not_remembered(tokenizer):
+    """Texts of ever new words take no more memory than others, and no call a word."""
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    words = ["".join(w) for w in rng.choice(list("abcdefghijklmnoprstuvwé"), (150_000, 9))]
+    encoder = packing.WordIds(tokenizer)
+    tracemalloc.start()
+    n = sum(len(ids) for ids, _ in encoder(pa.array([" ".join(words[i : i + 500]) for i in range(0, len(words), 500)], pa.large_string())))
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert n > len(words)
+    assert kept < 8e6
+
+
+@pytest.mark.parametrize("word", ["ab" * 400_000, "A" * 300_000, "é" * 200_000 + "." * 100_000])
+def test_a_very_long_word(tokenizer, word):
+    from tokenizers import Tokenizer
+
+    ((ids, stops),) = packing.WordIds(tokenizer)(pa.array([word], pa.large_string()))
+    assert ids.tolist() == Tokenizer.from_file(tokenizer).encode(word, add_special_tokens=False).ids
