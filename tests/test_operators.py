@@ -160,6 +160,12 @@ def test_memory_of_a_block_of_vectors(monkeypatch):
     assert got.filter(pc.equal(got["src"], 100))["dst"].to_pylist() == [0, 2, 4, 6, 8]
 
 
+@pytest.mark.parametrize("vectors", [10_256, 102_564, 615_384, 6_000_000])
+def test_blocks_stop_growing(vectors):
+    """A task's two blocks hold BLOCK_VALUES numbers each at most, whatever the table."""
+    assert -(-vectors * 64 // similarity.blocks_of(vectors * 64, similarity.BLOCK_VALUES, similarity.BLOCKS)) <= similarity.BLOCK_VALUES
+
+
 def test_nearest_in_its_own_precision_and_for_some(spark, monkeypatch):
     """Floats, queries that are a subset, and a floor give the same as all pairs."""
     monkeypatch.setattr(similarity, "BLOCK_VALUES", 90)
